@@ -169,7 +169,7 @@ IOT_TO_AREAS = [*IOT_TO_ENRICHED, AREA_WINDOWS]
 IOT_TO_SCORED = [*IOT_TO_AREAS, scored()]
 
 # ------------------------------------------------------------------ grid
-_W, _S, _E, _N = (f"{v}::DOUBLE" for v in CASE_STUDY_BBOX)
+_W, _S, _E, _N = (f"({v}::DOUBLE)" for v in CASE_STUDY_BBOX)
 V_GRID = f"""v_grid AS (
   SELECT 'A1-M' || (i*9 + j + 1) AS microarea_id, i*9 + j + 1 AS cell_no,
          {_W} + j*(({_E}-{_W})/9) AS min_long, {_S} + i*(({_N}-{_S})/7) AS min_lat,
