@@ -185,12 +185,28 @@ def scenes_from_rows(pixels: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def scenes_from_arrays(images: DataFrame, keys: list[str], pixels: str = "pixels") -> DataFrame:
-    """Base metrics per image from a classified pixel array; an image without pixels gives no row."""
-    return images.filter(F.size(pixels) > 0).select(
+    """Base metrics per image from unclassified pixel arrays, without state or exchange.
+
+    An image without pixels gives no row. Lambdas are interpreted, so where an exchange is allowed
+    ``scenes_from_messages`` is about three times faster.
+    """
+    classified = classify_pixel_array(images.filter(F.size(pixels) > 0), pixels)
+    return classified.select(
         *keys, *[expr.alias(name) for name, expr in scene_metrics(ArrayScene(pixels)).items()]
     )
 
 
+def scenes_from_messages(images: DataFrame, keys: list[str], pixels: str = "pixels") -> DataFrame:
+    """Base metrics per message from unclassified pixel arrays, exploded into generated code.
+
+    A message's pixels stay in one task, so partial aggregation leaves one row per message for the
+    exchange. ``message_no`` keeps repeated deliveries of an image apart.
+    """
+    numbered = images.withColumn("message_no", F.monotonically_increasing_id())
+    rows = classify_pixels(explode_pixels(numbered, pixels))
+    return scenes_from_rows(rows, [*keys, "message_no"]).drop("message_no")
+
+
 # ------------------------------------------------------------------ assessment
 def assess_scenes(scenes: DataFrame, severity_floor: float | None = None) -> DataFrame:
     """Summary, spectral, spatial, environment, severity, threat and advice columns of every image."""

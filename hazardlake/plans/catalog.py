@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from hazardlake.plans import iot, satellite
+from hazardlake.plans import iot, satellite, serving
 
-REGISTRY = {**iot.QUERIES, **satellite.QUERIES}
+REGISTRY = {**iot.QUERIES, **satellite.QUERIES, **serving.QUERIES}

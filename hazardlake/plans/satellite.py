@@ -36,9 +36,12 @@ def scene_stage(pixels: DataFrame, severity_floor: float | None = None) -> DataF
 
 def array_scene_stage(images: DataFrame, severity_floor: float | None = None) -> DataFrame:
     """Images with pixel arrays to assessed images: no exchange, usable on streams."""
-    return imagery.assess_scenes(
-        imagery.scenes_from_arrays(imagery.classify_pixel_array(images), IMAGE_KEYS), severity_floor
-    )
+    return imagery.assess_scenes(imagery.scenes_from_arrays(images, IMAGE_KEYS), severity_floor)
+
+
+def message_scene_stage(images: DataFrame, severity_floor: float | None = None) -> DataFrame:
+    """The same from exploded pixels: one small exchange; for batches and micro-batches."""
+    return imagery.assess_scenes(imagery.scenes_from_messages(images, IMAGE_KEYS), severity_floor)
 
 
 def gold_stage(assessed: DataFrame, microareas: DataFrame) -> DataFrame:
@@ -103,8 +106,8 @@ def silver_sat_pixels(spark: SparkSession, sf: str) -> DataFrame:
 
 def silver_sat_exploded(spark: SparkSession, sf: str) -> DataFrame:
     """Silver pixels from messages with pixel arrays."""
-    images = imagery.classify_pixel_array(proxies.image_messages(spark, sf))
-    enriched = dims.enrich_microareas(imagery.explode_pixels(images), proxies.microareas(spark))
+    pixels = imagery.classify_pixels(imagery.explode_pixels(proxies.image_messages(spark, sf)))
+    enriched = dims.enrich_microareas(pixels, proxies.microareas(spark))
     return _rounded_box(imagery.silver_pixels(enriched))
 
 
@@ -184,6 +187,11 @@ def gold_sat_from_arrays(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_box(gold_stage(array_scene_stage(proxies.image_messages(spark, sf)), proxies.microareas(spark)))
 
 
+def gold_sat_from_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The same gold layout from exploded pixel arrays."""
+    return _rounded_box(gold_stage(message_scene_stage(proxies.image_messages(spark, sf)), proxies.microareas(spark)))
+
+
 # ------------------------------------------------------------------ oracle SQL
 def _quoted(texts: list[str]) -> str:
     return "[" + ", ".join(f"'{text}'" for text in texts) + "]"
@@ -233,6 +241,9 @@ _ORDER_CLASSIFIED = [sql.V_ORDER_PIXEL, sql.INDEXED, sql.CLASSIFIED]
 _AREAS = [sql.V_GRID, sql.V_MICROAREA]
 
 
+_GOLD_FROM_ORDERS = sql.with_views(*_ORDER_CLASSIFIED, sql.SCENES, sql.ASSESSED, *_AREAS) + _GOLD
+
+
 def _from_assessed(columns: str) -> str:
     return sql.with_views(*sql.SAT_TO_ASSESSED) + f"SELECT image_pointer, {columns} FROM assessed"
 
@@ -275,8 +286,6 @@ QUERIES = {
         _from_assessed(f"CAST(len({_ADVICE}) AS INTEGER) AS n_recommendations, array_to_string({_ADVICE}, ',') AS recommendations"),
     ),
     "gold_sat_flat": (gold_sat_flat, sql.with_views(*sql.SAT_TO_ASSESSED, *_AREAS) + _GOLD),
-    "gold_sat_from_arrays": (
-        gold_sat_from_arrays,
-        sql.with_views(*_ORDER_CLASSIFIED, sql.SCENES, sql.ASSESSED, *_AREAS) + _GOLD,
-    ),
+    "gold_sat_from_arrays": (gold_sat_from_arrays, _GOLD_FROM_ORDERS),
+    "gold_sat_from_messages": (gold_sat_from_messages, _GOLD_FROM_ORDERS),
 }
