@@ -13,14 +13,16 @@ PUNCTUATION_PATTERN = r"[^\p{L}\p{N}_\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 
 # Common English function words. The list is a parameter wherever it is used: pass another one to
 # reproduce a particular vectorizer.
-STOP_WORDS = (
-    "about above after again all also am an and any are as at be because been before being below between both"
-    " but by can could did do does doing down during each few for from further had has have having he her here"
-    " hers him his how if in into is it its itself just me more most my no nor not now of off on once only or"
-    " other our ours out over own same she should so some such than that the their theirs them then there these"
-    " they this those through to too under until up very was we were what when where which while who whom why"
-    " will with you your yours"
-).split()
+STOP_WORDS = tuple(
+    """
+    about above after again all also am an and any are as at be because been before being below between both
+    but by can could did do does doing down during each few for from further had has have having he her here
+    hers him his how if in into is it its itself just me more most my no nor not now of off on once only or
+    other our ours out over own same she should so some such than that the their theirs them then there these
+    they this those through to too under until up very was we were what when where which while who whom why
+    will with you your yours
+    """.split()
+)
 
 
 def clean(text: Column) -> Column:
