@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from hazardlake.plans import iot, satellite, serving, social
+from hazardlake.plans import early_warning, iot, satellite, serving, social
 
-REGISTRY = {**iot.QUERIES, **satellite.QUERIES, **serving.QUERIES, **social.QUERIES}
+REGISTRY = {**iot.QUERIES, **satellite.QUERIES, **serving.QUERIES, **social.QUERIES, **early_warning.QUERIES}
