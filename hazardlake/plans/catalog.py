@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
-from hazardlake.plans import early_warning, iot, satellite, serving, social
+from hazardlake.plans import early_warning, iot, satellite, serving, social, streams
 
-REGISTRY = {**iot.QUERIES, **satellite.QUERIES, **serving.QUERIES, **social.QUERIES, **early_warning.QUERIES}
+REGISTRY = {
+    **iot.QUERIES,
+    **satellite.QUERIES,
+    **serving.QUERIES,
+    **social.QUERIES,
+    **early_warning.QUERIES,
+    **streams.QUERIES,
+}

@@ -127,7 +127,11 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def image_messages(spark: SparkSession, sf_dir: str, table_name: str = "orders") -> DataFrame:
+def image_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return image_columns(table(spark, sf_dir, "orders"))
+
+
+def image_columns(orders: DataFrame) -> DataFrame:
     """One message with an array of 25 pixels per ``orders`` row, as the imaging service sends them."""
     order, customer = F.col("o_orderkey"), F.col("o_custkey")
 
@@ -147,7 +151,7 @@ def image_messages(spark: SparkSession, sf_dir: str, table_name: str = "orders")
         )
 
     area = F.concat(F.lit("A1-M"), (order % 9 + 1).cast("string"))
-    return table(spark, sf_dir, table_name).select(
+    return orders.select(
         F.concat(F.lit("satellite/"), area, F.lit("/order_"), order.cast("string"), F.lit(".jpg")).alias(
             "image_pointer"
         ),
@@ -161,10 +165,14 @@ def image_messages(spark: SparkSession, sf_dir: str, table_name: str = "orders")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return message_columns(table(spark, sf_dir, "conversations"))
+
+
+def message_columns(conversations: DataFrame) -> DataFrame:
     """One short message per conversation turn, with a category from its position."""
     conv, turn = F.col("conv_id"), F.col("turn")
     categories = F.array(*[F.lit(name) for name in ALL_CATEGORIES])
-    return table(spark, sf_dir, "conversations").select(
+    return conversations.select(
         F.concat_ws("-", conv.cast("string"), turn.cast("string")).alias("unique_msg_id"),
         F.lit("A1").alias("macroarea_id"),
         F.concat(F.lit("M"), (conv % 9 + 1).cast("string")).alias("microarea_id"),

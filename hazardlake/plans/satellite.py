@@ -93,7 +93,7 @@ def enrich_microarea(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _rounded_box(df: DataFrame) -> DataFrame:
+def rounded_box(df: DataFrame) -> DataFrame:
     for name in ("min_longitude", "min_latitude", "max_longitude", "max_latitude"):
         df = df.withColumn(name, snap(F.col(name)))
     return df
@@ -101,14 +101,14 @@ def _rounded_box(df: DataFrame) -> DataFrame:
 
 def silver_sat_pixels(spark: SparkSession, sf: str) -> DataFrame:
     enriched = dims.enrich_microareas(_classified(spark, sf), proxies.microareas(spark))
-    return _rounded_box(imagery.silver_pixels(enriched))
+    return rounded_box(imagery.silver_pixels(enriched))
 
 
 def silver_sat_exploded(spark: SparkSession, sf: str) -> DataFrame:
     """Silver pixels from messages with pixel arrays."""
     pixels = imagery.classify_pixels(imagery.explode_pixels(proxies.image_messages(spark, sf)))
     enriched = dims.enrich_microareas(pixels, proxies.microareas(spark))
-    return _rounded_box(imagery.silver_pixels(enriched))
+    return rounded_box(imagery.silver_pixels(enriched))
 
 
 def sat_scene_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,17 +179,17 @@ def recommendations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_sat_flat(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_box(gold_stage(_scenes(spark, sf), proxies.microareas(spark)))
+    return rounded_box(gold_stage(_scenes(spark, sf), proxies.microareas(spark)))
 
 
 def gold_sat_from_arrays(spark: SparkSession, sf: str) -> DataFrame:
     """The same gold layout computed inside pixel arrays, without an exchange."""
-    return _rounded_box(gold_stage(array_scene_stage(proxies.image_messages(spark, sf)), proxies.microareas(spark)))
+    return rounded_box(gold_stage(array_scene_stage(proxies.image_messages(spark, sf)), proxies.microareas(spark)))
 
 
 def gold_sat_from_messages(spark: SparkSession, sf: str) -> DataFrame:
     """The same gold layout from exploded pixel arrays."""
-    return _rounded_box(gold_stage(message_scene_stage(proxies.image_messages(spark, sf)), proxies.microareas(spark)))
+    return rounded_box(gold_stage(message_scene_stage(proxies.image_messages(spark, sf)), proxies.microareas(spark)))
 
 
 # ------------------------------------------------------------------ oracle SQL
