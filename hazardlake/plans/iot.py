@@ -89,9 +89,11 @@ _ROUTE = ["station_id", "response_timestamp", "latest_event_timestamp", *sensors
 def silver_iot_routed(spark: SparkSession, sf: str) -> DataFrame:
     """Both silver layouts side by side, told apart by ``route``."""
     enriched = _enriched(spark, sf)
-    normal = sensors.silver_normal(enriched).select(F.lit("normal").alias("route"), "status", "message", *_ROUTE)
+    normal = sensors.silver_normal(enriched).select(
+        F.lit("normal").alias("route"), F.lit(False).alias("wildfire_detected"), "status", "message", *_ROUTE
+    )
     alarms = sensors.silver_anomalies(enriched).select(
-        F.lit("anomalies").alias("route"), *_ROUTE, *MEASUREMENTS, "wildfire_detected", "anomaly_type"
+        F.lit("anomalies").alias("route"), "wildfire_detected", *_ROUTE, *MEASUREMENTS, "anomaly_type"
     )
     return normal.unionByName(alarms, allowMissingColumns=True)
 
@@ -247,7 +249,7 @@ QUERIES = {
         + f"""SELECT CASE WHEN is_anomaly THEN 'anomalies' ELSE 'normal' END AS route,
   CASE WHEN NOT is_anomaly THEN 'OK' END AS status, CASE WHEN NOT is_anomaly THEN 'No anomalies detected' END AS message,
   station_id, {sql.ms("w_end")} AS response_timestamp, {sql.ms("latest_event_ts")} AS latest_event_timestamp, {_SILVER_STATION}, {_DATE},
-  {", ".join(MEASUREMENTS)}, CASE WHEN is_anomaly THEN true END AS wildfire_detected, CASE WHEN is_anomaly THEN 'wildfire' END AS anomaly_type
+  {", ".join(MEASUREMENTS)}, is_anomaly AS wildfire_detected, CASE WHEN is_anomaly THEN 'wildfire' END AS anomaly_type
 FROM enriched""",
     ),
     "area_window_counts": (

@@ -118,11 +118,14 @@ def near_station_match(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ dimensions
 def point_in_cell(spark: SparkSession, sf: str) -> DataFrame:
-    regions = spark.range(1).select(
-        F.lit("A1").alias("macroarea_id"),
+    """Points of two regions that share the case-study rectangle."""
+    regions = spark.range(2).select(
+        F.concat(F.lit("A"), F.col("id").cast("string")).alias("macroarea_id"),
         *[F.lit(value).alias(name) for name, value in zip(grid.BBOX, proxies.CASE_STUDY_BBOX)],
     )
-    points = proxies.points(spark, sf).withColumn("macroarea_id", F.lit("A1"))
+    points = proxies.points(spark, sf).withColumn(
+        "macroarea_id", F.concat(F.lit("A"), (F.col("point_id") % 2).cast("string"))
+    )
     return grid.locate_points(points, regions, proxies.MICROAREA_KM2, "macroarea_id").select("point_id", "cell_no")
 
 
