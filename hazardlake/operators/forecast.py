@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_
@@ -21,6 +22,7 @@ _RANK_BITS = 31
 _BUCKET_BITS = 16
 # Above this many rows in a class to be enlarged, balance by weights instead of by neighbours.
 SMOTE_LIMIT = 50_000
+MAX_CLASSES = 1000
 
 
 def drop_incomplete(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -42,44 +44,59 @@ def hash_rank(*keys: str, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1 << _RANK_BITS))
 
 
+def class_counts(df: DataFrame, label: str) -> dict[int, int]:
+    """Rows per class. More than MAX_CLASSES classes is an error: ``label`` is then no class column."""
+    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    return {row[0]: row[1] for row in rows}
+
+
+def _training_quotas(counts: dict[int, int], test_share: float) -> dict[int, int]:
+    """Training rows per class: proportional parts, the remainder to the largest fractions."""
+    total = sum(counts.values())
+    train = total - math.ceil(total * test_share)
+    parts = {c: divmod(train * n, total) for c, n in counts.items()}
+    spare = train - sum(whole for whole, _ in parts.values())
+    first = sorted(parts, key=lambda c: (-parts[c][1], c))[:spare]
+    return {c: whole + (c in first) for c, (whole, _) in parts.items()}
+
+
+def _per_class(label: str, values: dict[int, float], kind: str) -> Column:
+    """The value of the row's class, as an expression; no join."""
+    found = F.lit(None).cast(kind)
+    for c, value in values.items():
+        found = F.when(F.col(label) == c, F.lit(value).cast(kind)).otherwise(found)
+    return found
+
+
 def stratified_split(
     df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42, rank: Column | None = None
 ) -> DataFrame:
     """Adds ``is_train``: an exact split that keeps class shares, whatever the class sizes.
 
-    The test part has ceil(n * share) rows; classes get their proportional part, the remainder goes to the
-    largest fractions. Within a class the rows of lowest rank train. The cut is found on a histogram of
-    65,536 rank ranges per class, so only the one range that holds the cut is ever sorted, not the class.
+    The test part has ceil(n * share) rows. Within a class the rows of lowest rank train. The cut is found
+    on a histogram of 65,536 rank ranges per class, so only the one range that holds the cut is ever
+    sorted, not the class.
     """
+    quotas = _training_quotas(class_counts(df, label), test_share)
     rank = hash_rank(key, seed=seed) if rank is None else rank
     ranked = df.withColumn("_rank", rank).withColumn(
         "_range", F.shiftright("_rank", _RANK_BITS - _BUCKET_BITS).cast("int")
     )
-    histogram = ranked.groupBy(label, "_range").agg(F.count(F.lit(1)).alias("n"))
-    by_label = Window.partitionBy(label)
-    everything = Window.partitionBy()  # a handful of class rows
-    classes = (
-        histogram.groupBy(label)
-        .agg(F.sum("n").cast("decimal(38,0)").alias("n"))
-        .withColumn("total", F.sum("n").over(everything).cast("decimal(38,0)"))
-        .withColumn("train", F.floor(F.col("total") * F.lit(1 - test_share).cast("decimal(3,2)")).cast("decimal(19,0)"))
-        .withColumn("share", F.col("train") * F.col("n").cast("decimal(19,0)"))
-        .withColumn("quota", F.expr("share div total"))
-        .withColumn("rest", F.expr("share % total"))
-        .withColumn("spare", F.col("train") - F.sum("quota").over(everything))
-        .withColumn("place", F.row_number().over(everything.orderBy(F.col("rest").desc(), label)))
-        .select(label, (F.col("quota") + (F.col("place") <= F.col("spare")).cast("int")).cast("bigint").alias("quota"))
-    )
-    running = F.sum("n").over(by_label.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0))
+    up_to_here = Window.partitionBy(label).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
     cut = (
-        histogram.withColumn("upto", running)
-        .join(classes, label)
+        ranked.groupBy(label, "_range")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.sum("n").over(up_to_here))
+        .withColumn("quota", _per_class(label, quotas, "bigint"))
         .filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
         .select(label, F.col("_range").alias("_cut"), (F.col("quota") - F.col("upto") + F.col("n")).alias("_take"))
     )
-    located = ranked.join(cut, label, "left")
-    edge = F.col("_range") == F.col("_cut")
-    clear = located.filter(~F.coalesce(edge, F.lit(False))).withColumn(
+    # One row per class, and class_counts has checked how many classes there are.
+    located = ranked.join(F.broadcast(cut), label, "left")
+    edge = F.coalesce(F.col("_range") == F.col("_cut"), F.lit(False))
+    clear = located.filter(~edge).withColumn(
         "is_train", F.coalesce(F.col("_range") < F.col("_cut"), F.lit(False))
     )
     order = Window.partitionBy(label).orderBy("_rank", key)
@@ -93,16 +110,11 @@ def stratified_split(
 
 
 # ------------------------------------------------------------------ class balance
-def class_counts(df: DataFrame, label: str) -> dict[int, int]:
-    return {row[0]: row[1] for row in df.groupBy(label).count().collect()}
-
-
 def class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
     """Adds a weight that gives every class the total of the largest one."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    most = counts.agg(F.max("_n").alias("m"))
-    factors = counts.select(label, (most.scalar() / F.col("_n")).alias(weight))
-    return df.join(factors, label)
+    counts = class_counts(df, label)
+    most = max(counts.values())
+    return df.withColumn(weight, _per_class(label, {c: most / n for c, n in counts.items()}, "double"))
 
 
 def _uniform(salt: int, seed: int) -> Column:

@@ -76,7 +76,7 @@ def explode_pixels(images: DataFrame, pixels: str = "pixels") -> DataFrame:
 
 def silver_pixels(pixels: DataFrame) -> DataFrame:
     """Classified, area-enriched pixels in the 26-column layout plus date parts."""
-    return pixels.select(
+    return pixels.withColumn("_ts", parse_iso(F.col("timestamp"))).select(
         "image_pointer",
         "timestamp",
         "microarea_id",
@@ -94,7 +94,7 @@ def silver_pixels(pixels: DataFrame) -> DataFrame:
         "classification_confidence",
         "processing_type",
         *[F.coalesce(F.col(name), F.lit(0.0)).alias(name) for name in INDICES],
-        *date_parts(parse_iso(F.col("timestamp"))),
+        *date_parts(F.col("_ts")),
     )
 
 
@@ -292,7 +292,7 @@ def flat_scenes(assessed: DataFrame) -> DataFrame:
 
     ``response_timestamp`` is the wall clock of the sink and is added there, not here.
     """
-    return assessed.select(
+    return assessed.withColumn("_ts", parse_iso(F.col("timestamp"))).select(
         "image_pointer",
         F.col("timestamp").alias("event_timestamp"),
         "microarea_id",
@@ -331,5 +331,5 @@ def flat_scenes(assessed: DataFrame) -> DataFrame:
         "geographic_spread_km2",
         "hotspot_concentration_percent",
         F.array_join("advice", ",").alias("recommendations"),
-        *date_parts(parse_iso(F.col("timestamp"))),
+        *date_parts(F.col("_ts")),
     )

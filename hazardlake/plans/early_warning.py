@@ -48,7 +48,7 @@ def parse_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     )
     raw = table(spark, sf, "events").select("event_id", text.alias("value"))
     parsed = records.parse(raw, {"k": "int"}, ["k"], None)
-    return parsed.select("event_id", "value", F.coalesce("problem", F.lit("ok")).alias("route"), F.col("record.k").alias("k"))
+    return parsed.select("event_id", "value", F.coalesce("problem", F.lit("ok")).alias("route"), F.col("record.k").cast("double").alias("k"))
 
 
 def bronze_partitioned(spark: SparkSession, sf: str) -> DataFrame:
@@ -143,7 +143,7 @@ _COMPLETE = "SELECT * FROM v_weather WHERE sst IS NOT NULL AND swvl1 IS NOT NULL
 QUERIES = {
     "parse_quarantine": (
         parse_quarantine,
-        """SELECT event_id, value, CASE WHEN NOT json_valid(value) THEN 'malformed' WHEN k IS NULL THEN 'missing k' ELSE 'ok' END AS route, k
+        """SELECT event_id, value, CASE WHEN NOT json_valid(value) THEN 'malformed' WHEN k IS NULL THEN 'missing k' ELSE 'ok' END AS route, k::DOUBLE AS k
 FROM (SELECT *, CASE WHEN json_valid(value) THEN TRY_CAST(json_extract_string(value, '$.k') AS INTEGER) END AS k
       FROM (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN substr(props, 1, length(props) - 2)
                                   WHEN event_id % 7 = 0 THEN replace(props, '"k"', '"other"') ELSE props END AS value FROM events))""",

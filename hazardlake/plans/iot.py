@@ -143,9 +143,16 @@ def alert_level(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(spark, sf).select(*_area_key(), "alert_level")
 
 
+_NULLABLE_COUNTS = [
+    "pop_center_distance_m", "pop_center_population", "power_infra_distance_m", "water_infra_distance_m", "evac_radius_m",
+]
+
+
 def gold_iot_flat(spark: SparkSession, sf: str) -> DataFrame:
     events = event_stage(proxies.sensor_readings(spark, sf), proxies.stations(spark, sf), IOT_WINDOW)
-    return sensors.flat_events(events).withColumn("detection_confidence", F.round("detection_confidence", 6))
+    flat = sensors.flat_events(events).withColumn("detection_confidence", F.round("detection_confidence", 6))
+    # Quiet events have NULL here; doubles compare alike in every client, nullable integers do not.
+    return flat.withColumns({name: F.col(name).cast("double") for name in _NULLABLE_COUNTS})
 
 
 def gold_iot_event(spark: SparkSession, sf: str) -> DataFrame:
@@ -201,15 +208,15 @@ SELECT event_id, microarea_id AS region_id, response_ms AS response_timestamp, {
   {", ".join(f"{_lit(v)} AS {k}" for k, v in TERRAIN.items())},
   CASE WHEN is_fire THEN 'wildfire_alert' END AS event_triggered, alert_level,
   CASE WHEN is_fire THEN 'activated_coordination_and_recovery_system' END AS action_taken, true AS automated,
-  CASE WHEN is_fire THEN 'Highland Park' END AS pop_center_name, CASE WHEN is_fire THEN 2500 END AS pop_center_distance_m,
-  CASE WHEN is_fire THEN 12500 END AS pop_center_population, CASE WHEN is_fire THEN 'high' END AS pop_center_evac_priority,
-  CASE WHEN is_fire THEN 'Highland Substation' END AS power_infra_name, CASE WHEN is_fire THEN 1800 END AS power_infra_distance_m,
+  CASE WHEN is_fire THEN 'Highland Park' END AS pop_center_name, CASE WHEN is_fire THEN 2500::DOUBLE END AS pop_center_distance_m,
+  CASE WHEN is_fire THEN 12500::DOUBLE END AS pop_center_population, CASE WHEN is_fire THEN 'high' END AS pop_center_evac_priority,
+  CASE WHEN is_fire THEN 'Highland Substation' END AS power_infra_name, CASE WHEN is_fire THEN 1800::DOUBLE END AS power_infra_distance_m,
   CASE WHEN is_fire THEN 'high' END AS power_infra_priority,
-  CASE WHEN is_fire THEN 'Eagle Rock Reservoir' END AS water_infra_name, CASE WHEN is_fire THEN 3200 END AS water_infra_distance_m,
+  CASE WHEN is_fire THEN 'Eagle Rock Reservoir' END AS water_infra_name, CASE WHEN is_fire THEN 3200::DOUBLE END AS water_infra_distance_m,
   CASE WHEN is_fire THEN 'medium' END AS water_infra_priority,
   CASE WHEN is_fire THEN 'high' END AS fire_deploy_priority,
   CASE WHEN is_fire THEN 'engine_company,brush_unit,water_tender' END AS fire_recommended_resources,
-  CASE WHEN is_fire THEN 'medium' END AS evac_priority, CASE WHEN is_fire THEN 3000 END AS evac_radius_m,
+  CASE WHEN is_fire THEN 'medium' END AS evac_priority, CASE WHEN is_fire THEN 3000::DOUBLE END AS evac_radius_m,
   CASE WHEN is_fire THEN 'east' END AS evac_direction,
   CASE WHEN is_fire THEN 'confirmed' END AS fire_dept_delivery_status,
   CASE WHEN is_fire THEN {sql.iso("w_end")} END AS fire_dept_notif_timestamp,

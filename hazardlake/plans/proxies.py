@@ -18,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for heavy per-row work (pixels, texts).
+
+    One unsplittable file is one task however many cores wait, so a scan with fewer tasks than cores is
+    spread first. A table of many files already has more tasks than that and is left alone.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def _station_id(user: Column) -> Column:
     text = user.cast("string")
     number = F.lpad(text, F.greatest(F.length(text), F.lit(6)), F.lit("0"))
@@ -88,7 +99,7 @@ def microareas(spark: SparkSession) -> DataFrame:
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reflectance pixel per ``lineitem`` row; eight orders share an image."""
-    items = table(spark, sf_dir, "lineitem").select(
+    items = spread_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
@@ -128,7 +139,7 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return image_columns(table(spark, sf_dir, "orders"))
+    return image_columns(spread_table(spark, sf_dir, "orders"))
 
 
 def image_columns(orders: DataFrame) -> DataFrame:

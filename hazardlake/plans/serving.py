@@ -126,7 +126,9 @@ def point_in_cell(spark: SparkSession, sf: str) -> DataFrame:
     points = proxies.points(spark, sf).withColumn(
         "macroarea_id", F.concat(F.lit("A"), (F.col("point_id") % 2).cast("string"))
     )
-    return grid.locate_points(points, regions, proxies.MICROAREA_KM2, "macroarea_id").select("point_id", "cell_no")
+    return grid.locate_points(points, regions, proxies.MICROAREA_KM2, "macroarea_id").select(
+        "point_id", F.coalesce("cell_no", F.lit(0)).alias("cell_no")
+    )
 
 
 def _nation_boxes(spark: SparkSession, sf: str) -> DataFrame:
@@ -337,7 +339,7 @@ JOIN v_microarea m ON e.region_id = m.microarea_id, (SELECT CAST(c AS INTEGER) A
     "point_in_cell": (
         point_in_cell,
         sql.with_views(sql.V_GRID, _PLACES)
-        + """SELECT p.point_id, min(g.cell_no) AS cell_no FROM places p LEFT JOIN v_grid g
+        + """SELECT p.point_id, coalesce(min(g.cell_no), 0) AS cell_no FROM places p LEFT JOIN v_grid g
   ON p.longitude BETWEEN g.min_long AND g.max_long AND p.latitude BETWEEN g.min_lat AND g.max_lat GROUP BY p.point_id""",
     ),
     "microarea_grid": (

@@ -14,7 +14,7 @@ from hazardlake.operators import text_model
 from hazardlake.operators.text_model import CentroidModel
 from hazardlake.plans import oracle as sql
 from hazardlake.plans import proxies
-from hazardlake.plans.proxies import table
+from hazardlake.plans.proxies import spread_table, table
 from hazardlake.plans.serving import V_MESSAGE
 from hazardlake.session import scratch_dir
 
@@ -69,22 +69,22 @@ def _model(spark: SparkSession, documents: DataFrame, labels: list[str]) -> Cent
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text", F.col("lang").alias("label"))
+    return spread_table(spark, sf, "documents").select("doc_id", "text", F.col("lang").alias("label"))
 
 
 def _items(spark: SparkSession, sf: str) -> DataFrame:
     """All documents and benchmark passages."""
-    documents = table(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item"), "text")
+    documents = spread_table(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item"), "text")
     passages = table(spark, sf, "benchmark").select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("item"), "text")
     return documents.unionByName(passages)
 
 
 def text_clean(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", clean(F.col("text")).alias("clean_text"))
+    return spread_table(spark, sf, "documents").select("doc_id", clean(F.col("text")).alias("clean_text"))
 
 
 def ngram_terms(spark: SparkSession, sf: str) -> DataFrame:
-    found = text_model.terms(table(spark, sf, "documents").select("doc_id", "text"), F.col("text"))
+    found = text_model.terms(spread_table(spark, sf, "documents").select("doc_id", "text"), F.col("text"))
     return found.select(
         "doc_id",
         F.size("terms").cast("bigint").alias("n_terms"),
@@ -94,13 +94,13 @@ def ngram_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vocabulary_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return text_model.vocabulary(table(spark, sf, "documents").select("doc_id", "text")).withColumn(
+    return text_model.vocabulary(spread_table(spark, sf, "documents").select("doc_id", "text")).withColumn(
         "idf", F.round("idf", 8)
     )
 
 
 def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select("doc_id", "text")
+    documents = spread_table(spark, sf, "documents").select("doc_id", "text")
     counts = text_model.term_counts(documents, ["doc_id"], text_model.vocabulary(documents))
     return text_model.tfidf_vectors(counts, ["doc_id"]).withColumn("weight", F.round("weight", 8))
 
@@ -148,7 +148,7 @@ def social_error_rows(spark: SparkSession, sf: str) -> DataFrame:
 def gold_social_classified(spark: SparkSession, sf: str) -> DataFrame:
     """The whole flow: train, classify every message, keep signals, gold layout."""
     label = F.element_at(F.create_map(*[F.lit(x) for pair in LANGUAGE_CATEGORY.items() for x in pair]), F.col("lang"))
-    documents = table(spark, sf, "documents").select("doc_id", "text", label.alias("label"))
+    documents = spread_table(spark, sf, "documents").select("doc_id", "text", label.alias("label"))
     model = _model(spark, documents, list(LANGUAGE_CATEGORY.values()))
     good, _ = split_errors(proxies.messages(spark, sf).drop("category"))
     return gold_social_columns(signals_only(classify_stage(good, model)), F.col("ts"))
