@@ -156,15 +156,29 @@ def gold_iot_flat(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_iot_event(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as topic payloads together with the size of their station pages."""
+    """Events as topic payloads with their station pages, read back from the JSON a consumer would get."""
     enriched = _enriched(spark, sf)
     scored = area_stage(enriched, IOT_WINDOW)
     pages = sensors.event_station_pages(scored, enriched).select(
-        "event_id", "page", "pages", F.size("stations").alias("page_stations"), F.to_json("stations").alias("stations_json")
+        "event_id",
+        "page",
+        "pages",
+        F.size("stations").alias("page_stations"),
+        F.array_join(F.col("stations.station_id"), ",").alias("station_ids"),
     )
-    payload = json_payload(sensors.area_events(scored), "event_id")
-    return payload.join(pages, payload.key == pages.event_id).select(
-        "event_id", F.col("value").alias("event_json"), "page", "pages", "page_stations", "stations_json"
+    payload = json_payload(sensors.area_events(scored), "event_id").withColumnRenamed("key", "event_id")
+    notified = "$.system_response.sent_notifications_to[1]"
+    return payload.join(pages, "event_id").select(
+        "event_id",
+        "page",
+        "pages",
+        "page_stations",
+        "station_ids",
+        F.get_json_object("value", "$.event_type").alias("event_type"),
+        F.get_json_object("value", "$.aggregated_detection.severity_score").cast("double").alias("severity_score"),
+        F.get_json_object("value", f"{notified}.agency").alias("second_agency"),
+        F.get_json_object("value", f"{notified}.notification_timestamp").alias("notified_at"),
+        F.get_json_object("value", "$.environmental_context.terrain_info.aspect").alias("aspect"),
     )
 
 
@@ -296,7 +310,16 @@ FROM enriched""",
     ),
     "alert_level": (alert_level, sql.with_views(*sql.IOT_TO_SCORED) + f"SELECT {_KEY}, alert_level FROM scored"),
     "gold_iot_flat": (gold_iot_flat, sql.with_views(*sql.IOT_TO_SCORED) + _GOLD),
-    "gold_iot_event": (gold_iot_event, None),
+    "gold_iot_event": (
+        gold_iot_event,
+        sql.with_views(*sql.IOT_TO_SCORED)
+        + f"""SELECT event_id, 0::INTEGER AS page, 1::INTEGER AS pages, CAST(total_stations AS INTEGER) AS page_stations, station_ids,
+  CASE WHEN is_fire THEN 'wildfire' ELSE 'normal' END AS event_type, severity_score,
+  CASE WHEN is_fire THEN 'emergency_management' END AS second_agency, CASE WHEN is_fire THEN {sql.iso("s.w_end")} END AS notified_at,
+  'west-facing' AS aspect
+FROM scored s JOIN (SELECT microarea_id, w_end, string_agg(station_id, ',' ORDER BY station_id) AS station_ids FROM enriched GROUP BY ALL) e
+  ON s.microarea_id = e.microarea_id AND s.w_end = e.w_end""",
+    ),
     "alert_payload_json": (
         alert_payload_json,
         sql.with_views(*sql.IOT_TO_SCORED)
