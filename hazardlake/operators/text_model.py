@@ -221,7 +221,7 @@ def vector_classify(vectors: DataFrame, centroids: DataFrame, key: str, label: s
     model = centroids.agg(
         F.when(
             F.count(F.lit(1)) <= MAX_LABELS, F.sort_array(F.collect_list(F.struct(F.col(label).alias("label"), "centroid")))
-        ).otherwise(F.raise_error(F.lit("too many labels for a centroid model")).cast("array<struct<label:int,centroid:array<double>>>"))
+        ).otherwise(F.raise_error(F.lit("too many labels for a centroid model")))
     ).alias("m")
     x = F.transform(vector, lambda v: v.cast("double"))
     scored = vectors.select(key, x.alias("x"), model.scalar().alias("model")).select(

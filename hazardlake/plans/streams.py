@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,22 @@ from hazardlake.streaming import flows
 from hazardlake.streaming.sinks import run_available
 
 
+@contextmanager
+def _local_state(spark: SparkSession) -> Iterator[None]:
+    """On a local session, one state partition per core; a cluster keeps its own setting.
+
+    The number is fixed by a stream's first run, and hundreds of state files per batch are slow on one disk.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a file stream."""
     schema = table(spark, sf, name).schema
@@ -39,7 +57,8 @@ def stream_area_windows(spark: SparkSession, sf: str) -> DataFrame:
         "anomalous_stations",
         millis(F.col("latest_event_ts")).alias("latest_event_timestamp"),
     )
-    run_available(file_sink(rows, os.path.join(out, "data"), os.path.join(out, "state"), []))
+    with _local_state(spark):
+        run_available(file_sink(rows, os.path.join(out, "data"), os.path.join(out, "state"), []))
     return spark.read.schema(rows.schema).parquet(os.path.join(out, "data"))
 
 
@@ -47,7 +66,8 @@ def stream_silver_iot(spark: SparkSession, sf: str) -> DataFrame:
     """Both silver tables written by one stream."""
     out = scratch_dir(spark, "silver")
     stations = flows.station_stream(_readings(spark, sf), proxies.stations(spark, sf), IOT_WINDOW)
-    run_available(flows.sensor_silver(stations, os.path.join(out, "data"), os.path.join(out, "state")))
+    with _local_state(spark):
+        run_available(flows.sensor_silver(stations, os.path.join(out, "data"), os.path.join(out, "state")))
     keep = ["station_id", "microarea_id", "response_timestamp", "latest_event_timestamp"]
     normal = spark.read.parquet(os.path.join(out, "data", "normal")).select(F.lit("normal").alias("route"), *keep)
     alarms = spark.read.parquet(os.path.join(out, "data", "anomalies")).select(
@@ -60,7 +80,8 @@ def stream_gold_iot(spark: SparkSession, sf: str) -> DataFrame:
     """Gold events written by the chained stream."""
     out = scratch_dir(spark, "gold")
     areas = flows.area_stream(_readings(spark, sf), proxies.stations(spark, sf), IOT_WINDOW)
-    run_available(flows.sensor_gold(areas, os.path.join(out, "data"), os.path.join(out, "state")))
+    with _local_state(spark):
+        run_available(flows.sensor_gold(areas, os.path.join(out, "data"), os.path.join(out, "state")))
     return spark.read.parquet(os.path.join(out, "data")).select(
         "event_id", "region_id", "response_timestamp", "event_type", "severity_score", "alert_level", "air_quality_index",
         "estimated_ignition_time", "fire_spread_rate", "fire_direction", "fire_speed_mph",
@@ -71,7 +92,8 @@ def stream_gold_sat(spark: SparkSession, sf: str) -> DataFrame:
     """Silver pixels and gold images written by one stateless stream; returns the gold rows."""
     out = scratch_dir(spark, "images")
     images = proxies.image_columns(_stream(spark, sf, "orders"))
-    run_available(flows.image_layers(images, proxies.microareas(spark), os.path.join(out, "data"), os.path.join(out, "state")))
+    with _local_state(spark):
+        run_available(flows.image_layers(images, proxies.microareas(spark), os.path.join(out, "data"), os.path.join(out, "state")))
     gold = spark.read.parquet(os.path.join(out, "data", "gold")).drop("batch_id", "response_timestamp")
     return satellite.rounded_box(gold)
 
@@ -80,10 +102,11 @@ def stream_message_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Messages per closed window, area and category."""
     out = scratch_dir(spark, "messages")
     messages = proxies.message_columns(_stream(spark, sf, "conversations"))
-    counts = flows.message_counts(messages, "1 hour").select(
+    counts = flows.message_counts(messages, "5 minutes").select(
         millis(F.col("w.start")).alias("window_start_ms"), "microarea_id", "category", "n_messages"
     )
-    run_available(file_sink(counts, os.path.join(out, "data"), os.path.join(out, "state"), []))
+    with _local_state(spark):
+        run_available(file_sink(counts, os.path.join(out, "data"), os.path.join(out, "state"), []))
     return spark.read.schema(counts.schema).parquet(os.path.join(out, "data"))
 
 
@@ -113,8 +136,8 @@ FROM enriched WHERE {_CLOSED}""",
     "stream_message_counts": (
         stream_message_counts,
         sql.with_views(serving.V_MESSAGE)
-        + f"""SELECT {sql.ms("time_bucket(INTERVAL 1 HOUR, ts)")} AS window_start_ms, microarea_id, category, count(*) AS n_messages
-FROM v_message WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 SECOND FROM v_message)
+        + f"""SELECT {sql.ms("time_bucket(INTERVAL 5 MINUTE, ts)")} AS window_start_ms, microarea_id, category, count(*) AS n_messages
+FROM v_message WHERE time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= (SELECT max(ts) - INTERVAL 2 SECOND FROM v_message)
 GROUP BY ALL""",
     ),
 }
