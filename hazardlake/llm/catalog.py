@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from hazardlake.llm import fingerprints, line_dedup
+from hazardlake.llm import fingerprints, line_dedup, minhash_dedup
 
 QUERIES = {
     "op3_line_dedup": (line_dedup.op3_line_dedup, line_dedup.SQL),
+    "op7_minhash_dedup": (minhash_dedup.op7_minhash_dedup, None),
     "op10_document_fingerprints": (fingerprints.op10_document_fingerprints, None),
 }
