@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from hazardlake.llm import fingerprints, line_dedup, minhash_dedup
+from hazardlake.llm import bpe, fingerprints, line_dedup, minhash_dedup, mixing, toxicity
 
 QUERIES = {
     "op3_line_dedup": (line_dedup.op3_line_dedup, line_dedup.SQL),
+    "op4_bpe": (bpe.op4_bpe, None),
+    "op5_toxicity": (toxicity.op5_toxicity, None),
     "op7_minhash_dedup": (minhash_dedup.op7_minhash_dedup, None),
+    "op8_mixing": (mixing.op8_mixing, None),
     "op10_document_fingerprints": (fingerprints.op10_document_fingerprints, None),
 }
