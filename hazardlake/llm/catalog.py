@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from hazardlake.llm import bpe, fingerprints, line_dedup, minhash_dedup, mixing, toxicity
+from hazardlake.llm import (
+    bpe,
+    embedding_dedup,
+    fingerprints,
+    language_id,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    toxicity,
+)
 
 QUERIES = {
+    "op1_embedding_dedup": (embedding_dedup.op1_embedding_dedup, None),
+    "op2_license_scan": (license_scan.op2_license_scan, None),
     "op3_line_dedup": (line_dedup.op3_line_dedup, line_dedup.SQL),
     "op4_bpe": (bpe.op4_bpe, None),
     "op5_toxicity": (toxicity.op5_toxicity, None),
+    "op6_language_id": (language_id.op6_language_id, None),
     "op7_minhash_dedup": (minhash_dedup.op7_minhash_dedup, None),
     "op8_mixing": (mixing.op8_mixing, None),
     "op10_document_fingerprints": (fingerprints.op10_document_fingerprints, None),
