@@ -11,6 +11,7 @@ from hazardlake.llm import (
     line_dedup,
     minhash_dedup,
     mixing,
+    substring_dedup,
     toxicity,
 )
 
@@ -23,5 +24,6 @@ QUERIES = {
     "op6_language_id": (language_id.op6_language_id, None),
     "op7_minhash_dedup": (minhash_dedup.op7_minhash_dedup, None),
     "op8_mixing": (mixing.op8_mixing, None),
+    "op9_suffix_array_dedup": (substring_dedup.op9_suffix_array_dedup, None),
     "op10_document_fingerprints": (fingerprints.op10_document_fingerprints, None),
 }
