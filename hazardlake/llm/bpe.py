@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from hazardlake.llm import common
 
@@ -164,10 +165,11 @@ def round_trip(docs: DataFrame, path: str, carry: tuple[str, ...] = (), with_ids
         definition = file.read()
     rows = docs.select("doc_id", *carry, docs["text"].cast("string").alias("_text"))
     kept = ["doc_id", *carry]
-    kind = rows.select(*kept).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if with_ids else "")
+    kind = StructType([*rows.select(*kept).schema, *StructType.fromDDL(added)])
     names = [*kept, "n_tokens", "ids_sha256", "decoded_sha256"]
     if with_ids:
-        kind, names = kind.add("ids", "array<int>").add("decoded", "string"), [*names, "ids", "decoded"]
+        names += ["ids", "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = WordBpe(definition)
