@@ -19,8 +19,9 @@ from hazardlake.llm import common
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, CAP = 1.5, 2.0
 BLOCK = 5000
-#: Documents of a source's last block that stay out of the flight, so that the landing has choices.
-LANDING = 10
+#: Documents of a source's last block that stay out of the flight, so that the landing has choices. Half of them are
+#: the largest ones: others cannot make up for them, so a flight would leave them open to the end.
+LANDING = 14
 #: More sources than this are joined by a shuffle instead of a broadcast.
 BROADCAST_SOURCES = 100_000
 
@@ -124,6 +125,9 @@ def _fly(open_rows: DataFrame, n_blocks: Column, level: int, land: bool, seed: i
         source = group["source"].iloc[0]
         rng = common.digest_rng(seed, level, None if pd.isna(source) else str(source), int(group["block"].iloc[0]))
         order = rng.permutation(len(group))
+        if land:
+            largest = np.argsort(-group["size"].to_numpy()[order], kind="stable")[: LANDING // 2]
+            order = np.append(np.delete(order, largest), order[largest])
         group = group.iloc[order]
         size = group["size"].to_numpy(float)
         share = group["share"].to_numpy(float)
