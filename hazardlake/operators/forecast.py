@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -20,8 +20,8 @@ from hazardlake.constants import FEATURES
 
 _RANK_BITS = 31
 _BUCKET_BITS = 16
-# Above this many rows in a class to be enlarged, balance by weights instead of by neighbours.
-SMOTE_LIMIT = 50_000
+# Rows of a class that one task of the neighbour search compares with as many others.
+NEIGHBOUR_BLOCK = 4096
 MAX_CLASSES = 1000
 
 
@@ -70,43 +70,49 @@ def _per_class(label: str, values: dict[int, float], kind: str) -> Column:
     return found
 
 
-def stratified_split(
-    df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42, rank: Column | None = None
+def _lowest_ranked(
+    df: DataFrame, label: str, key: str, quotas: dict[int, int], name: str, seed: int, rank: Column | None = None
 ) -> DataFrame:
-    """Adds ``is_train``: an exact split that keeps class shares, whatever the class sizes.
+    """Adds ``name``: whether a row is among the ``quotas[class]`` rows of lowest rank (ties by key) of its class.
 
-    The test part has ceil(n * share) rows. Within a class the rows of lowest rank train. The cut is found
-    on a histogram of 65,536 rank ranges per class, so only the one range that holds the cut is ever
-    sorted, not the class.
+    The cut of each class is found on a histogram of 65,536 rank ranges and then in the one range that holds
+    it, so no class is ever sorted. One row per class is broadcast and all rows are compared in one pass.
     """
-    quotas = _training_quotas(class_counts(df, label), test_share)
     rank = hash_rank(key, seed=seed) if rank is None else rank
-    ranked = df.withColumn("_rank", rank).withColumn(
-        "_range", F.shiftright("_rank", _RANK_BITS - _BUCKET_BITS).cast("int")
+    ranked = df.withColumn("_rank", rank)
+    ranges = ranked.select(
+        label, key, "_rank", F.shiftright("_rank", _RANK_BITS - _BUCKET_BITS).cast("int").alias("_range")
     )
     up_to_here = Window.partitionBy(label).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
     cut = (
-        ranked.groupBy(label, "_range")
+        ranges.groupBy(label, "_range")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(up_to_here))
         .withColumn("quota", _per_class(label, quotas, "bigint"))
         .filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
-        .select(label, F.col("_range").alias("_cut"), (F.col("quota") - F.col("upto") + F.col("n")).alias("_take"))
-    )
-    # One row per class, and class_counts has checked how many classes there are.
-    located = ranked.join(F.broadcast(cut), label, "left")
-    edge = F.coalesce(F.col("_range") == F.col("_cut"), F.lit(False))
-    clear = located.filter(~edge).withColumn(
-        "is_train", F.coalesce(F.col("_range") < F.col("_cut"), F.lit(False))
+        .select(label, "_range", (F.col("quota") - F.col("upto") + F.col("n")).alias("_take"))
     )
     order = Window.partitionBy(label).orderBy("_rank", key)
-    close = (
-        located.filter(edge)
+    edge = (
+        ranges.join(F.broadcast(cut), [label, "_range"])  # one row per class; class_counts has checked how many
         .withColumn("_no", F.row_number().over(order))
-        .withColumn("is_train", F.col("_no") <= F.col("_take"))
-        .drop("_no")
+        .filter("_no = _take")
+        .select(F.col(label).alias("_class"), F.struct("_rank", F.col(key).alias("_key")).alias("_edge"))
     )
-    return clear.unionByName(close).drop("_rank", "_range", "_cut", "_take")
+    here = F.struct("_rank", F.col(key).alias("_key"))
+    located = ranked.join(F.broadcast(edge), F.col(label) == F.col("_class"), "left")
+    return located.withColumn(name, F.coalesce(here <= F.col("_edge"), F.lit(False))).drop("_rank", "_class", "_edge")
+
+
+def stratified_split(
+    df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42, rank: Column | None = None
+) -> DataFrame:
+    """Adds ``is_train``: an exact split that keeps class shares, whatever the class sizes.
+
+    The test part has ceil(n * share) rows. Within a class the rows of lowest rank train.
+    """
+    quotas = _training_quotas(class_counts(df, label), test_share)
+    return _lowest_ranked(df, label, key, quotas, "is_train", seed, rank)
 
 
 # ------------------------------------------------------------------ class balance
@@ -118,8 +124,48 @@ def class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFram
 
 
 def _uniform(salt: int, seed: int) -> Column:
-    """Uniform [0, 1) per (class, synthetic row), independent of partitioning."""
-    return F.pmod(F.xxhash64("_class", "_i", F.lit(seed), F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+    """Uniform [0, 1) per (row, synthetic row), independent of partitioning."""
+    return F.pmod(F.xxhash64("_key", "_i", F.lit(seed), F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+
+
+def nearest(rows: DataFrame, k: int) -> DataFrame:
+    """``_class, _key, _near``: the ``k`` nearest other rows of the class (distance, key, vector), ties by key.
+
+    ``rows``: ``_class, _key, _v, _n`` (rows of the class) and ``_asks``, whether a row wants neighbours. A class is
+    dealt into blocks of about ``NEIGHBOUR_BLOCK`` rows. Each pair of blocks is one group of bounded size that
+    returns k candidates for each of its asking rows; the best of a row's candidates are exact.
+    """
+    kind = rows.schema["_key"].dataType.simpleString()
+    blocks = F.ceil(F.col("_n") / NEIGHBOUR_BLOCK).cast("int")
+    dealt = rows.withColumn("_own", F.pmod(F.xxhash64("_key"), blocks).cast("int")).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    )
+    both = dealt.filter("_asks").select("_class", F.col("_own").alias("_q"), F.col("_other").alias("_b"), "_asks", "_key", "_v").unionByName(
+        dealt.select("_class", F.col("_other").alias("_q"), F.col("_own").alias("_b"), F.lit(False).alias("_asks"), "_key", "_v")
+    )
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        asking, every = group[group["_asks"]], group[~group["_asks"]].sort_values("_key")
+        found = []
+        if len(asking) and len(every):
+            points = np.array(every["_v"].tolist(), dtype=float)
+            keys = every["_key"].to_numpy()
+            wanted = np.array(asking["_v"].tolist(), dtype=float)
+            for start in range(0, len(asking), 64):
+                part = slice(start, start + 64)
+                distance = ((wanted[part, None, :] - points[None, :, :]) ** 2).sum(axis=2)
+                distance[asking["_key"].to_numpy()[part, None] == keys[None, :]] = np.inf
+                for row in distance:
+                    best = np.argsort(row, kind="stable")[:k]
+                    found.append([{"d": row[i], "k": keys[i], "v": points[i].tolist()} for i in best if np.isfinite(row[i])])
+        return pd.DataFrame({"_class": asking["_class"], "_key": asking["_key"], "_near": found if found else [[]] * len(asking)})
+
+    candidates = both.groupBy("_class", "_q", "_b").applyInPandas(
+        compare, f"_class int, _key {kind}, _near array<struct<d: double, k: {kind}, v: array<double>>>"
+    )
+    return candidates.groupBy("_class", "_key").agg(
+        F.slice(F.sort_array(F.flatten(F.collect_list("_near"))), 1, k).alias("_near")
+    )
 
 
 def smote(
@@ -127,63 +173,37 @@ def smote(
 ) -> DataFrame:
     """Original rows plus synthetic ones until every class is as large as the largest.
 
-    A synthetic row lies between a row of its class and one of that row's ``k`` nearest neighbours in the
-    class. The class to be enlarged is broadcast, after its size is checked against SMOTE_LIMIT; each task
-    finds the exact neighbours of its own rows. ``balance`` takes another way for larger classes.
+    A synthetic row lies between a row of its class and one of that row's ``k`` nearest neighbours in the class.
+    Every row of a class gets the same number of synthetic rows, and those of lowest rank one more, so the total is
+    exact. Neighbours come from a blocked search (``nearest``); the method is the same for classes of every size.
+    ``key`` is unique; a row without neighbours is repeated.
     """
-    spark = df.sparkSession
     names = list(features)
     counts = class_counts(df, label)
-    most = max(counts.values())
-    small = {c: n for c, n in counts.items() if n < most}
-    too_large = {c: n for c, n in small.items() if n > SMOTE_LIMIT}
-    if too_large:
-        raise ValueError(f"classes {too_large} exceed {SMOTE_LIMIT} rows; use class_weights")
+    most = max(counts.values(), default=0)
+    small = {c: n for c, n in counts.items() if c is not None and n < most}
     original = df.select(label, *names, F.lit(False).alias("synthetic"))
     if not small:
         return original
+    wanted = {c: divmod(most - n, n) for c, n in small.items()}
     vector = F.array(*[F.col(name).cast("double") for name in names])
-    rows = df.filter(F.col(label).isin(list(small))).select(
-        F.col(label).alias("_class"),
-        (F.row_number().over(Window.partitionBy(label).orderBy(key)) - 1).alias("_no"),
-        vector.alias("_v"),
+    ranked = _lowest_ranked(
+        df.filter(F.col(label).isin(list(small))), label, key, {c: rest for c, (_, rest) in wanted.items()}, "_more", seed
     )
-    # At most SMOTE_LIMIT rows per class, checked above.
-    local = rows.orderBy("_class", "_no").toPandas()
-    matrices = {c: np.array(part["_v"].tolist(), dtype=float) for c, part in local.groupby("_class")}
-    shared = spark.sparkContext.broadcast(matrices)
-
-    def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for cls, part in batch.groupby("_class"):
-                every = shared.value[cls]
-                near = []
-                for no, v in zip(part["_no"], part["_v"]):
-                    distance = ((every - np.asarray(v, dtype=float)) ** 2).sum(axis=1)
-                    distance[no] = np.inf  # itself
-                    take = min(k, len(every) - 1)
-                    best = np.argpartition(distance, take - 1)[:take] if take else np.array([no])
-                    best = best[np.lexsort((best, distance[best]))]
-                    near.append([every[i].tolist() for i in best])
-                yield pd.DataFrame({"_class": cls, "_no": part["_no"].values, "_v": part["_v"].values, "_near": near})
-
-    near = rows.mapInPandas(neighbours, "_class int, _no int, _v array<double>, _near array<array<double>>")
-    wanted = [
-        spark.range(most - n).select(F.lit(c).cast("int").alias("_class"), F.col("id").alias("_i"), F.lit(n).alias("_n"))
-        for c, n in small.items()
-    ]
-    plan = wanted[0]
-    for part in wanted[1:]:
-        plan = plan.unionByName(part)
-    plan = plan.select(
-        "_class",
-        F.floor(_uniform(1, seed) * F.col("_n")).cast("int").alias("_no"),
-        _uniform(2, seed).alias("_pick"),
-        _uniform(3, seed).alias("_gap"),
-    )
-    chosen = F.col("_near")[F.floor(F.col("_pick") * F.size("_near")).cast("int")]
-    between = F.zip_with("_v", chosen, lambda a, b: a + (b - a) * F.col("_gap"))
-    synthetic = plan.join(near, ["_class", "_no"]).select("_class", between.alias("_x"))
+    rows = ranked.select(
+        F.col(label).cast("int").alias("_class"),
+        F.col(key).alias("_key"),
+        vector.alias("_v"),
+        _per_class(label, small, "bigint").alias("_n"),
+        (_per_class(label, {c: each for c, (each, _) in wanted.items()}, "int") + F.col("_more").cast("int")).alias("_times"),
+    ).withColumn("_asks", F.col("_times") > 0)
+    plan = rows.filter("_asks").join(nearest(rows.drop("_times"), k), ["_class", "_key"])
+    plan = plan.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    place = F.floor(_uniform(2, seed) * F.size("_near")).cast("int")
+    chosen = F.when(F.size("_near") > 0, F.get("_near", place)["v"]).otherwise(F.col("_v"))
+    synthetic = plan.select("_class", F.zip_with("_v", chosen, lambda a, b: F.struct(a.alias("a"), b.alias("b"))).alias("_ab"), _uniform(3, seed).alias("_gap"))
+    between = F.transform("_ab", lambda x: x["a"] + (x["b"] - x["a"]) * F.col("_gap"))
+    synthetic = synthetic.select("_class", between.alias("_x"))
     return original.unionByName(
         synthetic.select(
             F.col("_class").alias(label), *[F.col("_x")[i].alias(name) for i, name in enumerate(names)], F.lit(True).alias("synthetic")
@@ -194,14 +214,7 @@ def smote(
 def balance(
     df: DataFrame, label: str, features: Sequence[str] = FEATURES, seed: int = 42, key: str = "row_id"
 ) -> DataFrame:
-    """Balanced training rows with a ``weight``.
-
-    Small minorities are filled up with synthetic rows (weight 1); when one is too large to broadcast, every
-    row is kept as it is and classes are evened out by weight.
-    """
-    counts = class_counts(df, label)
-    if any(SMOTE_LIMIT < n < max(counts.values()) for n in counts.values()):
-        return class_weights(df.select(label, *features), label)
+    """Training rows with classes filled up by synthetic ones, and a ``weight`` of 1."""
     return smote(df, label, features, seed=seed, key=key).drop("synthetic").withColumn("weight", F.lit(1.0))
 
 
@@ -247,7 +260,7 @@ def remap_times(df: DataFrame, time: str, start: Column) -> DataFrame:
     minutes = times.groupBy("_day", "_minute").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "_in_day", F.coalesce(F.sum("n").over(before(Window.partitionBy("_day").orderBy("_minute"))), F.lit(0))
     )
-    days = times.groupBy("_day").agg(F.count(F.lit(1)).alias("n")).withColumn(
+    days = minutes.groupBy("_day").agg(F.sum("n").alias("n")).withColumn(
         "_earlier", F.coalesce(F.sum("n").over(before(Window.orderBy("_day"))), F.lit(0))
     )
     place = F.row_number().over(Window.partitionBy("_minute").orderBy("_t"))

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime
+import os
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlake.constants import FEATURES
-from hazardlake.functions.timefmt import file_stamp
+from hazardlake.functions.timefmt import date_parts, file_stamp
 from hazardlake.operators import forecast
 from hazardlake.plans import oracle as sql
 from hazardlake.plans import proxies
@@ -16,7 +19,6 @@ from hazardlake.plans.proxies import table
 from hazardlake.schemas import METEO_HIST
 from hazardlake.session import scratch_dir
 from hazardlake.sources import records, tables
-from hazardlake.sources.sinks import bronze_rows
 
 START = datetime.date(2024, 6, 1)
 
@@ -30,11 +32,15 @@ def train(history: DataFrame, trees: int = 100, depth: int = 15):
 
 
 def run(history: DataFrame, coming: DataFrame, start: datetime.date, output: str, trees: int = 100, depth: int = 15) -> DataFrame:
-    """Train, score the forecast, append it to the predictions table, return the gate decision."""
-    spark = history.sparkSession
+    """Train, score the forecast, append it to the predictions table, return the gate decision on this run's rows.
+
+    The table is partitioned by the run's first date, and only that partition is written: another run appends,
+    a replay of the same one replaces its rows.
+    """
     remapped = forecast.remap_times(coming, "time", F.lit(start))
-    forecast.predict(train(history, trees, depth), remapped).write.mode("append").parquet(output)
-    return forecast.gate(spark.read.parquet(output))
+    scored = forecast.predict(train(history, trees, depth), remapped).withColumn("run_start", F.lit(start))
+    scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_start").parquet(output)
+    return forecast.gate(history.sparkSession.read.parquet(output).filter(F.col("run_start") == F.lit(start)))
 
 
 # ------------------------------------------------------------------ registered queries
@@ -53,13 +59,9 @@ def parse_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 def bronze_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     """Raw payload counts and newest file stamp per date partition."""
-    events = table(spark, sf, "events").select(F.col("props").alias("value"), F.col("ts").cast("timestamp").alias("ts"))
-    rows = bronze_rows(events, F.col("ts"), F.current_timestamp())
-    per_day = rows.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n_records"))
-    stamps = events.groupBy(F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day")).agg(
-        file_stamp(F.max("ts")).alias("last_stamp")
-    )
-    return per_day.join(stamps, ["year", "month", "day"])
+    events = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"))
+    days = events.select("ts", *date_parts(F.coalesce("ts", F.current_timestamp())))
+    return days.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n_records"), file_stamp(F.max("ts")).alias("last_stamp"))
 
 
 def _meteo(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,7 +115,21 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def class_rebalance(spark: SparkSession, sf: str) -> DataFrame:
-    return forecast.smote(forecast.drop_incomplete(proxies.weather_history(spark, sf)), "fire_class")
+    """Original and synthetic rows per class, and whether all of them lie in the range of the class's originals."""
+    rows = forecast.smote(forecast.drop_incomplete(proxies.weather_history(spark, sf)), "fire_class")
+    made = F.col("synthetic")
+    extremes = [("ol", F.min, ~made), ("oh", F.max, ~made), ("sl", F.min, made), ("sh", F.max, made)]
+    ranges = rows.groupBy("fire_class").agg(
+        F.count_if(~F.col("synthetic")).alias("n_original"),
+        F.count_if("synthetic").alias("n_synthetic"),
+        *[f(F.when(w, F.col(n))).alias(f"{c}_{n}") for n in FEATURES for c, f, w in extremes],
+        *[F.sum(F.when(~F.col("synthetic"), F.col(n))).alias(f"sum_{n}") for n in FEATURES[:2]],
+    )
+    inside = [(F.coalesce(F.col(f"sl_{n}") >= F.col(f"ol_{n}"), F.lit(True)) & F.coalesce(F.col(f"sh_{n}") <= F.col(f"oh_{n}"), F.lit(True))) for n in FEATURES]
+    return ranges.select(
+        "fire_class", "n_original", "n_synthetic", reduce(and_, inside).alias("in_range"),
+        *[F.round(f"sum_{n}", 6).alias(f"sum_{n}") for n in FEATURES[:2]],
+    )
 
 
 def class_weights(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,8 +138,36 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fire_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """Which rows the forest scores, and whether it beats always naming the largest class."""
     history = proxies.weather_history(spark, sf)
-    return forecast.predict(train(history, trees=20, depth=8), history).select("row_id", "fire_class", "fire_prediction")
+    scored = forecast.predict(train(history), history).select("row_id", "fire_class", "fire_prediction")
+    by_class = scored.filter("fire_prediction IS NOT NULL").groupBy("fire_class").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("fire_prediction") == F.col("fire_class")).alias("hits")
+    )
+    beats = by_class.agg((F.sum("hits") > F.max("n")).alias("beats"))
+    return scored.select("row_id", "fire_class", F.col("fire_prediction").isNotNull().alias("scored"), beats.scalar().alias("beats_majority"))
+
+
+def early_warning_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """Forecast CSV to appended predictions: rows and scored rows of each run in the table, after two runs and a replay."""
+    path = scratch_dir(spark, "forecast")
+    history = proxies.weather_history(spark, sf)
+    hour = F.timestamp_seconds(F.col("row_id") * 3600)
+    coming = history.select(F.date_format(hour, "yyyy-MM-dd HH:mm:ss").alias("time"), "row_id", *FEATURES)
+    coming.write.option("header", True).csv(os.path.join(path, "csv"))
+    columns = "row_id bigint, " + ", ".join(f"{name} double" for name in FEATURES)
+    rows = tables.read_forecast(spark, os.path.join(path, "csv"), columns)
+    output = os.path.join(path, "predictions")
+    later = START + datetime.timedelta(days=400)
+    blind = rows.withColumn("sst", F.lit(None).cast("double"))
+    gates = [run(history, part, start, output).withColumn("run_start", F.lit(start)) for part, start in ((rows, START), (blind, later), (blind, later))]
+    stored = tables.read_table(spark, output).groupBy("run_start").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("fire_prediction").alias("n_scored"),
+        F.date_format(F.min("time"), "yyyy-MM-dd").alias("first_date"),
+    )
+    decided = gates[0].unionByName(gates[2]).select("run_start", "start_monitoring")
+    return stored.join(decided, "run_start").withColumn("run_start", F.date_format("run_start", "yyyy-MM-dd"))
 
 
 # ------------------------------------------------------------------ oracle SQL
@@ -183,12 +227,28 @@ FROM orders""",
         + """SELECT row_id, w.fire_class, row_number() OVER (PARTITION BY w.fire_class
   ORDER BY (row_id*1103515245 + 42) % 2147483648, row_id) <= quota AS is_train FROM v_weather w JOIN quotas q ON w.fire_class = q.fire_class""",
     ),
-    "class_rebalance": (class_rebalance, None),
+    "class_rebalance": (
+        class_rebalance,
+        sql.with_views(V_WEATHER, f"complete AS ({_COMPLETE})", "sizes AS (SELECT fire_class, count(*) AS n FROM complete GROUP BY fire_class)")
+        + f"""SELECT c.fire_class, count(*) AS n_original, (SELECT max(n) FROM sizes) - count(*) AS n_synthetic, true AS in_range,
+  {", ".join(f"round(sum(c.{n}), 6) AS sum_{n}" for n in FEATURES[:2])} FROM complete c GROUP BY c.fire_class""",
+    ),
     "class_weights": (
         class_weights,
         sql.with_views(V_WEATHER, f"complete AS ({_COMPLETE})")
         + """SELECT row_id, fire_class, round((SELECT max(c) FROM (SELECT count(*) AS c FROM complete GROUP BY fire_class))
   / count(*) OVER (PARTITION BY fire_class), 8) AS weight FROM complete""",
     ),
-    "fire_forest": (fire_forest, None),
+    "fire_forest": (
+        fire_forest,
+        sql.with_views(V_WEATHER)
+        + "SELECT row_id, fire_class, sst IS NOT NULL AND swvl1 IS NOT NULL AS scored, true AS beats_majority FROM v_weather",
+    ),
+    "early_warning_flow": (
+        early_warning_flow,
+        sql.with_views(V_WEATHER)
+        + f"""SELECT '{START}' AS run_start, count(*) AS n_rows, count(*) FILTER (WHERE sst IS NOT NULL AND swvl1 IS NOT NULL) AS n_scored,
+  '{START}' AS first_date, true AS start_monitoring FROM v_weather
+UNION ALL SELECT strftime(DATE '{START}' + 400, '%Y-%m-%d'), count(*), 0, strftime(DATE '{START}' + 400, '%Y-%m-%d'), false FROM v_weather""",
+    ),
 }

@@ -15,9 +15,17 @@ def read_csv(spark: SparkSession, path: str, schema: dict[str, str] = METEO_HIST
 
 
 def read_forecast(spark: SparkSession, path: str, columns: str) -> DataFrame:
-    """Forecast CSV whose ``time`` text becomes a timestamp. ``columns`` is the DDL of the other columns."""
-    rows = spark.read.csv(path, schema=f"time string, {columns}", header=True)
-    return rows.withColumn("time", F.try_to_timestamp("time"))
+    """Forecast CSV whose ``time`` text becomes a timestamp; a value of the wrong type, or an unreadable time, fails
+    the read. ``columns`` is the DDL of the other columns."""
+    rows = spark.read.csv(path, schema=f"time string, {columns}", header=True, mode="FAILFAST")
+    read = F.try_to_timestamp("time")
+    bad = F.col("time").isNotNull() & read.isNull()
+    return rows.withColumn("time", F.when(bad, F.raise_error(F.concat(F.lit("unreadable time: "), "time"))).otherwise(read))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a stored table."""
+    return spark.read.parquet(path)
 
 
 def read_jdbc(

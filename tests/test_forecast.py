@@ -76,13 +76,13 @@ def test_single_row_class_is_repeated(spark):
     assert len(rows) == 4 and len({(r.x, r.y) for r in rows}) == 1
 
 
-def test_large_minorities_are_weighted(spark, monkeypatch):
-    monkeypatch.setattr(forecast, "SMOTE_LIMIT", 10)
-    df = table(spark, {0: 30, 1: 15})
-    with pytest.raises(ValueError, match="class_weights"):
-        forecast.smote(df, "fire_class", XY)
-    totals = {r[0]: r[1] for r in forecast.balance(df, "fire_class", XY).groupBy("fire_class").sum("weight").collect()}
-    assert totals == {0: 30.0, 1: 30.0}
+def test_blocks_give_the_same_neighbours(spark, monkeypatch):
+    df = table(spark, {0: 60, 1: 25, 2: 1})
+    whole = sorted(forecast.smote(df, "fire_class", XY).collect())
+    monkeypatch.setattr(forecast, "NEIGHBOUR_BLOCK", 4)
+    assert sorted(forecast.smote(df, "fire_class", XY).collect()) == whole
+    balanced = forecast.balance(df, "fire_class", XY)
+    assert {r[0]: r[1] for r in balanced.groupBy("fire_class").sum("weight").collect()} == {0: 60.0, 1: 60.0, 2: 60.0}
 
 
 def test_forest_learns_and_leaves_incomplete_rows_open(spark):
@@ -114,13 +114,17 @@ def test_times_become_consecutive_dates(spark):
     assert got == [day(3), day(2), day(1), day(4), day(2), None]
 
 
-def test_whole_flow_appends_and_gates(spark, tmp_path):
+def test_whole_flow_appends_and_gates_its_own_run(spark, tmp_path):
     history = proxies.weather_history(spark, SF)
     coming = history.drop("fire_class").withColumn("time", F.timestamp_seconds(F.col("row_id") * 3600))
     out = str(tmp_path / "predictions")
-    for runs in (1, 2):
-        decision = early_warning.run(history, coming, dt.date(2024, 6, 1), out, trees=5, depth=4).first()
-        assert spark.read.parquet(out).count() == runs * history.count()
-    assert decision.start_monitoring
+    run = lambda rows, day: early_warning.run(history, rows, dt.date(2024, 6, day), out, trees=5, depth=4).first()
+    assert run(coming, 1).start_monitoring
+    assert spark.read.parquet(out).count() == history.count()
+    run(coming, 1)  # a replay of the same run replaces its rows
+    assert spark.read.parquet(out).count() == history.count()
+    blind = coming.withColumn("sst", F.lit(None).cast("double"))
+    assert tuple(run(blind, 2)) == (None, False)  # the run before does not count
     predictions = spark.read.parquet(out)
+    assert predictions.count() == 2 * history.count()
     assert predictions.filter("sst IS NULL AND fire_prediction IS NOT NULL").count() == 0
