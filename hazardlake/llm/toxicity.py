@@ -8,6 +8,7 @@ so each round scores all windows of the sample and learns from the strongest win
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from hazardlake.llm import common, textnum
 
-#: Most labelled rows of each class that a fit may use; the documents of that many rows fit on the driver.
+#: Most labelled rows of each class that a fit may use; the documents of that many rows fit in one task.
 MAX_TOXIC, MAX_CLEAN = 2500, 3500
 LENGTH, STRIDE = 32, 16
 HIDDEN, EMBED, ATTEND = 8, 8, 8
@@ -149,16 +150,17 @@ class Network:
         return grad, gates
 
     def logits(self, word: np.ndarray, bins: np.ndarray, start: np.ndarray, size: np.ndarray, tables: tuple | None = None) -> np.ndarray:
-        """Logits of the windows at ``start`` over words given by vector place and character bins."""
+        """Logits of the windows at ``start`` (ascending) over words given by vector place and character bins."""
         by_word, by_char = tables or self.tables()
-        gates = by_word[word]
-        for j in range(bins.shape[1]):
-            gates += by_char[bins[:, j]]
         out = np.empty(len(start), np.float32)
         for at in range(0, len(start), CHUNK):
             s, n = start[at : at + CHUNK], size[at : at + CHUNK]
-            steps = int(n.max())
-            index = np.minimum(s[None, :] + np.arange(steps)[:, None], len(word) - 1)
+            # Windows are in order of words, so a chunk of them needs the gates of one stretch of words.
+            low, high = int(s[0]), int(s[-1] + n[-1])
+            gates = by_word[word[low:high]]
+            for j in range(bins.shape[1]):
+                gates += by_char[bins[low:high, j]]
+            index = np.minimum(s[None, :] - low + np.arange(int(n.max()))[:, None], high - low - 1)
             out[at : at + CHUNK] = self.forward(gates[index], n)
         return out
 
@@ -216,6 +218,7 @@ def train(texts: list[str], label: np.ndarray) -> Network | None:
     parts = [word_inputs(part, at) for _, _, part, at in textnum.slices(data, offsets)]
     hashes, bins = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
     bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[2]) for x in parts]))])
+    del parts, data
     doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
     values, places = np.unique(hashes, return_inverse=True)
     once = np.unique(doc * np.int64(len(values)) + places)
@@ -277,8 +280,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
     picked = [known.where(F.col("toxic") == y).orderBy(*order).limit(n) for y, n in ((1, max_toxic), (0, max_clean))]
     sample = picked[0].union(picked[1])
     rows = common.text_rows(docs).join(F.broadcast(sample), "doc_id").select("doc_id", F.lower("text").alias("text"), "toxic")
-    found = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["text"]))
-    return train([r["text"] for r in found], np.array([r["toxic"] for r in found]))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted((tuple(r.values()) for batch in batches for r in batch.to_pylist()), key=lambda r: r[:2])
+        net = train([r[1] for r in found], np.array([r[2] for r in found]))
+        if net is not None:
+            whole = pickle.dumps((net.known, net.p, net.shift))
+            yield pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], names=["net"])
+
+    # One task holds the sample, whose size is bounded above; the driver gets the fitted numbers only.
+    fitted = rows.repartition(1).mapInArrow(learn, "net binary").first()
+    if fitted is None:
+        return None
+    known, parameters, shift = pickle.loads(fitted["net"])
+    net = Network(known, np.zeros(len(known), np.float32))
+    net.p, net.shift = parameters, shift
+    return net
 
 
 def score(docs: DataFrame, net: Network | None, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -17,6 +17,7 @@ from hazardlake.plans import proxies
 from hazardlake.plans.proxies import spread_table, table
 from hazardlake.plans.serving import V_MESSAGE
 from hazardlake.session import scratch_dir
+from hazardlake.sources.sinks import KEEP_NULLS
 
 LANGUAGES = ["de", "en", "es", "fr"]
 # The languages stand in for message categories when documents train the classifier.
@@ -28,7 +29,7 @@ def split_errors(messages: DataFrame, text: str = "message") -> tuple[DataFrame,
     """Messages with text, and error rows ``error, input`` for those without."""
     missing = F.col(text).isNull() | (F.col(text) == "")
     errors = messages.filter(missing).select(
-        F.lit("Missing 'text' field").alias("error"), F.to_json(F.struct("*")).alias("input")
+        F.lit("Missing 'text' field").alias("error"), F.to_json(F.struct("*"), KEEP_NULLS).alias("input")
     )
     return messages.filter(~missing), errors
 

@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlake.functions.timefmt import parse_iso
+from hazardlake.functions.timefmt import iso_millis, parse_iso
 from hazardlake.schemas import IMAGE_MESSAGE, SENSOR_MESSAGE, SOCIAL_MESSAGE, ddl
 
 CORRUPT = "_corrupt"
 
 
 # ------------------------------------------------------------------ raw text
-def kafka_text(spark: SparkSession, servers: str, topic: str, starting: str = "latest") -> DataFrame:
-    """Stream of ``value`` texts from a topic (needs the Kafka connector on the classpath)."""
+def kafka_text(
+    spark: SparkSession, servers: str, topic: str, starting: str = "latest", fail_on_data_loss: bool = True
+) -> DataFrame:
+    """Stream of ``value`` texts from a topic (needs the Kafka connector on the classpath).
+
+    Lost offsets stop the stream unless ``fail_on_data_loss`` is switched off.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .load()
         .select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("ingest_ts"))
     )
@@ -34,14 +39,19 @@ def file_text(spark: SparkSession, path: str, max_files: int | None = None) -> D
 
 
 # ------------------------------------------------------------------ parsing
-def parse(raw: DataFrame, schema: dict[str, str], required: list[str], time_field: str | None) -> DataFrame:
+def parse(
+    raw: DataFrame, schema: dict[str, str], required: list[str], time_field: str | None, arrival_time: bool = False
+) -> DataFrame:
     """Raw ``value`` texts to ``record, ts, problem`` columns next to the raw ones.
 
-    ``problem`` is NULL for a usable record, else ``malformed``, ``missing <field>`` or ``bad time``.
+    ``problem`` is NULL for a usable record, else ``malformed``, ``missing <field>`` or ``bad time``. With
+    ``arrival_time`` a missing or unreadable time becomes the time of arrival (``ingest_ts``, else the clock).
     """
     record = F.from_json("value", ddl({**schema, CORRUPT: "string"}), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     parsed = raw.withColumn("record", record)
     ts = parse_iso(F.col(f"record.{time_field}")) if time_field else F.lit(None).cast("timestamp")
+    if arrival_time:
+        ts = F.coalesce(ts, F.col("ingest_ts") if "ingest_ts" in raw.columns else F.current_timestamp())
     parsed = parsed.withColumn("ts", ts)
     problem = F.when(F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull(), F.lit("malformed"))
     for name in required:
@@ -70,7 +80,7 @@ def sensor_readings(parsed: DataFrame) -> DataFrame:
 
 
 def image_records(raw: DataFrame) -> DataFrame:
-    parsed = parse(raw, IMAGE_MESSAGE, ["metadata.satellite_data"], "metadata.timestamp")
+    parsed = parse(raw, IMAGE_MESSAGE, ["metadata.satellite_data"], "metadata.timestamp", arrival_time=True)
     empty = F.size("record.metadata.satellite_data") == 0
     return parsed.withColumn(
         "problem", F.when(F.col("problem").isNull() & empty, F.lit("no pixels")).otherwise(F.col("problem"))
@@ -91,7 +101,7 @@ def images(parsed: DataFrame) -> DataFrame:
     meta = F.col("record.metadata")
     return usable(parsed).select(
         F.col("record.image_pointer").alias("image_pointer"),
-        meta["timestamp"].alias("timestamp"),
+        F.when(parse_iso(meta["timestamp"]).isNull(), iso_millis(F.col("ts"))).otherwise(meta["timestamp"]).alias("timestamp"),
         meta["microarea_id"].alias("microarea_id"),
         meta["macroarea_id"].alias("macroarea_id"),
         F.transform(meta["satellite_data"], pixel).alias("pixels"),
@@ -99,7 +109,8 @@ def images(parsed: DataFrame) -> DataFrame:
 
 
 def social_records(raw: DataFrame) -> DataFrame:
-    return parse(raw, SOCIAL_MESSAGE, ["unique_msg_id", "text", "timestamp"], "timestamp")
+    """A missing text is no parsing problem: such a message goes on to the error rows of the message flow."""
+    return parse(raw, SOCIAL_MESSAGE, ["unique_msg_id"], "timestamp", arrival_time=True)
 
 
 def social_messages(parsed: DataFrame) -> DataFrame:

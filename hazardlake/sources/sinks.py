@@ -9,11 +9,12 @@ from pyspark.sql.streaming import DataStreamWriter
 from hazardlake.functions.timefmt import date_parts
 
 DATE_PARTITIONS = ["year", "month", "day"]
+KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def json_payload(df: DataFrame, key: str | Column | None = None) -> DataFrame:
     """One JSON ``value`` per row (and a ``key``), the shape the Kafka sink takes."""
-    columns = [F.to_json(F.struct("*")).alias("value")]
+    columns = [F.to_json(F.struct("*"), KEEP_NULLS).alias("value")]
     if key is not None:
         source = F.col(key) if isinstance(key, str) else key
         columns.insert(0, source.cast("string").alias("key"))
@@ -23,7 +24,7 @@ def json_payload(df: DataFrame, key: str | Column | None = None) -> DataFrame:
 def exploded_payload(df: DataFrame, array: str, key: str) -> DataFrame:
     """One payload per element of an array column."""
     return df.select(F.col(key).cast("string").alias("key"), F.explode(array).alias("_item")).select(
-        "key", F.to_json("_item").alias("value")
+        "key", F.to_json("_item", KEEP_NULLS).alias("value")
     )
 
 

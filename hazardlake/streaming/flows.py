@@ -12,7 +12,8 @@ from hazardlake.functions.timefmt import parse_iso
 from hazardlake.operators import dims, imagery, sensors
 from hazardlake.operators.text_model import CentroidModel
 from hazardlake.plans import iot, satellite, social
-from hazardlake.sources.sinks import bronze_rows, file_sink
+from hazardlake.sources import records
+from hazardlake.sources.sinks import bronze_rows, file_sink, json_payload
 from hazardlake.streaming.sinks import Output, fan_out
 
 SENSOR_DELAY = "5 seconds"
@@ -28,6 +29,16 @@ def bronze(raw: DataFrame, time_path: str, path: str, checkpoint: str) -> DataSt
     return file_sink(bronze_rows(raw, event_time, F.col("ingest_ts")), path, checkpoint, file_format="text")
 
 
+def quarantine(parsed: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Raw text and reason of every record of a flow that cannot be used; runs beside the flow."""
+    return file_sink(records.quarantined(parsed), path, checkpoint, [])
+
+
+def payloads(rows: DataFrame, key: str, path: str, checkpoint: str) -> DataStreamWriter:
+    """``key, value`` JSON payloads of finished rows; ``kafka_sink`` takes the same rows to a topic."""
+    return file_sink(json_payload(rows, key), path, checkpoint, [])
+
+
 # ------------------------------------------------------------------ sensors
 def station_stream(
     readings: DataFrame, stations: DataFrame, window: str = SENSOR_WINDOW, delay: str = SENSOR_DELAY
@@ -52,11 +63,16 @@ def sensor_silver(enriched: DataFrame, path: str, checkpoint: str) -> DataStream
     return fan_out(enriched, outputs, checkpoint)
 
 
+def sensor_events(areas: DataFrame) -> DataFrame:
+    """Scored area windows as events, e.g. for ``payloads``."""
+    return sensors.area_events(sensors.scored_areas(areas))
+
+
 def sensor_gold(areas: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Scored area windows into the flat gold layout."""
 
     def build(batch: DataFrame) -> DataFrame:
-        return sensors.flat_events(sensors.area_events(sensors.scored_areas(batch)))
+        return sensors.flat_events(sensor_events(batch))
 
     return fan_out(areas, [Output(path, build, stamp="stored_at")], checkpoint)
 

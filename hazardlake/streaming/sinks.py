@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from hazardlake.sources.sinks import DATE_PARTITIONS
+from hazardlake.sources.sinks import DATE_PARTITIONS, compact_layer
 
 
 @dataclass(frozen=True)
@@ -22,38 +24,76 @@ class Output:
     stamp: str | None = None  # column to receive the wall clock of the write
 
 
+#: Partition levels that keep the files of one micro-batch apart.
+BATCH_PARTITIONS = ["query_id", "batch_id"]
+
+
 def fan_out(df: DataFrame, outputs: Sequence[Output], checkpoint: str, mode: str = "append") -> DataStreamWriter:
     """Write every output of each micro-batch.
 
-    The batch number is the last partition level and only those partitions are overwritten, so a batch
-    that is run again after a failure replaces its own files instead of adding to them.
+    The stream's id (kept in its checkpoint) and the batch number are the last partition levels, and only those
+    partitions are overwritten: a batch that is run again after a failure replaces its own files, and a stream
+    with another checkpoint, whose batches are numbered from 0 again, never touches older rows. The rebalance
+    hint leaves a batch few files per partition; ``compact`` rewrites a table for reading.
     """
+    known: list[str] = []
+
+    def query_id(batch: DataFrame) -> str:
+        if not known:  # the stream has written its metadata before the first batch
+            text = batch.sparkSession.read.text(os.path.join(checkpoint, "metadata")).first()
+            known.append(json.loads(text[0])["id"])
+        return known[0]
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.persist()
+        if len(outputs) > 1:
+            batch.persist()
         try:
             for output in outputs:
-                rows = output.build(batch).withColumn("batch_id", F.lit(number))
+                rows = output.build(batch).withColumns({"query_id": F.lit(query_id(batch)), "batch_id": F.lit(number)})
                 if output.stamp:
                     rows = rows.withColumn(output.stamp, F.current_timestamp())
+                keys = [*output.partitions, *BATCH_PARTITIONS]
                 (
-                    rows.write.mode("overwrite")
+                    rows.hint("rebalance", *keys)
+                    .write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy(*output.partitions, "batch_id")
+                    .partitionBy(*keys)
                     .parquet(output.path)
                 )
         finally:
-            batch.unpersist()
+            if len(outputs) > 1:
+                batch.unpersist()
 
     return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
 
 
+def compact(spark: SparkSession, path: str, into: str, partitions: Sequence[str] = tuple(DATE_PARTITIONS)) -> None:
+    """Rewrite a table of many batches into a new folder with few large files per partition.
+
+    Run it on a schedule over closed partitions, or on the whole table while its stream rests.
+    """
+    compact_layer(spark.read.parquet(path).drop(*BATCH_PARTITIONS), into, list(partitions))
+
+
 def run_available(writer: DataStreamWriter) -> None:
     """Process what is there now and stop."""
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
 
 
+def run_and_drain(start: Callable[[], DataStreamWriter], closing: DataFrame, folder: str) -> None:
+    """Process what is there now, then close the windows that are still open.
+
+    ``start`` builds the stream's writer; its source includes the files below ``folder``, which must have been made
+    (empty) before. After the first run ``closing``, a row whose time lies beyond every window, is written there and
+    a second run from the same checkpoint moves the watermark past all of them. The closing row's own window stays
+    open and is never written.
+    """
+    run_available(start())
+    closing.write.mode("append").parquet(folder)
+    run_available(start())
+
+
 def run_continuously(writer: DataStreamWriter, every: str):
     """Keep running with a micro-batch (and checkpoint) every ``every``, e.g. ``30 seconds``."""
     return writer.trigger(processingTime=every).start()

@@ -39,14 +39,17 @@ def test_images_without_pixels_are_quarantined(spark):
 def test_messages(spark):
     message = {"unique_msg_id": "m", "macroarea_id": "A1", "microarea_id": "M1", "text": "hi", "latitude": 1.0, "longitude": 2.0,
                "timestamp": "2024-01-01T00:00:00.000"}
-    parsed = records.social_records(raw(spark, message, {**message, "text": None}))
-    assert [r.message for r in records.social_messages(parsed).collect()] == ["hi"]
+    parsed = records.social_records(raw(spark, message, {**message, "text": None}, {**message, "unique_msg_id": None}))
+    assert [r.message for r in records.social_messages(parsed).collect()] == ["hi", None]
+    assert [r.problem for r in records.quarantined(parsed).collect()] == ["missing unique_msg_id"]
 
 
 def test_payloads(spark):
     df = spark.createDataFrame([("k", [{"a": 1}, {"a": 2}])], "id string, items array<struct<a: int>>")
     assert [r.value for r in sinks.exploded_payload(df, "items", "id").collect()] == ['{"a":1}', '{"a":2}']
     assert sinks.json_payload(df.select("id"), "id").first() == ("k", '{"id":"k"}')
+    with_null = spark.createDataFrame([("k", None)], "id string, level int")
+    assert sinks.json_payload(with_null, "id").first() == ("k", '{"id":"k","level":null}')
 
 
 def test_layers_are_partitioned_pruned_and_compacted(spark, tmp_path):

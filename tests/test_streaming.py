@@ -1,4 +1,6 @@
+import itertools
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from hazardlake.operators import text_model as tm
 from hazardlake.plans import iot
 from hazardlake.sources import records
 from hazardlake.streaming import flows
-from hazardlake.streaming.sinks import run_available
+from hazardlake.streaming.sinks import compact, run_available
 from hazardlake.sources.sinks import file_sink
 
 from .test_sensor_rules import NORMAL, stations_dim
@@ -17,9 +19,15 @@ def reading(station, stamp, **changed):
     return {"station_id": station, "timestamp": f"2024-01-01T{stamp}", "measurements": {**NORMAL, **changed}}
 
 
+clock = itertools.count(1_700_000_000)
+
+
 def drop_file(folder, name, *values):
+    """Write a file of its own second: a stream reads files in order of their times."""
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("".join((v if isinstance(v, str) else json.dumps(v)) + "\n" for v in values))
+    stamp = next(clock)
+    os.utime(folder / name, (stamp, stamp))
 
 
 FIRST = [reading("a", "00:00:01.000"), reading("a", "00:00:02.000", temperature_c=45.0), reading("b", "00:00:30.000"), "broken {"]
@@ -112,10 +120,23 @@ def test_images_and_replayed_batches(spark, tmp_path):
         run_available(flows.image_layers(stream, areas, out, str(tmp_path / state)))
 
     run("state")
-    run("lost")  # the same batch number once more, as after a crash before the commit
+    # The same batch once more, as after a crash before the commit: its own files are replaced.
+    for name in (tmp_path / "state" / "commits").iterdir():
+        name.unlink()
+    run("state")
     gold = spark.read.parquet(out + "/gold").collect()
     assert len(gold) == 1 and gold[0].total_pixels == 2 and gold[0].min_longitude == 1.0
     assert spark.read.parquet(out + "/silver").count() == 2
+    # A fresh checkpoint starts at batch 0 again, with other data: older rows stay.
+    (folder / "1.json").unlink()
+    drop_file(folder, "2.json", {**message, "image_pointer": "q"})
+    run("fresh")
+    assert sorted(r.total_pixels for r in spark.read.parquet(out + "/gold").collect()) == [2, 2]
+    assert spark.read.parquet(out + "/silver").count() == 4
+    compact(spark, out + "/silver", out + "/packed")
+    packed = spark.read.parquet(out + "/packed")
+    assert packed.count() == 4 and "batch_id" not in packed.columns
+    drop_file(folder, "1.json", message)
     plain = flows.assessed_images(records.images(records.image_records(spark.read.text(str(folder)))), areas)
     assert plain.first().severity_score == gold[0].severity_score
 
@@ -150,3 +171,16 @@ def test_repeated_messages_count_once(spark, tmp_path):
     out = str(tmp_path / "counts")
     run_available(file_sink(counts, out, str(tmp_path / "state"), []))
     assert [(r.microarea_id, r.n_messages) for r in spark.read.parquet(out).collect()] == [("M1", 2)]
+
+
+def test_quarantine_error_rows_and_arrival_time(spark, tmp_path):
+    folder, out = tmp_path / "in", tmp_path / "out"
+    timeless = {k: v for k, v in message("4", "no time", "00:00:01.000").items() if k != "timestamp"}
+    drop_file(folder, "1.json", message("1", "fine", "00:00:01.000"), "broken {", {**message("2", None, "00:00:02.000")}, timeless, {"text": "no id"})
+    parsed = records.social_records(flows_raw(spark, folder))
+    run_available(flows.quarantine(parsed, str(out / "bad"), str(tmp_path / "state")))
+    bad = {r.problem: r.value for r in spark.read.parquet(str(out / "bad")).collect()}
+    assert set(bad) == {"malformed", "missing unique_msg_id"} and bad["malformed"] == "broken {"
+    good = records.social_messages(records.social_records(spark.read.text(str(folder)))).collect()
+    assert len(good) + len(bad) == 5 and all(r.ts is not None for r in good)
+    assert {r.unique_msg_id: r.message for r in good} == {"1": "fine", "2": None, "4": "no time"}
