@@ -33,6 +33,13 @@ HEADLINE = [
     "time_remap",
     "stratified_split",
     "stream_area_windows",
+    "stream_gold_iot",
+    "stream_gold_sat",
+    "gold_iot_event",
+    "gold_sat_from_arrays",
+    "gold_social_classified",
+    "class_rebalance",
+    "fire_forest",
 ]
 
 
@@ -51,6 +58,7 @@ def main() -> None:
         f"local[{cpus}]",
         {
             "spark.sql.shuffle.partitions": cpus,
+            "spark.hazardlake.spreadTasks": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
             "spark.ui.showConsoleProgress": "false",
         },

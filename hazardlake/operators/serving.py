@@ -135,7 +135,7 @@ def near_station_match(clicks: DataFrame, stations: DataFrame, tolerance: float
     """First station (by id) closer than ``tolerance`` in both axes to each click; no match gives NULL.
 
     An equi-join on tolerance-sized tiles instead of a range join. Stations at one position are reduced to
-    the first before the join, since all of them match the same clicks.
+    the first before the join, since all of them match the same clicks. Clicks are unique rows.
     """
 
     def tile(value: Column) -> Column:
@@ -154,19 +154,10 @@ def near_station_match(clicks: DataFrame, stations: DataFrame, tolerance: float
         )
         .select("*", F.explode(F.transform(around, lambda i: tile(F.col("_long")) + i)).alias("_col"))
     )
-    hits = (
-        clicks.select("click_id", "latitude", "longitude")
-        .withColumn("_row", tile(F.col("latitude")))
-        .withColumn("_col", tile(F.col("longitude")))
-        .join(positions, ["_row", "_col"])
-        .filter(
-            (F.abs(F.col("latitude") - F.col("_lat")) < tolerance)
-            & (F.abs(F.col("longitude") - F.col("_long")) < tolerance)
-        )
-        .groupBy("click_id")
-        .agg(F.min("station_id").alias("station_id"))
-    )
-    return clicks.join(hits, "click_id", "left")
+    near = (F.abs(F.col("latitude") - F.col("_lat")) < tolerance) & (F.abs(F.col("longitude") - F.col("_long")) < tolerance)
+    tiled = clicks.withColumn("_click_row", tile(F.col("latitude"))).withColumn("_click_col", tile(F.col("longitude")))
+    same_tile = (F.col("_click_row") == F.col("_row")) & (F.col("_click_col") == F.col("_col"))
+    return tiled.join(positions, same_tile & near, "left").groupBy(*clicks.columns).agg(F.min("station_id").alias("station_id"))
 
 
 def rounded(df: DataFrame, names: list[str]) -> DataFrame:

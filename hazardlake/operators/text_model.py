@@ -102,6 +102,7 @@ class CentroidModel:
 
     def save(self, path: str) -> CentroidModel:
         """Write the model as Parquet and return the stored one."""
+        _check_labels(self.labels)
         spark = self.weights.sparkSession
         self.weights.coalesce(1).write.mode("errorifexists").parquet(os.path.join(path, "weights"))
         names = [(i, label) for i, label in enumerate(self.labels)]
@@ -112,7 +113,8 @@ class CentroidModel:
 
     @staticmethod
     def load(spark: SparkSession, path: str, stop_words: Sequence[str] = STOP_WORDS) -> CentroidModel:
-        rows = spark.read.parquet(os.path.join(path, "labels")).orderBy("position").limit(MAX_LABELS).collect()
+        rows = spark.read.parquet(os.path.join(path, "labels")).orderBy("position").limit(MAX_LABELS + 1).collect()
+        _check_labels(rows)
         weights = spark.read.parquet(os.path.join(path, "weights"))
         return CentroidModel(weights, [row.label for row in rows], stop_words)
 
@@ -154,11 +156,16 @@ class CentroidModel:
         return self.score(texts, key, text, labels).select(key, best["label"].alias("category"), best["score"].alias("score"))
 
 
+def _check_labels(labels: Sequence) -> None:
+    """A model has a column per label; more than MAX_LABELS are refused, never cut."""
+    if len(labels) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} distinct labels: not a label column")
+
+
 def training_labels(training: DataFrame, label: str) -> list[str]:
     """The distinct labels, in order. More than MAX_LABELS is an error, never a cut."""
     rows = training.select(label).distinct().limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} distinct labels: not a label column")
+    _check_labels(rows)
     return sorted(row[0] for row in rows if row[0] is not None)
 
 
@@ -177,6 +184,7 @@ def fit_centroids(
     Dividing by the label's text count cancels in the normalisation, so sums are enough.
     """
     names = list(labels) if labels is not None else training_labels(training, label)
+    _check_labels(names)
     vocab = vocabulary(training, text, max_features, stop_words) if vocab is None else vocab
     vectors = tfidf_vectors(term_counts(training, [key, label], vocab, text, stop_words), [key, label])
     sums = vectors.groupBy("term").agg(
@@ -243,10 +251,3 @@ def vector_classify(vectors: DataFrame, centroids: DataFrame, key: str, label: s
     return scored.withColumn("best", ranked[0]).select(
         key, F.col("best.label").alias("category"), (F.lit(0.0) - F.col("best.minus")).alias("score")
     )
-
-
-def macro_accuracy(predicted: DataFrame, truth: str, guess: str) -> DataFrame:
-    """Share of right predictions per true label."""
-    right = (F.col(truth) == F.col(guess)).cast("double")
-    return predicted.groupBy(truth).agg(F.count(F.lit(1)).alias("n"), F.avg(right).alias("accuracy"))
-

@@ -7,7 +7,8 @@ import os
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlake.constants import FEATURES
@@ -32,27 +33,36 @@ def train(history: DataFrame, trees: int = 100, depth: int = 15):
 
 
 def run(history: DataFrame, coming: DataFrame, start: datetime.date, output: str, trees: int = 100, depth: int = 15) -> DataFrame:
-    """Train, score the forecast, append it to the predictions table, return the gate decision on this run's rows.
+    """Train, score the forecast, append it to the predictions table, return the gate decision on this run's rows."""
+    return score(train(history, trees, depth), coming, start, output)
+
+
+def score(model: PipelineModel, coming: DataFrame, start: datetime.date, output: str) -> DataFrame:
+    """Score a forecast with a fitted model, append it, return the gate decision on its rows.
 
     The table is partitioned by the run's first date, and only that partition is written: another run appends,
     a replay of the same one replaces its rows.
     """
     remapped = forecast.remap_times(coming, "time", F.lit(start))
-    scored = forecast.predict(train(history, trees, depth), remapped).withColumn("run_start", F.lit(start))
+    scored = forecast.predict(model, remapped).withColumn("run_start", F.lit(start))
     scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_start").parquet(output)
-    return forecast.gate(history.sparkSession.read.parquet(output).filter(F.col("run_start") == F.lit(start)))
+    return forecast.gate(coming.sparkSession.read.parquet(output).filter(F.col("run_start") == F.lit(start)))
 
 
 # ------------------------------------------------------------------ registered queries
-def parse_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    """Event payloads, every fifth cut short and every seventh without its field, through the parser."""
+def broken_payload() -> Column:
+    """Event payloads, every fifth cut short and every seventh without its field."""
     event = F.col("event_id")
-    text = (
+    return (
         F.when(event % 5 == 0, F.expr("substring(props, 1, length(props) - 2)"))
         .when(event % 7 == 0, F.regexp_replace("props", '"k"', '"other"'))
         .otherwise(F.col("props"))
     )
-    raw = table(spark, sf, "events").select("event_id", text.alias("value"))
+
+
+def parse_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads, some of them broken, through the parser."""
+    raw = table(spark, sf, "events").select("event_id", broken_payload().alias("value"))
     parsed = records.parse(raw, {"k": "int"}, ["k"], None)
     return parsed.select("event_id", "value", F.coalesce("problem", F.lit("ok")).alias("route"), F.col("record.k").cast("double").alias("k"))
 
@@ -160,7 +170,8 @@ def early_warning_flow(spark: SparkSession, sf: str) -> DataFrame:
     output = os.path.join(path, "predictions")
     later = START + datetime.timedelta(days=400)
     blind = rows.withColumn("sst", F.lit(None).cast("double"))
-    gates = [run(history, part, start, output).withColumn("run_start", F.lit(start)) for part, start in ((rows, START), (blind, later), (blind, later))]
+    model = train(history)
+    gates = [score(model, part, start, output).withColumn("run_start", F.lit(start)) for part, start in ((rows, START), (blind, later), (blind, later))]
     stored = tables.read_table(spark, output).groupBy("run_start").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("fire_prediction").alias("n_scored"),

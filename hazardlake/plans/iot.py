@@ -88,14 +88,16 @@ _ROUTE = ["station_id", "response_timestamp", "latest_event_timestamp", *sensors
 
 def silver_iot_routed(spark: SparkSession, sf: str) -> DataFrame:
     """Both silver layouts side by side, told apart by ``route``."""
-    enriched = _enriched(spark, sf)
-    normal = sensors.silver_normal(enriched).select(
-        F.lit("normal").alias("route"), F.lit(False).alias("wildfire_detected"), "status", "message", *_ROUTE
-    )
-    alarms = sensors.silver_anomalies(enriched).select(
-        F.lit("anomalies").alias("route"), "wildfire_detected", *_ROUTE, *MEASUREMENTS, "anomaly_type"
+    rows = sensors.silver_columns(_enriched(spark, sf))
+    alarm = F.col("is_anomaly")
+    return rows.select(
+        F.when(alarm, "anomalies").otherwise("normal").alias("route"),
+        alarm.alias("wildfire_detected"),
+        *[F.when(~alarm, F.col(name)).alias(name) for name in ("status", "message")],
+        *_ROUTE,
+        *[F.when(alarm, F.col(name)).alias(name) for name in MEASUREMENTS],
+        F.when(alarm, F.lit("wildfire")).alias("anomaly_type"),
     )
-    return normal.unionByName(alarms, allowMissingColumns=True)
 
 
 def area_window_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -19,14 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for heavy per-row work (pixels, texts).
+    """A table for heavy per-row work (pixels, texts), spread over the tasks that the session asks for.
 
-    One unsplittable file is one task however many cores wait, so a scan with fewer tasks than cores is
-    spread first. A table of many files already has more tasks than that and is left alone.
+    One unsplittable file is one task however many cores wait. ``spark.hazardlake.spreadTasks`` spreads such scans
+    (the benchmark sets it); without that setting nothing is shuffled, as a table of many files needs none.
     """
     df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    tasks = spark.conf.get("spark.hazardlake.spreadTasks", None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def _station_id(user: Column) -> Column:

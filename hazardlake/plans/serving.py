@@ -207,7 +207,8 @@ def dim_point_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_key_value(spark: SparkSession, sf: str) -> DataFrame:
-    return dims.station_key_values(proxies.stations(spark, sf))
+    """Stations and areas as key/value rows."""
+    return dims.station_key_values(proxies.stations(spark, sf)).unionByName(dims.microarea_key_values(proxies.microareas(spark)))
 
 
 # ------------------------------------------------------------------ oracle SQL
@@ -380,10 +381,12 @@ FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq DESC) AS rn FROM
     "dim_point_lookup": (dim_point_lookup, "SELECT * FROM customer WHERE c_custkey = 42"),
     "dim_key_value": (
         dim_key_value,
-        sql.with_views(sql.V_STATION)
+        sql.with_views(sql.V_STATION, sql.V_GRID, sql.V_MICROAREA)
         + """SELECT 'station:' || station_id AS "key", '{"microarea_id":"' || microarea_id || '","latitude":' || latitude || ',"longitude":' || longitude
   || ',"install_date":"' || strftime(install_date, '%Y-%m-%d') || '","model":"' || model || '","temp_sens":"' || temp_sens || '","hum_sens":"'
   || hum_sens || '","co2_sens":"' || co2_sens || '","pm25_sens":"' || pm25_sens || '","smoke_sens":"' || smoke_sens || '","ir_sens":"' || ir_sens
-  || '","elevation_m":' || elevation_m || ',"battery_type":"' || battery_type || '"}' AS "value" FROM v_station""",
+  || '","elevation_m":' || elevation_m || ',"battery_type":"' || battery_type || '"}' AS "value" FROM v_station
+UNION ALL SELECT 'microarea:' || microarea_id, '{"min_long":' || min_long || ',"min_lat":' || min_lat || ',"max_long":' || max_long
+  || ',"max_lat":' || max_lat || '}' FROM v_microarea""",
     ),
 }

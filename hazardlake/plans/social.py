@@ -146,11 +146,16 @@ def social_error_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def gold_social_classified(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole flow: train, classify every message, keep signals, gold layout."""
+def category_model(spark: SparkSession, sf: str) -> CentroidModel:
+    """The classifier of message categories, trained on documents."""
     label = F.element_at(F.create_map(*[F.lit(x) for pair in LANGUAGE_CATEGORY.items() for x in pair]), F.col("lang"))
     documents = spread_table(spark, sf, "documents").select("doc_id", "text", label.alias("label"))
-    model = _model(spark, documents, list(LANGUAGE_CATEGORY.values()))
+    return _model(spark, documents, list(LANGUAGE_CATEGORY.values()))
+
+
+def gold_social_classified(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole flow: train, classify every message, keep signals, gold layout."""
+    model = category_model(spark, sf)
     good, _ = split_errors(proxies.messages(spark, sf).drop("category"))
     return gold_social_columns(signals_only(classify_stage(good, model)), F.col("ts"))
 

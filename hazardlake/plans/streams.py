@@ -3,39 +3,53 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from hazardlake.constants import MEASUREMENTS
 from hazardlake.functions.timefmt import millis
-from hazardlake.plans import iot, proxies, satellite, serving
+from hazardlake.plans import early_warning, iot, proxies, satellite, serving, social
 from hazardlake.plans import oracle as sql
 from hazardlake.plans.proxies import IOT_WINDOW, table
 from hazardlake.session import scratch_dir, use_utc
+from hazardlake.sources import records
 from hazardlake.sources.sinks import file_sink
 from hazardlake.streaming import flows
-from hazardlake.streaming.sinks import run_available
+from hazardlake.streaming.sinks import BATCH_PARTITIONS, run_and_drain, run_available
 
 
-@contextmanager
-def _local_state(spark: SparkSession) -> Iterator[None]:
-    """On a local session, one state partition per core; a cluster keeps its own setting.
+#: Partitions of a stream's state. The first run fixes them for good, so every session gets the same number.
+STATE_PARTITIONS = 8
+#: A time beyond every window of the tables.
+CLOSING_TIME = "2200-01-01 00:00:00"
 
-    The number is fixed by a stream's first run, and hundreds of state files per batch are slow on one disk.
-    """
+
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    if spark.sparkContext.master.startswith("local"):
-        spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    spark.conf.set(name, str(STATE_PARTITIONS))
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def _drained(spark: SparkSession, rows: DataFrame, out: str, start: Callable[[DataFrame], DataStreamWriter], **closing: str) -> None:
+    """Run a stream over ``rows`` to its end and close its windows with one row of ``closing`` values."""
+    folder = os.path.join(out, "closing")
+    one = spark.range(1).select(
+        *[F.lit(closing.get(f.name, CLOSING_TIME if f.name == "ts" else None)).cast(f.dataType).alias(f.name) for f in rows.schema]
+    )
+    one.limit(0).write.parquet(folder)
+    with _state_partitions(spark):
+        run_and_drain(lambda: start(rows.unionByName(spark.readStream.schema(rows.schema).parquet(folder))), one, folder)
+
+
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a file stream."""
     schema = table(spark, sf, name).schema
@@ -47,27 +61,33 @@ def _readings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_area_windows(spark: SparkSession, sf: str) -> DataFrame:
-    """Chained windows in append mode: every window the watermark has closed."""
+    """Chained windows in append mode, all of them."""
     out = scratch_dir(spark, "areas")
-    areas = flows.area_stream(_readings(spark, sf), proxies.stations(spark, sf), IOT_WINDOW)
-    rows = areas.select(
-        "microarea_id",
-        millis(F.col("w.start")).alias("window_start_ms"),
-        "total_stations",
-        "anomalous_stations",
-        millis(F.col("latest_event_ts")).alias("latest_event_timestamp"),
-    )
-    with _local_state(spark):
-        run_available(file_sink(rows, os.path.join(out, "data"), os.path.join(out, "state"), []))
-    return spark.read.schema(rows.schema).parquet(os.path.join(out, "data"))
+
+    def start(readings: DataFrame) -> DataStreamWriter:
+        areas = flows.area_stream(readings, proxies.stations(spark, sf), IOT_WINDOW)
+        rows = areas.select(
+            "microarea_id",
+            millis(F.col("w.start")).alias("window_start_ms"),
+            "total_stations",
+            "anomalous_stations",
+            millis(F.col("latest_event_ts")).alias("latest_event_timestamp"),
+        )
+        return file_sink(rows, os.path.join(out, "data"), os.path.join(out, "state"), [])
+
+    _drained(spark, _readings(spark, sf), out, start, station_id="closing")
+    return spark.read.parquet(os.path.join(out, "data"))
 
 
 def stream_silver_iot(spark: SparkSession, sf: str) -> DataFrame:
     """Both silver tables written by one stream."""
     out = scratch_dir(spark, "silver")
-    stations = flows.station_stream(_readings(spark, sf), proxies.stations(spark, sf), IOT_WINDOW)
-    with _local_state(spark):
-        run_available(flows.sensor_silver(stations, os.path.join(out, "data"), os.path.join(out, "state")))
+
+    def start(readings: DataFrame) -> DataStreamWriter:
+        stations = flows.station_stream(readings, proxies.stations(spark, sf), IOT_WINDOW)
+        return flows.sensor_silver(stations, os.path.join(out, "data"), os.path.join(out, "state"))
+
+    _drained(spark, _readings(spark, sf), out, start, station_id="closing")
     keep = ["station_id", "microarea_id", "response_timestamp", "latest_event_timestamp"]
     normal = spark.read.parquet(os.path.join(out, "data", "normal")).select(F.lit("normal").alias("route"), *keep)
     alarms = spark.read.parquet(os.path.join(out, "data", "anomalies")).select(
@@ -79,9 +99,12 @@ def stream_silver_iot(spark: SparkSession, sf: str) -> DataFrame:
 def stream_gold_iot(spark: SparkSession, sf: str) -> DataFrame:
     """Gold events written by the chained stream."""
     out = scratch_dir(spark, "gold")
-    areas = flows.area_stream(_readings(spark, sf), proxies.stations(spark, sf), IOT_WINDOW)
-    with _local_state(spark):
-        run_available(flows.sensor_gold(areas, os.path.join(out, "data"), os.path.join(out, "state")))
+
+    def start(readings: DataFrame) -> DataStreamWriter:
+        areas = flows.area_stream(readings, proxies.stations(spark, sf), IOT_WINDOW)
+        return flows.sensor_gold(areas, os.path.join(out, "data"), os.path.join(out, "state"))
+
+    _drained(spark, _readings(spark, sf), out, start, station_id="closing")
     return spark.read.parquet(os.path.join(out, "data")).select(
         "event_id", "region_id", "response_timestamp", "event_type", "severity_score", "alert_level", "air_quality_index",
         "estimated_ignition_time", "fire_spread_rate", "fire_direction", "fire_speed_mph",
@@ -92,52 +115,112 @@ def stream_gold_sat(spark: SparkSession, sf: str) -> DataFrame:
     """Silver pixels and gold images written by one stateless stream; returns the gold rows."""
     out = scratch_dir(spark, "images")
     images = proxies.image_columns(_stream(spark, sf, "orders"))
-    with _local_state(spark):
+    with _state_partitions(spark):
         run_available(flows.image_layers(images, proxies.microareas(spark), os.path.join(out, "data"), os.path.join(out, "state")))
-    gold = spark.read.parquet(os.path.join(out, "data", "gold")).drop("batch_id", "response_timestamp")
+    gold = spark.read.parquet(os.path.join(out, "data", "gold")).drop(*BATCH_PARTITIONS, "response_timestamp")
     return satellite.rounded_box(gold)
 
 
 def stream_message_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages per closed window, area and category."""
+    """Messages per window, area and category."""
     out = scratch_dir(spark, "messages")
-    messages = proxies.message_columns(_stream(spark, sf, "conversations"))
-    counts = flows.message_counts(messages, "5 minutes").select(
-        millis(F.col("w.start")).alias("window_start_ms"), "microarea_id", "category", "n_messages"
-    )
-    with _local_state(spark):
-        run_available(file_sink(counts, os.path.join(out, "data"), os.path.join(out, "state"), []))
-    return spark.read.schema(counts.schema).parquet(os.path.join(out, "data"))
 
+    def start(messages: DataFrame) -> DataStreamWriter:
+        counts = flows.message_counts(messages, "5 minutes").select(
+            millis(F.col("w.start")).alias("window_start_ms"), "microarea_id", "category", "n_messages"
+        )
+        return file_sink(counts, os.path.join(out, "data"), os.path.join(out, "state"), [])
+
+    _drained(spark, proxies.message_columns(_stream(spark, sf, "conversations")), out, start, unique_msg_id="closing")
+    return spark.read.parquet(os.path.join(out, "data"))
+
+
+def stream_gold_social(spark: SparkSession, sf: str) -> DataFrame:
+    """The message flow as two streams over a stored stage: messages are stored classified, then filtered into gold."""
+    out = scratch_dir(spark, "social")
+    model = social.category_model(spark, sf)
+    messages = proxies.message_columns(_stream(spark, sf, "conversations")).drop("category")
+    with _state_partitions(spark):
+        run_available(flows.classified_messages(messages, model, os.path.join(out, "stage"), os.path.join(out, "state-1")))
+        stage = spark.read.parquet(os.path.join(out, "stage", "classified")).schema
+        stored = spark.readStream.schema(stage).parquet(os.path.join(out, "stage", "classified"))
+        run_available(flows.signal_gold(stored, os.path.join(out, "gold"), os.path.join(out, "state-2")))
+    return spark.read.parquet(os.path.join(out, "gold")).drop(*BATCH_PARTITIONS, "response_timestamp")
+
+
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Event payloads, some broken: usable ones in one table, the others with their reason in quarantine."""
+    out = scratch_dir(spark, "quarantine")
+    parsed = records.parse(_stream(spark, sf, "events").select("event_id", early_warning.broken_payload().alias("value")), {"k": "int"}, ["k"], None)
+    good = records.usable(parsed).select("value", F.col("record.k").cast("double").alias("k"))
+    with _state_partitions(spark):
+        run_available(file_sink(good, os.path.join(out, "good"), os.path.join(out, "state-1"), []))
+        run_available(flows.quarantine(parsed, os.path.join(out, "bad"), os.path.join(out, "state-2")))
+    bad = spark.read.parquet(os.path.join(out, "bad")).select("value", F.col("problem").alias("route"), F.lit(None).cast("double").alias("k"))
+    return spark.read.parquet(os.path.join(out, "good")).select("value", F.lit("ok").alias("route"), "k").unionByName(bad)
+
+
+def stream_late_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Station windows of a stream that got a third of its readings after the watermark had passed them all.
+
+    The first run reads the other readings and a far one; what a second run from the same checkpoint adds is late, and
+    the windows stay as they were.
+    """
+    out = scratch_dir(spark, "late")
+    readings = proxies.sensor_readings(spark, sf)
+    late = F.col("reading_id") % 3 == 0
+    folder = os.path.join(out, "readings")
+    readings.filter(~late).write.parquet(folder)
+    stations = proxies.stations(spark, sf)
+
+    def start() -> DataStreamWriter:
+        stream = spark.readStream.schema(readings.schema).parquet(folder)
+        windows = flows.station_stream(stream, stations, IOT_WINDOW)
+        rows = windows.select("station_id", millis(F.col("w.start")).alias("window_start_ms"), "n_readings", "is_anomaly")
+        return file_sink(rows, os.path.join(out, "data"), os.path.join(out, "state"), [])
+
+    far = readings.limit(1).withColumn("ts", F.lit(CLOSING_TIME).cast("timestamp")).withColumn("station_id", F.lit("closing"))
+    with _state_partitions(spark):
+        run_and_drain(start, far, folder)
+        readings.filter(late).write.mode("append").parquet(folder)
+        run_available(start())
+    return spark.read.parquet(os.path.join(out, "data"))
 
-_CLOSED = "w_end <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events)"
 
 QUERIES = {
     "stream_area_windows": (
         stream_area_windows,
         sql.with_views(*sql.IOT_TO_AREAS)
         + f"SELECT microarea_id, {sql.ms('w_start')} AS window_start_ms, total_stations, anomalous_stations,"
-        f" {sql.ms('latest_event_ts')} AS latest_event_timestamp FROM area_windows WHERE {_CLOSED}",
+        f" {sql.ms('latest_event_ts')} AS latest_event_timestamp FROM area_windows",
     ),
     "stream_silver_iot": (
         stream_silver_iot,
         sql.with_views(*sql.IOT_TO_ENRICHED)
         + f"""SELECT CASE WHEN is_anomaly THEN 'anomalies' ELSE 'normal' END AS route, station_id, microarea_id,
   {sql.ms("w_end")} AS response_timestamp, {sql.ms("latest_event_ts")} AS latest_event_timestamp, {", ".join(MEASUREMENTS)}
-FROM enriched WHERE {_CLOSED}""",
+FROM enriched""",
     ),
     "stream_gold_iot": (
         stream_gold_iot,
         f"SELECT event_id, region_id, response_timestamp, event_type, severity_score, alert_level, air_quality_index,"
-        f" estimated_ignition_time, fire_spread_rate, fire_direction, fire_speed_mph FROM ({iot.QUERIES['gold_iot_flat'][1]})"
-        f" WHERE response_timestamp <= (SELECT {sql.ms('max(ts) - INTERVAL 5 SECOND')} FROM events)",
+        f" estimated_ignition_time, fire_spread_rate, fire_direction, fire_speed_mph FROM ({iot.QUERIES['gold_iot_flat'][1]})",
     ),
     "stream_gold_sat": (stream_gold_sat, satellite.QUERIES["gold_sat_from_messages"][1]),
     "stream_message_counts": (
         stream_message_counts,
         sql.with_views(serving.V_MESSAGE)
         + f"""SELECT {sql.ms("time_bucket(INTERVAL 5 MINUTE, ts)")} AS window_start_ms, microarea_id, category, count(*) AS n_messages
-FROM v_message WHERE time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= (SELECT max(ts) - INTERVAL 2 SECOND FROM v_message)
-GROUP BY ALL""",
+FROM v_message GROUP BY ALL""",
+    ),
+    "stream_gold_social": (stream_gold_social, social.QUERIES["gold_social_classified"][1]),
+    "stream_quarantine": (
+        stream_quarantine,
+        f"SELECT value, route, CASE WHEN route = 'ok' THEN k END AS k FROM ({early_warning.QUERIES['parse_quarantine'][1]})",
+    ),
+    "stream_late_records": (
+        stream_late_records,
+        sql.with_views(*[part.replace("FROM events", "FROM events WHERE event_id % 3 <> 0") if i == 0 else part for i, part in enumerate(sql.IOT_TO_ENRICHED)])
+        + f"SELECT station_id, {sql.ms('w_start')} AS window_start_ms, n_readings, is_anomaly FROM enriched",
     ),
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -34,15 +36,21 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_roots: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a machine-local folder; on a cluster
-    executors could not see it, so there the setting is required.
+    Where that is unset, a cluster is refused, since executors could not see another folder; a local session gets
+    one temporary folder per process, which goes when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="hazardlake-")
+        if not _own_roots:
+            _own_roots.append(tempfile.mkdtemp(prefix="hazardlake-"))
+            atexit.register(shutil.rmtree, _own_roots[0], ignore_errors=True)
+        root = _own_roots[0]
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -121,6 +121,29 @@ def message_layers(messages: DataFrame, model: CentroidModel, path: str, checkpo
     return fan_out(messages, outputs, checkpoint)
 
 
+def classified_messages(messages: DataFrame, model: CentroidModel, path: str, checkpoint: str) -> DataStreamWriter:
+    """First of two streams: every message with its category to a stored stage, those without text to error rows."""
+
+    def classified(batch: DataFrame) -> DataFrame:
+        return social.classify_stage(social.split_errors(batch)[0], model)
+
+    def errors(batch: DataFrame) -> DataFrame:
+        return social.split_errors(batch)[1]
+
+    outputs = [Output(os.path.join(path, "classified"), classified, ()), Output(os.path.join(path, "errors"), errors, ())]
+    return fan_out(messages, outputs, checkpoint)
+
+
+def signal_gold(classified: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Second of two streams: signal messages of the stored stage to gold."""
+
+    def gold(batch: DataFrame) -> DataFrame:
+        return social.gold_social_columns(social.signals_only(batch), F.col("ts"))
+
+    output = Output(path, gold, ("category", "year", "month", "day"), stamp="response_timestamp")
+    return fan_out(classified, [output], checkpoint)
+
+
 def message_counts(classified: DataFrame, window: str = MESSAGE_WINDOW, delay: str = MESSAGE_DELAY) -> DataFrame:
     """Messages per window, area and category, each id counted once."""
     unique = classified.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["unique_msg_id"])
