@@ -16,13 +16,13 @@ from hazardlake.llm import (
 )
 
 QUERIES = {
-    "op1_embedding_dedup": (embedding_dedup.op1_embedding_dedup, None),
+    "op1_embedding_dedup": (embedding_dedup.op1_embedding_dedup, embedding_dedup.SQL),
     "op2_license_scan": (license_scan.op2_license_scan, None),
     "op3_line_dedup": (line_dedup.op3_line_dedup, line_dedup.SQL),
     "op4_bpe": (bpe.op4_bpe, None),
     "op5_toxicity": (toxicity.op5_toxicity, None),
     "op6_language_id": (language_id.op6_language_id, None),
-    "op7_minhash_dedup": (minhash_dedup.op7_minhash_dedup, None),
+    "op7_minhash_dedup": (minhash_dedup.op7_minhash_dedup, minhash_dedup.SQL),
     "op8_mixing": (mixing.op8_mixing, None),
     "op9_suffix_array_dedup": (substring_dedup.op9_suffix_array_dedup, None),
     "op10_document_fingerprints": (fingerprints.op10_document_fingerprints, None),

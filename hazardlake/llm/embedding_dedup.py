@@ -173,3 +173,22 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, deviations: f
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(common.table(spark, sf_dir, "embeddings"))
+
+
+SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93
+),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+lowest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN lowest ON vec_id = lowest.a LEFT JOIN degree ON vec_id = degree.a
+"""
