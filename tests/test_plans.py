@@ -81,3 +81,23 @@ def test_upsert_and_latest_combine_before_the_shuffle(spark):
     assert "partial_max" in plan(serving_plans.dim_upsert_lww(spark, SF))
     rows = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("ts"), F.col("id").alias("record_id"))
     assert "partial_max" in plan(serving.latest_per_key(rows, "k"))
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize(
+    "name, scans, aggregates_input",
+    [("bronze_partitioned", 1, 1), ("silver_iot_routed", 2, 2), ("near_station_match", 2, 3), ("area_window_counts", 2, 3)],
+)
+def test_inputs_are_read_once(spark, name, scans, aggregates_input):
+    """One scan of the facts (and one of the dimension, which comes from the same table), few exchanges."""
+    plan = executed(REGISTRY[name][0](spark, SF))
+    assert plan.count("FileScan parquet") == scans, plan
+    assert plan.count("ShuffleQueryStage") <= aggregates_input + 1, plan
+
+
+def test_every_query_has_sql():
+    assert [name for name, (_, text) in REGISTRY.items() if text is None] == []
