@@ -31,6 +31,10 @@ WARM = 2000
 FILTER_BITS = 27
 #: Contexts in a suffix array, rows and symbols handled at once.
 ARRAY_CONTEXTS, ROWS, SYMBOLS = 32, 20_000, 400_000
+#: Text within which equal contexts are reduced before they travel.
+COMBINED_BYTES = 8 << 20
+#: How often contexts are split by longer grams in any case; what occurs once goes before suffixes are sorted.
+SPLITS = 2
 NO_ID = np.iinfo(np.int64).max
 
 CONTEXT, WINDOW, SPAN = 0, 1, 2
@@ -155,6 +159,14 @@ def _merged(doc: np.ndarray, key: np.ndarray, low: np.ndarray, high: np.ndarray)
     return doc[first], key[first], low[first], (reach - base)[last]
 
 
+def _repeated(gram: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Which rows have an equal one before them."""
+    order = np.lexsort((content, gram))
+    again = np.zeros(len(gram), bool)
+    again[order[1:]] = (gram[order][1:] == gram[order][:-1]) & (content[order][1:] == content[order][:-1])
+    return again
+
+
 def _gather(rows: DataFrame, repeated: np.ndarray, warm: np.ndarray) -> DataFrame:
     """Contexts, windows of warm grams, and spans that an earlier context of the same batch already shows to repeat."""
     sent = rows.sparkSession.sparkContext.broadcast((repeated, warm))
@@ -168,41 +180,45 @@ def _gather(rows: DataFrame, repeated: np.ndarray, warm: np.ndarray) -> DataFram
             texts = batch.column("text").take(pa.array(order))
             ids, keys = ids[order], keys[order]
             data, offsets = textnum.text_bytes(texts)
-            for first, _, part, at in textnum.slices(data, offsets):
-                found = Anchors(part, at)
-                use = np.flatnonzero(_in_filter(repeated, found.gram))
-                if len(use) == 0:
-                    continue
-                gram, doc, low, left, windows = (x[use] for x in (found.gram, found.doc, found.low, found.left, found.windows))
-                is_warm = _in_filter(warm, gram)
-                # Context by content and shape; rows are in order of documents and places, so the first is earliest.
-                size = windows + LENGTH - 1
-                digest = textnum.mix(found.prefix.spans(low, low + size) ^ textnum.mix((left * 256 + windows).astype(np.uint64)))
-                order = np.lexsort((np.arange(len(gram)), digest, gram))
-                again = np.zeros(len(gram), bool)
-                again[order[1:]] = (gram[order][1:] == gram[order][:-1]) & (digest[order][1:] == digest[order][:-1])
-                owner, inside = first + doc, low - at[doc]
-                spans = [(ids[owner][again], keys[owner][again], inside[again], (inside + size)[again])]
-                pick = np.flatnonzero(~again & ~is_warm)
-                content = _cut(part, low[pick], size[pick])
-                yield _rows(CONTEXT, gram[pick], digest[pick], ids[owner][pick], keys[owner][pick], inside[pick], left[pick], windows[pick], content)
-                pick = np.flatnonzero(~again & is_warm)
-                if len(pick):
-                    row = np.repeat(pick, windows[pick])
-                    step = np.arange(len(row)) - np.repeat(np.cumsum(windows[pick]) - windows[pick], windows[pick])
-                    whole = found.prefix.spans(low[row] + step, low[row] + step + LENGTH)
-                    order = np.lexsort((np.arange(len(row)), whole, gram[row]))
-                    repeat = np.zeros(len(row), bool)
-                    repeat[order[1:]] = (gram[row][order][1:] == gram[row][order][:-1]) & (whole[order][1:] == whole[order][:-1])
-                    start = inside[row] + step
-                    spans.append((ids[owner][row][repeat], keys[owner][row][repeat], start[repeat], start[repeat] + LENGTH))
-                    row, start, whole = row[~repeat], start[~repeat], whole[~repeat]
-                    nothing = np.zeros(len(row), np.int64)
-                    yield _rows(WINDOW, gram[row], whole, ids[owner][row], keys[owner][row], start, nothing, nothing + 1, None)
-                doc, key, low, high = _merged(*(np.concatenate(x) for x in zip(*spans, strict=True)))
-                if len(doc):
-                    nothing = np.zeros(len(doc), np.int64)
-                    yield _rows(SPAN, textnum.mix(key.view(np.uint64)), nothing, doc, key, low, nothing, high - low - LENGTH + 1, None)
+            for first, last, _, _ in textnum.slices(data, offsets, COMBINED_BYTES):
+                base = offsets[first]
+                yield from combined(data[base : offsets[last]], offsets[first : last + 1] - base, ids[first:last], keys[first:last], repeated, warm)
+
+    def combined(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, keys: np.ndarray, repeated: np.ndarray, warm: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The rows of some documents in order, equal contexts and windows reduced to the earliest."""
+        parts, hot = [], []
+        for first, _, part, at in textnum.slices(data, offsets):
+            found = Anchors(part, at)
+            use = np.flatnonzero(_in_filter(repeated, found.gram))
+            gram, doc, low, left, windows = (x[use] for x in (found.gram, found.doc, found.low, found.left, found.windows))
+            digest = textnum.mix(found.prefix.spans(low, low + windows + LENGTH - 1) ^ textnum.mix((left * 256 + windows).astype(np.uint64)))
+            parts.append((gram, digest, doc + first, low + offsets[first], left, windows))
+            pick = np.flatnonzero(_in_filter(warm, gram))
+            step = np.arange(windows[pick].sum()) - np.repeat(np.cumsum(windows[pick]) - windows[pick], windows[pick])
+            start = np.repeat(low[pick], windows[pick]) + step
+            hot.append((np.repeat(gram[pick], windows[pick]), found.prefix.spans(start, start + LENGTH), np.repeat(doc[pick], windows[pick]) + first, start + offsets[first]))
+        gram, digest, doc, low, left, windows = (np.concatenate(x) for x in zip(*parts, strict=True))
+        # Documents and places are in order, so the first row of equal ones is the earliest.
+        again, is_warm = _repeated(gram, digest), _in_filter(warm, gram)
+        spans = [(doc[again], low[again], low[again] + windows[again] + LENGTH - 1)]
+        pick = np.flatnonzero(~again & ~is_warm)
+        for at in range(0, len(pick), ROWS):
+            p = pick[at : at + ROWS]
+            content = _cut(data, low[p], windows[p] + LENGTH - 1)
+            yield _rows(CONTEXT, gram[p], digest[p], ids[doc[p]], keys[doc[p]], low[p] - offsets[doc[p]], left[p], windows[p], content)
+        gram, whole, doc, low = (np.concatenate(x) for x in zip(*hot, strict=True))
+        again = _repeated(gram, whole)
+        spans.append((doc[again], low[again], low[again] + LENGTH))
+        pick = np.flatnonzero(~again)
+        nothing = np.zeros(len(pick), np.int64)
+        if len(pick):
+            yield _rows(WINDOW, gram[pick], whole[pick], ids[doc[pick]], keys[doc[pick]], low[pick] - offsets[doc[pick]], nothing, nothing + 1, None)
+        doc, low, high = (np.concatenate(x) for x in zip(*spans, strict=True))
+        doc, _, low, high = _merged(doc, doc, low - offsets[doc], high - offsets[doc])
+        if len(doc):
+            # A span needs no company: it is dealt by document and place.
+            nothing = np.zeros(len(doc), np.int64)
+            yield _rows(SPAN, textnum.mix((doc * 64 + low).astype(np.uint64)), nothing, ids[doc], keys[doc], low, nothing, high - low - LENGTH + 1, None)
 
     return rows.select("doc", "text_key", "text").mapInArrow(run, FIELDS)
 
@@ -222,13 +238,15 @@ class _Contexts:
         nominal[:, 1] = LENGTH - GRAM
         small: list[tuple[np.ndarray, ...]] = []
         low, high = left - windows + 1, left.copy()
+        splits = 0
         while len(row):
             row, group, low, high, nominal = self._collapse(row, group, low, high, nominal)
             size = np.bincount(group)[group]
-            ready = (size > 1) & (size <= ARRAY_CONTEXTS)
+            ready = (size > 1) & (size <= (ARRAY_CONTEXTS if splits >= SPLITS else 0))
             small.append((row[ready], group[ready], low[ready], high[ready]))
-            row, group, low, high, nominal = (x[size > ARRAY_CONTEXTS] for x in (row, group, low, high, nominal))
+            row, group, low, high, nominal = (x[(size > 1) & ~ready] for x in (row, group, low, high, nominal))
             row, group, low, high, nominal = self._halve(row, group, low, high, nominal)
+            splits += 1
         for part in small:
             self._sort(*part)
         self.repeats = np.cumsum(self.seen[:-1]) > 0

@@ -38,6 +38,7 @@ class _Groups:
         self.size = np.zeros(n, np.int64)
         self.size[starts] = np.diff(np.append(starts, n))
         self.before = self.low - 1
+        self.mark = np.zeros(n, bool)
 
     def take(self, starts: np.ndarray) -> None:
         """Handle one group of each string: pointers of its suffixes, then the split of the groups they point to."""
@@ -52,21 +53,31 @@ class _Groups:
             moving = moving[here >= low[moving]]
             moving = moving[self.group[to[moving]] >= group[moving]]
         self.before[taken] = to
-        self.split(*np.unique(to[to >= low], return_counts=True))
+        to = np.sort(to[to >= low])
+        first = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else to
+        self.split(to[first], np.diff(np.append(first, len(to))))
 
     def split(self, moved: np.ndarray, times: np.ndarray) -> None:
         """Move suffixes to the top of their groups, in new groups by ``times``."""
         if len(moved) == 0:
             return
-        order = np.lexsort((times, self.group[moved]))
-        moved, times = moved[order], times[order]
         old = self.group[moved]
+        order = np.argsort(old * (int(times.max()) + 1) + times, kind="stable")
+        moved, times, old = moved[order], times[order], old[order]
         first = np.flatnonzero(np.append(True, old[1:] != old[:-1]))
         count = np.diff(np.append(first, len(moved)))
         top = _ranges(old[first] + self.size[old[first]] - count, count)
         leaving = self.slot[moved]
-        is_top, was_moved = np.isin(leaving, top), np.isin(self.at[top], moved)
-        displaced, free = self.at[top[~was_moved]], np.sort(leaving[~is_top])
+        self.mark[moved] = True
+        displaced = self.at[top]
+        displaced = displaced[~self.mark[displaced]]
+        self.mark[moved] = False
+        if len(displaced):
+            self.mark[top] = True
+            free = np.sort(leaving[~self.mark[leaving]])
+            self.mark[top] = False
+        else:
+            free = displaced
         self.at[free], self.slot[displaced] = displaced, free
         self.at[top], self.slot[moved] = moved, top
         self.size[old[first]] -= count
