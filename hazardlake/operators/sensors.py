@@ -223,8 +223,8 @@ def notifications(sent_at: Column) -> Column:
     return F.transform(templates, lambda row: row.withField("notification_timestamp", sent_at))
 
 
-def area_events(scored: DataFrame) -> DataFrame:
-    """Scored area windows as nested events, the shape sent to the alert topic."""
+def area_events(scored: DataFrame, keep: Collection[str] = ()) -> DataFrame:
+    """Scored area windows as nested events, the shape sent to the alert topic; ``keep`` names further columns to pass on."""
     fire = F.col("is_fire")
     behavior = F.when(
         F.col("spread_rate").isNotNull(),
@@ -268,6 +268,7 @@ def area_events(scored: DataFrame) -> DataFrame:
         context.alias("environmental_context"),
         response.alias("system_response"),
         F.col("total_stations"),
+        *keep,
     )
 
 
@@ -346,14 +347,16 @@ def flat_events(events: DataFrame) -> DataFrame:
     )
 
 
-def event_station_pages(events: DataFrame, stations: DataFrame, page_size: int = 500) -> DataFrame:
-    """The station records of every event, in pages of about ``page_size`` stations.
+def event_station_pages(
+    events: DataFrame, stations: DataFrame, page_size: int = 500, carry: Collection[str] = ()
+) -> DataFrame:
+    """The station records of every event, in pages of about ``page_size`` stations, with the event's ``carry`` columns.
 
     ``events`` must hold ``event_id, microarea_id, w, total_stations``. An area with few stations gives one
     page holding all of them. A larger one is spread over ``ceil(total / page_size)`` pages by station
     hash, so no task ever gathers an unbounded area and no station is left out.
     """
-    keys = events.select("event_id", "microarea_id", F.col("w").alias("event_w"), "total_stations")
+    keys = events.select("event_id", "microarea_id", F.col("w").alias("event_w"), "total_stations", *carry)
     record = F.struct(
         "station_id",
         F.col("is_anomaly"),
@@ -370,5 +373,5 @@ def event_station_pages(events: DataFrame, stations: DataFrame, page_size: int =
         .withColumn("pages", pages.cast("int"))
         .withColumn("page", F.pmod(F.xxhash64("station_id"), F.col("pages")).cast("int"))
         .groupBy("event_id", "pages", "page")
-        .agg(F.array_sort(F.collect_list("station")).alias("stations"))
+        .agg(F.array_sort(F.collect_list("station")).alias("stations"), *[F.first(name).alias(name) for name in carry])
     )

@@ -12,7 +12,7 @@ from hazardlake.operators import dims, sensors
 from hazardlake.plans import oracle as sql
 from hazardlake.plans import proxies
 from hazardlake.plans.proxies import IOT_WINDOW
-from hazardlake.sources.sinks import json_payload
+from hazardlake.sources.sinks import KEEP_NULLS, json_payload
 
 
 # ------------------------------------------------------------------ plan stages
@@ -161,21 +161,16 @@ def gold_iot_event(spark: SparkSession, sf: str) -> DataFrame:
     """Events as topic payloads with their station pages, read back from the JSON a consumer would get."""
     enriched = _enriched(spark, sf)
     scored = area_stage(enriched, IOT_WINDOW)
-    pages = sensors.event_station_pages(scored, enriched).select(
+    events = sensors.area_events(scored, keep=("microarea_id", "w"))
+    sent = [name for name in events.columns if name not in ("microarea_id", "w")]
+    events = events.withColumn("value", F.to_json(F.struct(*sent), KEEP_NULLS))
+    notified = "$.system_response.sent_notifications_to[1]"
+    return sensors.event_station_pages(events, enriched, carry=("value",)).select(
         "event_id",
         "page",
         "pages",
         F.size("stations").alias("page_stations"),
         F.array_join(F.col("stations.station_id"), ",").alias("station_ids"),
-    )
-    payload = json_payload(sensors.area_events(scored), "event_id").withColumnRenamed("key", "event_id")
-    notified = "$.system_response.sent_notifications_to[1]"
-    return payload.join(pages, "event_id").select(
-        "event_id",
-        "page",
-        "pages",
-        "page_stations",
-        "station_ids",
         F.get_json_object("value", "$.event_type").alias("event_type"),
         F.get_json_object("value", "$.aggregated_detection.severity_score").cast("double").alias("severity_score"),
         F.get_json_object("value", f"{notified}.agency").alias("second_agency"),
@@ -185,10 +180,11 @@ def gold_iot_event(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def alert_payload_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The payload of every event, quiet ones too, nulls included."""
     events = sensors.flat_events(
         event_stage(proxies.sensor_readings(spark, sf), proxies.stations(spark, sf), IOT_WINDOW)
     )
-    alerts = events.filter("wildfire_detected").select(
+    alerts = events.select(
         "event_id", "region_id", "response_timestamp", "severity_score", "alert_level", "air_quality_status"
     )
     return json_payload(alerts, "event_id")
@@ -326,7 +322,7 @@ FROM scored s JOIN (SELECT microarea_id, w_end, string_agg(station_id, ',' ORDER
         alert_payload_json,
         sql.with_views(*sql.IOT_TO_SCORED)
         + """SELECT event_id AS "key", '{"event_id":"' || event_id || '","region_id":"' || microarea_id || '","response_timestamp":'
-  || response_ms || ',"severity_score":' || severity_score || ',"alert_level":"' || alert_level || '","air_quality_status":"'
-  || air_quality_status || '"}' AS "value" FROM scored WHERE is_fire""",
+  || response_ms || ',"severity_score":' || severity_score || ',"alert_level":' || coalesce('"' || alert_level || '"', 'null') || ',"air_quality_status":'
+  || CASE WHEN is_fire AND air_quality_status IS NOT NULL THEN '"' || air_quality_status || '"' ELSE 'null' END || '}' AS "value" FROM scored""",
     ),
 }
