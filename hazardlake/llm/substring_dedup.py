@@ -2,9 +2,9 @@
 
 Suffixes are sorted where equal ones can meet. Every window of ``LENGTH`` bytes has an anchor, the gram of ``GRAM``
 bytes with the smallest hash in it, which depends on the window's bytes alone. So windows with the same bytes have the
-same anchor gram at the same place. The windows that share one anchor make a context, a string of at most
-``2 * LENGTH - GRAM`` bytes. Grams that occur once are dropped; the contexts of any other gram go to one task, which
-builds their suffix array (``suffix_array``), where equal windows are neighbours, and compares neighbours byte by byte.
+same anchor gram at the same place. The windows of one anchor with few bytes before it, and those with many, make a
+context each, a string that is routed by the 66 or 67 bytes around the anchor which all of its windows hold (its key
+gram). Grams that occur once are dropped; the contexts of any other gram go to one task, which builds their suffix array (``suffix_array``), where equal windows are neighbours, and compares neighbours byte by byte.
 
 Hot grams. Equal contexts are reduced to the earliest one before they travel and again on arrival. Many different
 contexts of a gram are split by longer grams around the anchor until the suffix arrays are short. Grams with more than
@@ -25,16 +25,18 @@ from hazardlake.llm import common, textnum
 from hazardlake.llm.suffix_array import suffix_arrays
 
 LENGTH, GRAM = 100, 32
+#: Bytes before the anchor from which on a window belongs to the upper half of its anchor's windows.
+MIDDLE = (LENGTH - GRAM + 1) // 2
 WARM = 2000
 #: Size of the two bit sets of gram hashes that tasks get, whatever the corpus holds. A full set lets more rows
 #: through, which costs time and changes no result.
-FILTER_BITS = 27
+FILTER_BITS = 26
 #: Contexts in a suffix array, rows and symbols handled at once.
-ARRAY_CONTEXTS, ROWS, SYMBOLS = 32, 20_000, 400_000
-#: Text within which equal contexts are reduced before they travel.
-COMBINED_BYTES = 8 << 20
+ARRAY_CONTEXTS, ROWS, SYMBOLS = 32, 10_000, 200_000
+#: Text within which equal contexts are reduced before they travel, and text whose anchors are found at once.
+COMBINED_BYTES, SLICE_BYTES = 4 << 20, 1 << 18
 #: How often contexts are split by longer grams in any case; what occurs once goes before suffixes are sorted.
-SPLITS = 2
+SPLITS = 1
 NO_ID = np.iinfo(np.int64).max
 
 CONTEXT, WINDOW, SPAN = 0, 1, 2
@@ -52,8 +54,9 @@ def _least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Anchors:
-    """The anchors of some documents: ``gram`` hash, ``doc``, ``low`` (first window's place in all bytes), ``left``
-    (bytes before the anchor in that window) and ``windows`` (how many windows)."""
+    """The contexts of some documents, by place: ``gram`` (hash of the bytes around the anchor that all its windows
+    hold), ``doc``, ``low`` (first window's place in all bytes), ``left`` (bytes before the anchor in that window) and
+    ``windows`` (how many windows). The windows of an anchor make two contexts at most, split at ``MIDDLE``."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
         self.prefix = textnum.Prefix(data)
@@ -79,8 +82,20 @@ class Anchors:
         else:
             first = np.flatnonzero(np.append(True, (best[1:] != best[:-1]) | (doc[1:] != doc[:-1])))
             last = np.append(first[1:], len(start)) - 1
-        self.gram, self.doc, self.low = hashes[best[first]], doc[first], start[first]
-        self.left, self.windows = best[first] - start[first], last - first + 1
+        anchor, doc = best[first], doc[first]
+        most, least = anchor - start[first], anchor - start[last]  # bytes before the anchor in a window
+        # Windows with many bytes before the anchor share more of them, the others more of what follows.
+        upper, lower = np.flatnonzero(most >= MIDDLE), np.flatnonzero(least < MIDDLE)
+        left = np.append(most[upper], np.minimum(most[lower], MIDDLE - 1))
+        right = np.append(np.maximum(least[upper], MIDDLE), least[lower])
+        key = np.append(
+            self.prefix.spans(anchor[upper] - MIDDLE, anchor[upper] + GRAM),
+            self.prefix.spans(anchor[lower], anchor[lower] + LENGTH - MIDDLE + 1),
+        )
+        low = np.append(anchor[upper], anchor[lower]) - left
+        order = np.argsort(low, kind="stable")
+        self.gram, self.doc, self.low = key[order], np.append(doc[upper], doc[lower])[order], low[order]
+        self.left, self.windows = left[order], (left - right + 1)[order]
 
 
 def _leftmost(values: np.ndarray, width: int) -> np.ndarray:
@@ -119,7 +134,7 @@ def _gram_counts(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = textnum.text_bytes(batch.column("text"))
-            for _, _, part, at in textnum.slices(data, offsets):
+            for _, _, part, at in textnum.slices(data, offsets, SLICE_BYTES):
                 grams, n = np.unique(Anchors(part, at).gram, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
@@ -176,9 +191,9 @@ def _gather(rows: DataFrame, repeated: np.ndarray, warm: np.ndarray) -> DataFram
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
             keys = batch.column("text_key").to_numpy(zero_copy_only=False)
-            order = np.lexsort((keys, ids))
-            texts = batch.column("text").take(pa.array(order))
-            ids, keys = ids[order], keys[order]
+            texts, order = batch.column("text"), np.lexsort((keys, ids))
+            if (order != np.arange(len(order))).any():
+                texts, ids, keys = texts.take(pa.array(order)), ids[order], keys[order]
             data, offsets = textnum.text_bytes(texts)
             for first, last, _, _ in textnum.slices(data, offsets, COMBINED_BYTES):
                 base = offsets[first]
@@ -187,7 +202,7 @@ def _gather(rows: DataFrame, repeated: np.ndarray, warm: np.ndarray) -> DataFram
     def combined(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, keys: np.ndarray, repeated: np.ndarray, warm: np.ndarray) -> Iterator[pa.RecordBatch]:
         """The rows of some documents in order, equal contexts and windows reduced to the earliest."""
         parts, hot = [], []
-        for first, _, part, at in textnum.slices(data, offsets):
+        for first, _, part, at in textnum.slices(data, offsets, SLICE_BYTES):
             found = Anchors(part, at)
             use = np.flatnonzero(_in_filter(repeated, found.gram))
             gram, doc, low, left, windows = (x[use] for x in (found.gram, found.doc, found.low, found.left, found.windows))
@@ -212,7 +227,8 @@ def _gather(rows: DataFrame, repeated: np.ndarray, warm: np.ndarray) -> DataFram
         pick = np.flatnonzero(~again)
         nothing = np.zeros(len(pick), np.int64)
         if len(pick):
-            yield _rows(WINDOW, gram[pick], whole[pick], ids[doc[pick]], keys[doc[pick]], low[pick] - offsets[doc[pick]], nothing, nothing + 1, None)
+            # Dealt by content, not by gram, so that a gram's windows spread.
+            yield _rows(WINDOW, textnum.mix(gram[pick] ^ whole[pick]), whole[pick], ids[doc[pick]], keys[doc[pick]], low[pick] - offsets[doc[pick]], nothing, nothing + 1, None)
         doc, low, high = (np.concatenate(x) for x in zip(*spans, strict=True))
         doc, _, low, high = _merged(doc, doc, low - offsets[doc], high - offsets[doc])
         if len(doc):
@@ -234,8 +250,8 @@ class _Contexts:
         # An item is a context with a range of windows, named by the bytes before the anchor: low..high.
         row = np.arange(len(gram))
         group = np.unique(gram, return_inverse=True)[1]
-        nominal = np.zeros((len(gram), 2), np.int64)
-        nominal[:, 1] = LENGTH - GRAM
+        upper = left >= MIDDLE
+        nominal = np.stack([np.where(upper, MIDDLE, 0), np.where(upper, LENGTH - GRAM, MIDDLE - 1)], axis=1)
         small: list[tuple[np.ndarray, ...]] = []
         low, high = left - windows + 1, left.copy()
         splits = 0
