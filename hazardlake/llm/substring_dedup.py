@@ -192,7 +192,10 @@ def _gather(rows: DataFrame, repeated: np.ndarray, warm: np.ndarray) -> DataFram
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
             keys = batch.column("text_key").to_numpy(zero_copy_only=False)
             texts, order = batch.column("text"), np.lexsort((keys, ids))
-            if (order != np.arange(len(order))).any():
+            # Equal rows of the table are one document: two in a batch would repeat each other.
+            same = (ids[order][1:] == ids[order][:-1]) & (keys[order][1:] == keys[order][:-1])
+            order = np.delete(order, np.flatnonzero(same) + 1)
+            if len(order) < len(ids) or (order != np.arange(len(order))).any():
                 texts, ids, keys = texts.take(pa.array(order)), ids[order], keys[order]
             data, offsets = textnum.text_bytes(texts)
             for first, last, _, _ in textnum.slices(data, offsets, COMBINED_BYTES):

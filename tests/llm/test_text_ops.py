@@ -201,6 +201,23 @@ def test_substring_dedup_awkward(spark):
     assert substring_dedup.dedup_substrings(fx.empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("warm", [2000, 1])
+def test_substring_dedup_equal_rows_in_one_batch(spark, monkeypatch, warm):
+    """Equal rows do not remove each other, whatever batch they are in."""
+    monkeypatch.setattr(substring_dedup, "WARM", warm)
+    rng = random.Random(8)
+    fresh, passage, lone = fx.prose(rng, 60), fx.prose(rng, 50), fx.prose(rng, 70)
+    rows = [(1, fresh)] * 3 + [(2, f"{fx.prose(rng, 9)} {passage}")] + [(5, f"{passage} {fx.prose(rng, 40)}")] * 2 + [(None, lone)] * 2
+    expected = plain_removed(list(dict.fromkeys(rows)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for table in (docs.coalesce(1), docs.repartition(len(rows), F.monotonically_increasing_id())):
+        got = [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))) for r in substring_dedup.dedup_substrings(table).collect()]
+        assert sorted(got, key=repr) == sorted(((i, expected[i]) for i, _ in rows), key=repr)
+    assert [expected[i][1] > 0 for i in (1, 2, 5, None)] == [False, False, True, False]
+    apart, together = (sorted(map(repr, substring_dedup.dedup_substrings(x).collect())) for x in (fx.awkward(spark), fx.awkward(spark).coalesce(1)))
+    assert apart == together
+
+
 # ------------------------------------------------------------------ BPE
 @pytest.fixture(scope="module")
 def library():
