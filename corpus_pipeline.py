@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from hazardlake.llm import bpe, common, line_dedup, minhash_dedup, mixing, toxicity
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Share of five-word shingles from which documents are near duplicates here; operator 7 has its own.
+SIMILARITY = (80, 100)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +31,8 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every group of near duplicates."""
-    found = minhash_dedup.near_duplicates(docs)
+    """The smallest doc_id of every group of near duplicates, linked from ``SIMILARITY`` on."""
+    found = minhash_dedup.near_duplicates(docs, similarity=SIMILARITY)
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
 

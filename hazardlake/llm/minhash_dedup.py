@@ -24,9 +24,10 @@ from hazardlake.llm import common, textnum
 
 WORDS = 5
 SIMILARITY = (85, 100)
-#: 20 bands of 5 rows miss a pair at similarity 0.85 with probability 8e-6.
-BANDS, ROWS = 20, 5
-#: Values compared after banding, in batches, and the chance of dropping a pair that reaches the similarity.
+#: Values in a band. ``n_bands`` gives 20 bands for a similarity of 0.85 and 29 for 0.8.
+ROWS = 5
+#: Values compared after banding, in batches, and the chance of dropping a pair that reaches the similarity, which
+#: holds for the bands and again for the batches.
 SIGNATURE, BATCH, MISS = 64, 16, 1e-5
 BLOCK = 256
 
@@ -54,6 +55,11 @@ def min_values(hashes: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     return least
 
 
+def n_bands(similarity: float) -> int:
+    """Fewest bands that all miss a pair at the similarity with a chance of ``MISS`` at most."""
+    return 1 if similarity >= 1 else math.ceil(math.log(MISS) / math.log1p(-(similarity**ROWS)))
+
+
 def least_matches(similarity: float, miss: float, signature: int, batch: int) -> list[tuple[int, int]]:
     """(values compared, fewest matches to go on): below, P(similarity reached | matches) < miss under a flat prior."""
     found = []
@@ -77,9 +83,9 @@ def passes(left: np.ndarray, right: np.ndarray, steps: list[tuple[int, int]]) ->
     return kept
 
 
-def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``digest1``, ``digest2`` (of the set), ``bands``, ``signature`` of every row."""
-    multipliers = _multipliers(BANDS * ROWS + SIGNATURE)
+def signed(docs: DataFrame, words: int, n: int) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``digest1``, ``digest2`` (of the set), ``bands`` (``n`` keys), ``signature`` of every row."""
+    multipliers = _multipliers(n * ROWS + SIGNATURE)
     kind = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest1", pa.int64()), ("digest2", pa.int64())]
         + [("bands", pa.list_(pa.int64())), ("signature", pa.binary())]
@@ -96,12 +102,12 @@ def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     signatures.append(None)
                     continue
                 least = min_values(found, multipliers)
-                rows = least[: BANDS * ROWS].reshape(BANDS, ROWS)
-                key = np.zeros(BANDS, np.uint64)
+                rows = least[: n * ROWS].reshape(n, ROWS)
+                key = np.zeros(n, np.uint64)
                 for j in range(ROWS):
                     key = textnum.mix(key ^ rows[:, j])
                 bands.append(key.view(np.int64))
-                signatures.append((least[BANDS * ROWS :] >> np.uint64(32)).astype("<u4").tobytes())
+                signatures.append((least[n * ROWS :] >> np.uint64(32)).astype("<u4").tobytes())
             both = np.array(digests, np.uint64).reshape(-1, 2).view(np.int64)
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1])]
             columns += [pa.array(bands, pa.list_(pa.int64())), pa.array(signatures, pa.binary())]
@@ -233,7 +239,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: tuple[int,
     nothing. Rows that repeat a doc_id are one document with several texts; equal rows share their component. Rows
     without an id link with nothing, have no component and are kept. Other columns are ignored; no rows give none.
     """
-    sign = common.stored(signed(docs, words), "signed")
+    sign = common.stored(signed(docs, words, n_bands(similarity[0] / similarity[1])), "signed")
     full = sign.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = common.stored(
         full.groupBy("digest1", "digest2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows")), "classes"

@@ -74,6 +74,31 @@ def test_near_duplicates_awkward(spark):
     assert minhash_dedup.near_duplicates(fx.empty(spark)).count() == 0
 
 
+def test_pipeline_links_from_four_fifths(spark):
+    """Copies with scattered edits, at 0.84, 0.82 and just below 0.8 of their base."""
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(12)
+    rows = []
+    for i in range(30):
+        words = [fx.word(rng) + str(j) for j in range(400)]
+        rows.append((2 * i, " ".join(words), "en", "s", 1))
+        for j in range(7 + i % 3):
+            words[20 + 40 * j] = f"edit{i}x{j}"
+        rows.append((2 * i + 1, " ".join(words), "en", "s", 1))
+    plain = [plain_near([r[:2] for r in rows], share) for share in (80, 85)]
+    kept = pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, fx.DOCUMENTS), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, x in plain[0].items() if x[2]]
+    assert [sum(not x[2] for x in found.values()) for found in plain] == [20, 0]
+
+
+def test_bands_follow_the_similarity():
+    assert [minhash_dedup.n_bands(s) for s in (0.85, 0.8, 1.0)] == [20, 29, 1]
+    for s in (0.95, 0.85, 0.8):
+        n = minhash_dedup.n_bands(s)
+        assert (1 - s**minhash_dedup.ROWS) ** n <= 1e-5 < (1 - s**minhash_dedup.ROWS) ** (n - 1)
+
+
 def test_pruning_bounds():
     steps = minhash_dedup.least_matches(0.85, 1e-5, 64, 16)
     assert [n for n, _ in steps] == [16, 32, 48, 64] and all(a < b for (_, a), (_, b) in zip(steps, steps[1:]))
