@@ -26,6 +26,8 @@ WORDS = 5
 SIMILARITY = (85, 100)
 #: Values in a band. ``n_bands`` gives 20 bands for a similarity of 0.85 and 29 for 0.8.
 ROWS = 5
+#: Lowest similarity served: it takes 363 bands.
+LEAST = 0.5
 #: Values compared after banding, in batches, and the chance of dropping a pair that reaches the similarity, which
 #: holds for the bands and again for the batches.
 SIGNATURE, BATCH, MISS = 64, 16, 1e-5
@@ -57,7 +59,9 @@ def min_values(hashes: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
 
 def n_bands(similarity: float) -> int:
     """Fewest bands that all miss a pair at the similarity with a chance of ``MISS`` at most."""
-    return 1 if similarity >= 1 else math.ceil(math.log(MISS) / math.log1p(-(similarity**ROWS)))
+    if not LEAST <= similarity <= 1:
+        raise ValueError(f"similarity {similarity} is not between {LEAST} and 1")
+    return 1 if similarity == 1 else math.ceil(math.log(MISS) / math.log1p(-(similarity**ROWS)))
 
 
 def least_matches(similarity: float, miss: float, signature: int, batch: int) -> list[tuple[int, int]]:

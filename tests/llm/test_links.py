@@ -94,9 +94,12 @@ def test_pipeline_links_from_four_fifths(spark):
 
 def test_bands_follow_the_similarity():
     assert [minhash_dedup.n_bands(s) for s in (0.85, 0.8, 1.0)] == [20, 29, 1]
-    for s in (0.95, 0.85, 0.8):
+    for s in (0.95, 0.85, 0.8, 0.6, 0.5):
         n = minhash_dedup.n_bands(s)
         assert (1 - s**minhash_dedup.ROWS) ** n <= 1e-5 < (1 - s**minhash_dedup.ROWS) ** (n - 1)
+    for s in (0.49, 0.0, 1.01):
+        with pytest.raises(ValueError, match="similarity"):
+            minhash_dedup.n_bands(s)
 
 
 def test_pruning_bounds():
