@@ -59,7 +59,8 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: Training, verification by hash and balanced sampling have no SQL; the tests hold each stage against brute force.
+#: Training, verification by hash and balanced sampling have no SQL. The tests hold near-dedup against all pairs; of the
+#: other stages they check columns, ids and row counts, and the operators below them have brute-force tests of their own.
 ORACLE_SQL = None
 
 
