@@ -5,6 +5,7 @@ from __future__ import annotations
 from hazardlake.llm import (
     bpe,
     embedding_dedup,
+    embedding_whitening,
     fingerprints,
     language_id,
     license_scan,
@@ -13,6 +14,7 @@ from hazardlake.llm import (
     mixing,
     substring_dedup,
     toxicity,
+    vector_codes,
 )
 
 QUERIES = {
@@ -26,4 +28,6 @@ QUERIES = {
     "op8_mixing": (mixing.op8_mixing, None),
     "op9_suffix_array_dedup": (substring_dedup.op9_suffix_array_dedup, None),
     "op10_document_fingerprints": (fingerprints.op10_document_fingerprints, None),
+    "op11_embedding_whitening": (embedding_whitening.op11_embedding_whitening, None),
+    "op13_vector_codes": (vector_codes.op13_vector_codes, vector_codes.SQL),
 }
