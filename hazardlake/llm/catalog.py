@@ -12,6 +12,7 @@ from hazardlake.llm import (
     line_dedup,
     minhash_dedup,
     mixing,
+    quality_rules,
     substring_dedup,
     toxicity,
     vector_codes,
@@ -29,5 +30,6 @@ QUERIES = {
     "op9_suffix_array_dedup": (substring_dedup.op9_suffix_array_dedup, None),
     "op10_document_fingerprints": (fingerprints.op10_document_fingerprints, None),
     "op11_embedding_whitening": (embedding_whitening.op11_embedding_whitening, None),
+    "op12_quality_rules": (quality_rules.op12_quality_rules, quality_rules.SQL),
     "op13_vector_codes": (vector_codes.op13_vector_codes, vector_codes.SQL),
 }

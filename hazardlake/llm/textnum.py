@@ -72,9 +72,12 @@ class Prefix:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[data] * self._powers["up"][:n], out=self.sums[1:])
 
+    def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Sums of spans as if each stood at the beginning; such sums can be put together from pieces."""
+        return (self.sums[end] - self.sums[start]) * self._powers["down"][start]
+
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (self.sums[end] - self.sums[start]) * self._powers["down"][start]
-        return mix(raw + (end - start).astype(np.uint64))
+        return mix(self.raw(start, end) + (end - start).astype(np.uint64))
 
 
 def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -107,3 +110,48 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray
     for j in range(k):
         total = total * np.uint64(_BASE) + np.where(first + j < last, padded[first + j], np.uint64(0))
     return mix(total), out
+
+
+def hashed_words(
+    data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, step: int = SLICE_BYTES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends, hashes and document bounds of all words, as ``words`` and ``Prefix.spans`` give them.
+
+    The bytes are read ``step`` at a time, and a word that goes on behind a step is put together from its pieces, so
+    beside the words themselves only a step's arrays are held, however long a text or a word is.
+    """
+    starts, ends, raws = [], [], []
+    cuts = np.unique(offsets)
+    for low in range(0, len(data), step):
+        piece = data[low : low + step]
+        inner = cuts[np.searchsorted(cuts, low, "right") : np.searchsorted(cuts, low + len(piece), "left")] - low
+        start, end, _ = words(piece, np.concatenate([[0], inner, [len(piece)]]).astype(np.int64), is_word)
+        if not len(start):
+            continue
+        raw = Prefix(piece).raw(start, end)
+        start, end = start + low, end + low
+        if ends and start[0] == low == ends[-1][-1] and cuts[np.searchsorted(cuts, low)] != low:
+            before = int(ends[-1][-1] - starts[-1][-1])
+            raws[-1][-1:] += raw[:1] * np.uint64(pow(_BASE, before, 1 << 64))
+            ends[-1][-1] = end[0]
+            start, end, raw = start[1:], end[1:], raw[1:]
+            if not len(start):
+                continue
+        starts.append(start)
+        ends.append(end)
+        raws.append(raw)
+    if not starts:
+        none = np.empty(0, np.int64)
+        return none, none, none.astype(np.uint64), np.zeros(len(offsets), np.int64)
+    start, end, raw = np.concatenate(starts), np.concatenate(ends), np.concatenate(raws)
+    return start, end, mix(raw + (end - start).astype(np.uint64)), np.searchsorted(start, offsets)
+
+
+def span_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes of spans as a string column, without a loop over them."""
+    length = end - start
+    offsets = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(length, out=offsets[1:])
+    at = np.repeat(start - offsets[:-1], length) + np.arange(offsets[-1])
+    buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[at].tobytes())]
+    return pa.Array.from_buffers(pa.large_string(), len(start), buffers).cast(pa.string())
