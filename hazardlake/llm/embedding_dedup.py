@@ -26,7 +26,7 @@ THRESHOLD = 0.93
 BLOCK = 2048
 #: Standard deviations of the confidence bound; 6 leave a pair out with a chance of about 1e-9.
 DEVIATIONS = 6.0
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE, PAIRS_AT_ONCE = 256, 1 << 15
 
 
 def rotation(d: int) -> np.ndarray:
@@ -58,13 +58,11 @@ def linked(
     rotated = rotated.astype(np.float32).T
     for at in range(0, len(left), ROWS_AT_ONCE):
         rows = slice(at, at + ROWS_AT_ONCE)
-        open_pairs = (signs[rows] @ rotated) / factor[rows, None] >= least[rows, None]
-        i, j = np.nonzero(open_pairs)
-        if 20 * len(i) > open_pairs.size:
-            found[rows] = open_pairs & (left[rows] @ right.T >= threshold)
-        else:
-            close = np.einsum("nd,nd->n", left[rows][i], right[j]) >= threshold
-            found[at + i[close], j[close]] = True
+        i, j = np.nonzero((signs[rows] @ rotated) / factor[rows, None] >= least[rows, None])
+        for first in range(0, len(i), PAIRS_AT_ONCE):
+            a, b = at + i[first : first + PAIRS_AT_ONCE], j[first : first + PAIRS_AT_ONCE]
+            close = np.einsum("nd,nd->n", left[a], right[b]) >= threshold
+            found[a[close], b[close]] = True
     return found
 
 
@@ -75,7 +73,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, deviations: f
     rows linked directly; ``component_id`` is the smallest vec_id reachable. Vectors that are null, zero, or hold
     null or non-finite components, and rows without a label, link with nothing; rows without an id do neither, have
     no component and are kept. Equal vectors, repeated rows too, link with each other: they are one class from the
-    start. Other columns are ignored; no rows give none.
+    start, and a class is a node of its own, so an id that repeats with other vectors or labels counts each row's own
+    links. Other columns are ignored; no rows give none.
     """
     value = F.col("embedding").cast("array<double>")
     rows = vectors.select("vec_id", F.col("label").cast("string").alias("label"), value.alias("embedding"))
@@ -88,7 +87,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, deviations: f
     classes = common.stored(
         keyed.groupBy("label", "h1", "h2").agg(
             F.min("vec_id").alias("rep"), F.count("*").alias("n_rows"), F.first("embedding").alias("embedding")
-        ),
+        ).withColumn("node", F.monotonically_increasing_id()),
         "vector-classes",
     )
 
@@ -101,14 +100,14 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, deviations: f
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 bits, factor, _ = codes(x, rotation(int(d)))
                 yield pd.DataFrame(
-                    {"rep": part["rep"], "label": part["label"], "n_rows": part["n_rows"], "d": int(d)}
+                    {"node": part["node"], "label": part["label"], "n_rows": part["n_rows"], "d": int(d)}
                     | {"unit": [r.tobytes() for r in x], "code": [r.tobytes() for r in bits], "factor": factor}
                 )
 
-    kind = "rep bigint, label string, n_rows bigint, d int, unit binary, code binary, factor double"
-    coded = common.stored(classes.select("rep", "label", "n_rows", "embedding").mapInPandas(encode, kind), "codes")
+    kind = "node bigint, label string, n_rows bigint, d int, unit binary, code binary, factor double"
+    coded = common.stored(classes.select("node", "label", "n_rows", "embedding").mapInPandas(encode, kind), "codes")
     sizes = common.stored(coded.groupBy("label", "d").agg(F.ceil(F.count("*") / block).cast("int").alias("n_blocks")), "blocks")
-    own = F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
     dealt = (
         coded.join(sizes, ["label", "d"])
         .withColumn("own", own)
@@ -125,10 +124,10 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, deviations: f
         for part in [group[group["own"] == low]] + ([group[group["own"] == high]] if high != low else []):
             unit = np.frombuffer(b"".join(part["unit"]), np.float64).reshape(-1, d)
             bits = np.frombuffer(b"".join(part["code"]), np.uint8).reshape(len(part), -1)
-            sides.append((part["rep"].to_numpy(), part["n_rows"].to_numpy(), unit, bits, part["factor"].to_numpy()))
+            sides.append((part["node"].to_numpy(), part["n_rows"].to_numpy(), unit, bits, part["factor"].to_numpy()))
         (ids, weight, unit, bits, factor), (ids2, weight2, unit2, _, _) = sides[0], sides[-1]
         if len(ids) == 0 or len(ids2) == 0:
-            return pd.DataFrame({"rep": [], "n_links": [], "top": []}, dtype="int64")
+            return pd.DataFrame({"node": [], "n_links": [], "top": []}, dtype="int64")
         met = linked(unit, bits, factor, unit2, unit2 @ turn.T, threshold, deviations)
         if low == high:
             met = np.triu(met, 1)
@@ -141,25 +140,27 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, deviations: f
             if (new == top).all() and (new2 == top2).all():
                 break
             top, top2 = new, new2
-        found = [pd.DataFrame({"rep": ids, "n_links": met @ weight2, "top": top})]
+        found = [pd.DataFrame({"node": ids, "n_links": met @ weight2, "top": top})]
         if low != high:
-            found.append(pd.DataFrame({"rep": ids2, "n_links": weight @ met, "top": top2}))
+            found.append(pd.DataFrame({"node": ids2, "n_links": weight @ met, "top": top2}))
         out = pd.concat(found)
-        return out[(out["n_links"] > 0) | (out["top"] != out["rep"])]
+        return out[(out["n_links"] > 0) | (out["top"] != out["node"])]
 
     met = common.stored(
-        dealt.groupBy("label", "d", "low", "high").applyInPandas(compare, "rep bigint, n_links bigint, top bigint"), "vector-links"
+        dealt.groupBy("label", "d", "low", "high").applyInPandas(compare, "node bigint, n_links bigint, top bigint"), "vector-links"
     )
-    counts = met.groupBy("rep").agg(F.sum("n_links").alias("met"))
-    joined = common.components(met.where("rep <> top").select(F.col("rep").alias("a"), F.col("top").alias("b")))
+    counts = met.groupBy("node").agg(F.sum("n_links").alias("met"))
+    joined = common.components(met.where("node <> top").select(F.col("node").alias("a"), F.col("top").alias("b")))
+    smallest = joined.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("least"))
     named = (
-        classes.select("label", "h1", "h2", "rep", "n_rows")
-        .join(counts, "rep", "left")
-        .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.select("label", "h1", "h2", "node", "rep", "n_rows")
+        .join(counts, "node", "left")
+        .join(joined, "node", "left")
+        .join(smallest, "component", "left")
         .select(
             "label", "h1", "h2",
             (F.coalesce("met", F.lit(0)) + F.col("n_rows") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
+            F.coalesce("least", "rep").alias("component_id"),
         )
     )
     linked_rows = keyed.select("vec_id", "label", "h1", "h2").join(common.stored(named, "vector-components"), ["label", "h1", "h2"])

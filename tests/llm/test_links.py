@@ -6,6 +6,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from hazardlake.llm import common, embedding_dedup, minhash_dedup
 
 from . import fixtures as fx
@@ -92,6 +94,19 @@ def test_pipeline_links_from_four_fifths(spark):
     assert [sum(not x[2] for x in found.values()) for found in plain] == [20, 0]
 
 
+def test_pipeline_keeps_one_row_of_each_group_and_all_other_texts(spark):
+    import corpus_pipeline as pipeline
+
+    a, b = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
+    rows = [(1, a), (5, a), (5, b), (1, a), (None, a), (7, ""), (7, ""), (8, None), (None, ""), (None, ""), (9, "one two")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], fx.DOCUMENTS)
+    kept = pipeline.drop_near_duplicates(spark, docs.withColumn("row", F.lit(1)), "")
+    assert kept.columns == list(pipeline.COLUMNS)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, a), (5, b), (7, ""), (8, None), (None, ""), (9, "one two")], key=repr)
+    assert pipeline.drop_near_duplicates(spark, fx.empty(spark), "").count() == 0
+
+
 def test_bands_follow_the_similarity():
     assert [minhash_dedup.n_bands(s) for s in (0.85, 0.8, 1.0)] == [20, 29, 1]
     for s in (0.95, 0.85, 0.8, 0.6, 0.5):
@@ -152,6 +167,32 @@ def test_near_vectors(spark, block):
     assert len(links) > 500 and embedding_dedup.near_vectors(table.limit(0)).count() == 0
 
 
+def test_repeated_ids_count_their_own_links(spark):
+    """One id with three vectors and labels: each row has the links of its own vector."""
+    a, b = [1.0, 0.0, 0.2], [0.0, 1.0, 0.0]
+    rows = [(1, a, 0), (1, b, 0), (1, a, 1), (2, a, 0), (3, a, 1), (4, b, 2), (4, a, 1)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.near_vectors(table).collect())
+    assert got == [(1, 0, 1), (1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (4, 0, 4), (4, 2, 1)]
+
+
+@pytest.mark.parametrize(("d", "seed"), [(64, 1), (768, 2)])
+def test_recall_of_the_bound_near_the_threshold(d, seed):
+    """Pairs whose cosine lies just above and below 0.93, where only six deviations stand between them and the cut."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(1500, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off = rng.normal(size=(1500, d))
+    off -= (off * x).sum(axis=1, keepdims=True) * x
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    cosine = rng.uniform(0.925, 0.94, size=(1500, 1))
+    y = cosine * x + np.sqrt(1 - cosine**2) * off
+    turn = embedding_dedup.rotation(d)
+    bits, factor, _ = embedding_dedup.codes(x, turn)
+    found = embedding_dedup.linked(x, bits, factor, y, y @ turn.T, 0.93, embedding_dedup.DEVIATIONS)
+    assert (found == (np.einsum("nd,md->nm", x, y) >= 0.93)).all() and 500 < found.sum() < 1500
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(3)
     d = 64

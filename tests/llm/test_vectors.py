@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hazardlake.llm import embedding_whitening, vector_codes
+from hazardlake.llm import embedding_whitening, vector_codes, vectors
 
 SCHEMA = "vec_id bigint, embedding array<float>, label string"
 
@@ -52,7 +52,7 @@ def test_whitening_equals_a_full_decomposition(spark, n, d):
 def test_whitening_uses_few_passes_and_leaves_no_direction_out(spark):
     """A wide flat spectrum: the block is filtered in far fewer passes than one a dimension and round."""
     x = flat_and_hot(1, 900, 96)
-    rows, d = embedding_whitening.vectors.whole_vectors(table(spark, [(i, v.tolist(), None) for i, v in enumerate(x)]), 1024.0, 100_000, 1 << 40)
+    rows, d = vectors.whole_vectors(table(spark, [(i, v.tolist(), None) for i, v in enumerate(x)]), 1024.0, 100_000, 1 << 40)
     model = embedding_whitening.fit(rows, d)
     value, white, _, _ = plain_whitening(x, 8)
     assert 4 < model.passes < 120
@@ -178,13 +178,14 @@ def test_walk_shares_prefixes_across_runs(monkeypatch):
     assert (nearest == far.argmin(axis=1)).all() and (distance == far.min(axis=1)).all()
 
 
-def test_packed_keys_keep_the_order():
+def test_packed_rows_keep_the_order():
     rng = np.random.default_rng(4)
-    parts = rng.integers(-(1 << 27), 1 << 27, size=(300, 3))
-    parts[::3, 0] = parts[0, 0]
-    column = vector_codes._packed(parts)
-    assert (vector_codes._unpacked(column, 3) == parts).all()
-    assert sorted(range(300), key=lambda i: column[i].as_py()) == vector_codes.sorted_rows(parts).tolist()
+    rows = rng.integers(-(1 << 40), 1 << 40, size=(300, 3))
+    rows[::3, 0] = rows[0, 0]
+    column = vectors.packed(rows.ravel(), np.full(300, 3))
+    assert (vectors.matrix(column, 3) == rows).all()
+    assert (vectors.matrix(column.slice(7, 5), 3) == rows[7:12]).all()
+    assert sorted(range(300), key=lambda i: column[i].as_py()) == vector_codes.sorted_rows(rows).tolist()
 
 
 def test_decode_gives_the_entries():
