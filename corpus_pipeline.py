@@ -31,10 +31,20 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every group of near duplicates, linked from ``SIMILARITY`` on."""
-    found = minhash_dedup.near_duplicates(docs, similarity=SIMILARITY)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of every group of near duplicates, linked from ``SIMILARITY`` on: that of the smallest doc_id.
+
+    Every row stands for itself: of an id with several texts, only those go that are near a row of a smaller id (null
+    is the largest). Rows with the same id and text are one document, blank ones too. No rows give none.
+    """
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key")
+    rows = common.stored(docs.select(*COLUMNS, key, F.monotonically_increasing_id().alias("row")), "numbered")
+    found = minhash_dedup.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"), similarity=SIMILARITY)
+    linked = found.select(F.col("doc_id").alias("row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group"))
+    blank = F.col("group").isNull()
+    group = ["group", F.when(blank, F.col("doc_id")).alias("blank_id"), F.when(blank, F.col("text_key")).alias("blank_key")]
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "row"))["row"].alias("row")
+    kept = rows.select("row", "doc_id", "text_key").join(linked, "row").groupBy(*group).agg(first).select("row")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
