@@ -56,12 +56,19 @@ def upsert(current: DataFrame, changes: DataFrame, keys: list[str], order: str)
     ``order`` is a column of ``changes`` (load sequence); rows of ``current`` come before all changes.
     One aggregate with map-side combine, so a key written many times in one load is no hot spot.
     """
-    values = [name for name in current.columns if name not in keys]
-    old = current.select(*keys, F.struct(F.lit(None).cast("bigint").alias("o"), *values).alias("v"))
-    new = changes.select(*keys, F.struct(F.col(order).cast("bigint").alias("o"), *values).alias("v"))
-    # NULL order sorts first inside max(struct), so any change beats the stored row.
-    latest = old.unionByName(new).groupBy(*keys).agg(F.max("v").alias("v"))
-    return latest.select(*[F.col(name) if name in keys else F.col(f"v.{name}").alias(name) for name in current.columns])
+    old = current.withColumn("_order", F.lit(None).cast("bigint"))
+    new = changes.select(*current.columns, F.col(order).cast("bigint").alias("_order"))
+    return newest_write(old.unionByName(new), keys, "_order").drop("_order")
+
+
+def newest_write(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The row of each key with the greatest ``order``; one without (NULL sorts first) loses to any other.
+
+    Rows of equal order are told apart by their values, so the result does not depend on partitions.
+    """
+    values = [name for name in rows.columns if name not in keys and name != order]
+    latest = rows.select(*keys, F.struct(F.col(order), *values).alias("_row")).groupBy(*keys).agg(F.max("_row").alias("_row"))
+    return latest.select(*[F.col(name) if name in keys else F.col(f"_row.{name}").alias(name) for name in rows.columns])
 
 
 def point_lookup(dim: DataFrame, key: str, value: object) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 import os
 from functools import reduce
 from operator import and_
@@ -22,6 +23,8 @@ from hazardlake.session import scratch_dir
 from hazardlake.sources import records, tables
 
 START = datetime.date(2024, 6, 1)
+#: Partition levels of the predictions table that keep runs apart.
+RUN_PARTITIONS = ["run_start", "run_token"]
 
 
 # ------------------------------------------------------------------ the flow
@@ -32,21 +35,46 @@ def train(history: DataFrame, trees: int = 100, depth: int = 15):
     return forecast.train_forest(forecast.balance(training, "fire_class"), trees=trees, depth=depth)
 
 
-def run(history: DataFrame, coming: DataFrame, start: datetime.date, output: str, trees: int = 100, depth: int = 15) -> DataFrame:
+def run(
+    history: DataFrame, coming: DataFrame, start: datetime.date, output: str, trees: int = 100, depth: int = 15, token: str | None = None
+) -> DataFrame:
     """Train, score the forecast, append it to the predictions table, return the gate decision on this run's rows."""
-    return score(train(history, trees, depth), coming, start, output)
+    return score(train(history, trees, depth), coming, start, output, token)
 
 
-def score(model: PipelineModel, coming: DataFrame, start: datetime.date, output: str) -> DataFrame:
+def run_token(coming: DataFrame, start: datetime.date) -> str:
+    """A name for scoring these rows from this date on: equal for a replay, another one for other rows.
+
+    Counts and sums of row hashes, so neither the order of the rows nor their partitions matter.
+    """
+    row = F.xxhash64(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in coming.columns]), {"ignoreNullFields": "false"}))
+    total = coming.select(row.alias("h"), F.xxhash64(row, F.lit(1)).alias("g")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("h"), F.sum(F.col("g").cast("decimal(38,0)")).alias("g")
+    )
+    n, h, g = total.first()
+    return hashlib.sha256(f"{start}|{n}|{h}|{g}".encode()).hexdigest()[:20]
+
+
+def score(model: PipelineModel, coming: DataFrame, start: datetime.date, output: str, token: str | None = None) -> DataFrame:
     """Score a forecast with a fitted model, append it, return the gate decision on its rows.
 
-    The table is partitioned by the run's first date, and only that partition is written: another run appends,
-    a replay of the same one replaces its rows.
+    The table is partitioned by the run's first date and its ``token``, and only that partition is written. So any other
+    run appends, of the same date too, and a replay replaces its own rows. Without a token the rows name the run
+    (``run_token``); pass one to append equal rows twice.
     """
+    token = token or run_token(coming, start)
     remapped = forecast.remap_times(coming, "time", F.lit(start))
-    scored = forecast.predict(model, remapped).withColumn("run_start", F.lit(start))
-    scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_start").parquet(output)
-    return forecast.gate(coming.sparkSession.read.parquet(output).filter(F.col("run_start") == F.lit(start)))
+    scored = forecast.predict(model, remapped).withColumns({"run_start": F.lit(start), "run_token": F.lit(token)})
+    scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_PARTITIONS).parquet(output)
+    return forecast.gate(predictions(coming.sparkSession, output).filter((F.col("run_start") == F.lit(start)) & (F.col("run_token") == token)))
+
+
+def predictions(spark: SparkSession, output: str) -> DataFrame:
+    """The predictions table; a token stays text, even one of digits alone."""
+    stored = spark.read.parquet(output)
+    names = [f.name for f in stored.schema if f.name not in RUN_PARTITIONS]
+    kinds = ", ".join(f"`{n}` {stored.schema[n].dataType.simpleString()}" for n in names)
+    return spark.read.schema(f"{kinds}, run_start date, run_token string").parquet(output)
 
 
 # ------------------------------------------------------------------ registered queries
@@ -159,7 +187,10 @@ def fire_forest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def early_warning_flow(spark: SparkSession, sf: str) -> DataFrame:
-    """Forecast CSV to appended predictions: rows and scored rows of each run in the table, after two runs and a replay."""
+    """Forecast CSV to appended predictions: rows and scored rows of each run in the table.
+
+    Two forecasts start on the same date, the second one of every second row; a third, later one is replayed.
+    """
     path = scratch_dir(spark, "forecast")
     history = proxies.weather_history(spark, sf)
     hour = F.timestamp_seconds(F.col("row_id") * 3600)
@@ -171,14 +202,15 @@ def early_warning_flow(spark: SparkSession, sf: str) -> DataFrame:
     later = START + datetime.timedelta(days=400)
     blind = rows.withColumn("sst", F.lit(None).cast("double"))
     model = train(history)
-    gates = [score(model, part, start, output).withColumn("run_start", F.lit(start)) for part, start in ((rows, START), (blind, later), (blind, later))]
-    stored = tables.read_table(spark, output).groupBy("run_start").agg(
+    runs = [(rows, START), (rows.filter("row_id % 2 = 0"), START), (blind, later), (blind, later)]
+    gates = {run_token(part, start): score(model, part, start, output).first()["start_monitoring"] for part, start in runs}
+    stored = predictions(spark, output).groupBy(*RUN_PARTITIONS).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("fire_prediction").alias("n_scored"),
         F.date_format(F.min("time"), "yyyy-MM-dd").alias("first_date"),
     )
-    decided = gates[0].unionByName(gates[2]).select("run_start", "start_monitoring")
-    return stored.join(decided, "run_start").withColumn("run_start", F.date_format("run_start", "yyyy-MM-dd"))
+    decided = spark.createDataFrame(list(gates.items()), "run_token string, start_monitoring boolean")
+    return stored.join(decided, "run_token").drop("run_token").withColumn("run_start", F.date_format("run_start", "yyyy-MM-dd"))
 
 
 # ------------------------------------------------------------------ oracle SQL
@@ -260,6 +292,7 @@ FROM orders""",
         sql.with_views(V_WEATHER)
         + f"""SELECT '{START}' AS run_start, count(*) AS n_rows, count(*) FILTER (WHERE sst IS NOT NULL AND swvl1 IS NOT NULL) AS n_scored,
   '{START}' AS first_date, true AS start_monitoring FROM v_weather
+UNION ALL SELECT '{START}', count(*), count(*) FILTER (WHERE sst IS NOT NULL AND swvl1 IS NOT NULL), '{START}', true FROM v_weather WHERE row_id % 2 = 0
 UNION ALL SELECT strftime(DATE '{START}' + 400, '%Y-%m-%d'), count(*), 0, strftime(DATE '{START}' + 400, '%Y-%m-%d'), false FROM v_weather""",
     ),
 }

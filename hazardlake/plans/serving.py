@@ -12,6 +12,8 @@ from hazardlake.operators import dims, grid, serving
 from hazardlake.plans import iot, proxies, satellite
 from hazardlake.plans import oracle as sql
 from hazardlake.plans.proxies import IOT_WINDOW, table
+from hazardlake.session import scratch_dir
+from hazardlake.sources.keyed import KeyedTable
 
 KEEP = {"social": 20, "iot": 10, "satellite": 10}
 
@@ -195,11 +197,27 @@ def children_per_parent(spark: SparkSession, sf: str) -> DataFrame:
 
 def dim_upsert_lww(spark: SparkSession, sf: str) -> DataFrame:
     """Customers, then a load that changes a third, adds new keys and names some keys twice."""
+    current, first, second = _customer_loads(spark, sf)
+    return dims.upsert(current, first.unionByName(second), ["c_custkey"], "load_seq")
+
+
+def _customer_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Customers, and two loads over them: new and changed keys, then every second one of those once more."""
     current = table(spark, sf, "customer")
     moved = current.withColumn("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey")).otherwise(F.col("c_custkey") + 1000000000))
     first = moved.withColumn("c_acctbal", F.col("c_acctbal") + 1.0).withColumn("load_seq", F.lit(1))
     second = moved.filter("c_custkey % 2 = 0").withColumn("c_mktsegment", F.lit("CHANGED")).withColumn("load_seq", F.lit(2))
-    return dims.upsert(current, first.unionByName(second), ["c_custkey"], "load_seq")
+    return current, first, second
+
+
+def dim_upsert_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The same loads into a stored table, then both once more, the older one last; read back."""
+    current, first, second = _customer_loads(spark, sf)
+    stored = KeyedTable(scratch_dir(spark, "customers"), current.schema, ["c_custkey"], buckets=16)
+    stored.load(current)
+    for load in (first, second, second, first):
+        stored.upsert(load, "load_seq")
+    return stored.read(spark)
 
 
 def dim_point_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -258,6 +276,14 @@ _MICRO = "micro AS (SELECT macroarea_id || '-M' || cell_no AS microarea_id, macr
 _CELLS = _grid_sql("cells", "micro", "microarea_id", 20.0)
 _SNAPPED_BOX = ", ".join(f"{sql.snap(name)} AS {name}" for name in grid.BBOX)
 
+_UPSERTED = """WITH moved AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN c_custkey ELSE c_custkey + 1000000000 END AS k, * FROM customer),
+loads AS (
+  SELECT k, c_name, c_nationkey, c_acctbal + 1.0::DOUBLE AS c_acctbal, c_mktsegment, 1 AS seq FROM moved
+  UNION ALL SELECT k, c_name, c_nationkey, c_acctbal, 'CHANGED', 2 FROM moved WHERE k % 2 = 0
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 0 FROM customer)
+SELECT k AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq DESC) AS rn FROM loads) WHERE rn = 1"""
+
 QUERIES = {
     "recent_per_stream": (
         recent_per_stream,
@@ -368,16 +394,8 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_regionkey""",
 UNION ALL SELECT 'supplier', 'nation', s_nationkey, count(*) FROM supplier GROUP BY ALL
 UNION ALL SELECT 'customer', 'nation', c_nationkey, count(*) FROM customer GROUP BY ALL""",
     ),
-    "dim_upsert_lww": (
-        dim_upsert_lww,
-        """WITH moved AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN c_custkey ELSE c_custkey + 1000000000 END AS k, * FROM customer),
-loads AS (
-  SELECT k, c_name, c_nationkey, c_acctbal + 1.0::DOUBLE AS c_acctbal, c_mktsegment, 1 AS seq FROM moved
-  UNION ALL SELECT k, c_name, c_nationkey, c_acctbal, 'CHANGED', 2 FROM moved WHERE k % 2 = 0
-  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 0 FROM customer)
-SELECT k AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
-FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq DESC) AS rn FROM loads) WHERE rn = 1""",
-    ),
+    "dim_upsert_lww": (dim_upsert_lww, _UPSERTED),
+    "dim_upsert_stored": (dim_upsert_stored, _UPSERTED),
     "dim_point_lookup": (dim_point_lookup, "SELECT * FROM customer WHERE c_custkey = 42"),
     "dim_key_value": (
         dim_key_value,

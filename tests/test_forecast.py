@@ -128,3 +128,24 @@ def test_whole_flow_appends_and_gates_its_own_run(spark, tmp_path):
     predictions = spark.read.parquet(out)
     assert predictions.count() == 2 * history.count()
     assert predictions.filter("sst IS NULL AND fire_prediction IS NOT NULL").count() == 0
+
+
+def test_runs_of_one_date_stay_apart(spark, tmp_path):
+    """Another forecast of the same date appends; a replay, in any order of rows, replaces only itself."""
+    history = proxies.weather_history(spark, SF)
+    model = early_warning.train(history, trees=3, depth=3)
+    coming = history.drop("fire_class").withColumn("time", F.timestamp_seconds(F.col("row_id") * 3600))
+    out, day = str(tmp_path / "predictions"), dt.date(2024, 6, 1)
+    parts = [coming.filter("row_id % 3 = 0"), coming.filter("row_id % 3 <> 0")]
+    sizes = [part.count() for part in parts]
+    for part in parts:
+        early_warning.score(model, part, day, out)
+    early_warning.score(model, parts[0].repartition(5), day, out)
+    stored = early_warning.predictions(spark, out)
+    assert sorted(r["count"] for r in stored.groupBy("run_token").count().collect()) == sorted(sizes)
+    assert stored.count() == sum(sizes) == stored.select("row_id").distinct().count()
+    early_warning.score(model, parts[0], day, out, token="007")  # a name of its own appends equal rows
+    stored = early_warning.predictions(spark, out)
+    assert stored.count() == sum(sizes) + sizes[0] and stored.filter("run_token = '007'").count() == sizes[0]
+    tokens = {early_warning.run_token(part, day) for part in parts} | {early_warning.run_token(parts[0], dt.date(2024, 6, 2))}
+    assert len(tokens) == 3 and early_warning.run_token(parts[0].limit(0), day) not in tokens
