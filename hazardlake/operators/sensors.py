@@ -121,19 +121,20 @@ def silver_anomalies(stations: DataFrame) -> DataFrame:
     )
 
 
-def area_windows(stations: DataFrame, window: str = "1 minute") -> DataFrame:
+def area_windows(stations: DataFrame, window: str = "1 minute", time: Column | None = None) -> DataFrame:
     """One row per area and window, from enriched station windows.
 
     ``window_time`` carries the first window's event time into the second, so the same expression
-    chains two windowed aggregates in a stream.
+    chains two windowed aggregates in a stream. ``time`` replaces it where the windows come from a table.
     """
+    time = F.window_time("w") if time is None else time
     anomalous = F.col("is_anomaly")
     means = [F.avg(F.when(anomalous, F.col(name))).alias(f"avg_{name}") for name in AREA_MEASUREMENTS]
     worst = [
         (F.min(name) if name == "humidity_percent" else F.max(name)).alias(f"ext_{name}")
         for name in AREA_MEASUREMENTS
     ]
-    return stations.groupBy(F.window(F.window_time("w"), window).alias("w"), "microarea_id").agg(
+    return stations.groupBy(F.window(time, window).alias("w"), "microarea_id").agg(
         F.count(F.lit(1)).alias("total_stations"),
         F.count_if(anomalous).alias("anomalous_stations"),
         F.max("latest_event_ts").alias("latest_event_ts"),

@@ -17,6 +17,7 @@ from hazardlake.plans import oracle as sql
 from hazardlake.plans.proxies import IOT_WINDOW, table
 from hazardlake.session import scratch_dir, use_utc
 from hazardlake.sources import records
+from hazardlake.sources.keyed import KeyedTable
 from hazardlake.sources.sinks import file_sink
 from hazardlake.streaming import flows
 from hazardlake.streaming.sinks import BATCH_PARTITIONS, run_and_drain, run_available
@@ -187,7 +188,66 @@ def stream_late_records(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(os.path.join(out, "data"))
 
 
+#: Where the stations of ``stream_station_moves`` go, and which of them.
+MOVED_TO, MOVED = "A1-M3", "battery_type = 'lithium'"
+
+
+def stream_station_moves(spark: SparkSession, sf: str) -> DataFrame:
+    """Area windows of a stream whose stored station table changes halfway: every second station moves to one area.
+
+    Windows that were closed before the change count where the stations stood then, the others where they went.
+    """
+    out = scratch_dir(spark, "moves")
+    readings, known = proxies.sensor_readings(spark, sf), proxies.stations(spark, sf)
+    stations = KeyedTable(os.path.join(out, "stations"), known.schema, ["station_id"], buckets=STATE_PARTITIONS)
+    stations.load(known)
+    ends = readings.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    early = F.unix_micros("ts") < F.lit(((ends[0] or 0) + (ends[1] or 0)) // 2)
+    folder, stage = os.path.join(out, "readings"), os.path.join(out, "stage")
+    readings.filter(early).write.parquet(folder)
+
+    def start() -> DataStreamWriter:
+        stream = spark.readStream.schema(readings.schema).parquet(folder)
+        return flows.station_stage(stream, stations, stage, os.path.join(out, "state-1"), IOT_WINDOW)
+
+    far = spark.range(1).select(
+        *[F.lit({"ts": CLOSING_TIME, "station_id": "closing"}.get(f.name)).cast(f.dataType).alias(f.name) for f in readings.schema]
+    )
+    with _state_partitions(spark):
+        run_available(start())
+        stations.upsert(known.filter(MOVED).withColumns({"microarea_id": F.lit(MOVED_TO), "load": F.lit(1)}), "load")
+        readings.filter(~early).write.mode("append").parquet(folder)
+        run_and_drain(start, far, folder)
+    rows = spark.readStream.schema(spark.read.parquet(stage).schema).parquet(stage)
+
+    def areas(stage_rows: DataFrame) -> DataStreamWriter:
+        counted = flows.staged_areas(stage_rows, IOT_WINDOW).select(
+            "microarea_id",
+            millis(F.col("w.start")).alias("window_start_ms"),
+            "total_stations",
+            "anomalous_stations",
+            millis(F.col("latest_event_ts")).alias("latest_event_timestamp"),
+        )
+        return file_sink(counted, os.path.join(out, "areas"), os.path.join(out, "state-2"), [])
+
+    _drained(spark, rows, out, areas, station_id="closing")
+    return spark.read.parquet(os.path.join(out, "areas"))
+
+
+_MOVES = f"""halves AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS t FROM events),
+seen AS (SELECT max(epoch_us(ts)) - 5000000 AS mark FROM events, halves WHERE epoch_us(ts) < t),
+placed AS (
+  SELECT w.*, CASE WHEN s.station_id IS NULL THEN 'UNKNOWN' WHEN s.{MOVED} AND epoch_us(w_end) > mark THEN '{MOVED_TO}' ELSE s.microarea_id END AS microarea_id
+  FROM station_windows w CROSS JOIN seen LEFT JOIN v_station s ON w.station_id = s.station_id
+)"""
+
 QUERIES = {
+    "stream_station_moves": (
+        stream_station_moves,
+        sql.with_views(sql.V_SENSOR, sql.V_STATION, sql.STATION_WINDOWS, _MOVES)
+        + f"""SELECT microarea_id, {sql.ms("w_start")} AS window_start_ms, count(*) AS total_stations, count(*) FILTER (WHERE is_anomaly) AS anomalous_stations,
+  {sql.ms("max(latest_event_ts)")} AS latest_event_timestamp FROM placed GROUP BY microarea_id, w_start""",
+    ),
     "stream_area_windows": (
         stream_area_windows,
         sql.with_views(*sql.IOT_TO_AREAS)

@@ -12,7 +12,6 @@ import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -21,7 +20,6 @@ from hazardlake.operators import dims
 
 #: Place of a row's last write in the order of loads; rows of the first load have none.
 WRITTEN = "_written"
-_MANIFEST = StructType([StructField("bucket", IntegerType()), StructField("version", IntegerType()), StructField("manifest", IntegerType())])
 
 
 @dataclass(frozen=True)
@@ -34,22 +32,25 @@ class KeyedTable:
     buckets: int = 64
 
     # ------------------------------------------------------------------ versions
-    def _manifests(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.schema(_MANIFEST).parquet(os.path.join(self.path, "manifests"))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+    def _listed(self, spark: SparkSession, pattern: str) -> list:
+        """Hadoop paths below the table that match; none where there are none."""
+        paths = spark.sparkContext._jvm.org.apache.hadoop.fs
+        root = paths.Path(self.path)
+        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return [status.getPath() for status in files.globStatus(paths.Path(root, pattern)) or []]
+
+    def _delete(self, spark: SparkSession, found: list) -> int:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        return sum(bool(path.getFileSystem(conf).delete(path, True)) for path in found)
 
     def versions(self, spark: SparkSession, at: int | None = None) -> tuple[int, dict[int, int]]:
         """Number of the newest snapshot (or of ``at``), and the version of each bucket in it; 0 and none at first."""
-        listed = self._manifests(spark)
-        if listed is None:
+        written = self._listed(spark, "manifests/manifest=*/_SUCCESS")
+        newest = at if at is not None else max((_number(path.getParent()) for path in written), default=0)
+        if newest == 0:
             return 0, {}
-        newest = at if at is not None else listed.agg(F.max("manifest")).first()[0] or 0
-        rows = listed.filter(F.col("manifest") == newest).collect()  # a row a bucket
-        return newest, {r["bucket"]: r["version"] for r in rows if r["bucket"] >= 0}
+        rows = spark.read.schema("bucket int, version int").parquet(os.path.join(self.path, "manifests", f"manifest={newest}"))
+        return newest, {r["bucket"]: r["version"] for r in rows.collect()}  # a row a bucket
 
     def _full(self) -> StructType:
         return StructType([*self.schema.fields, StructField(WRITTEN, LongType()), StructField("_bucket", IntegerType()), StructField("_version", IntegerType())])
@@ -84,35 +85,15 @@ class KeyedTable:
         old = self._rows(spark, {b: v for b, v in versions.items() if b in touched})
         merged = merge(old.drop("_bucket"), dealt.drop("_bucket"))
         following = newest + 1
+        self._delete(spark, self._listed(spark, f"data/_bucket=*/_version={following}"))  # of a change that failed
         full = merged.select(*self.schema.names, WRITTEN, self.bucket().alias("_bucket"), F.lit(following).alias("_version"))
-        (
-            full.repartition("_bucket")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_bucket", "_version")
-            .parquet(os.path.join(self.path, "data"))
-        )
-        held = {r[0] for r in self._held(spark, touched, following)}
+        full.repartition("_bucket").write.mode("append").partitionBy("_bucket", "_version").parquet(os.path.join(self.path, "data"))
+        held = {_number(path.getParent()) for path in self._listed(spark, f"data/_bucket=*/_version={following}")}
         after = {b: v for b, v in versions.items() if b not in touched} | {b: following for b in held}
-        self._publish(spark, following, after)
+        listed = spark.createDataFrame(sorted(after.items()), "bucket int, version int").coalesce(1)
+        listed.write.mode("overwrite").parquet(os.path.join(self.path, "manifests", f"manifest={following}"))
         return following
 
-    def _held(self, spark: SparkSession, touched: list[int], version: int) -> list:
-        """Touched buckets that have rows in this version; a merge may have emptied one."""
-        data = os.path.join(self.path, "data")
-        try:
-            rows = spark.read.schema(self._full()).option("basePath", data).parquet(os.path.join(data, "_bucket=*", f"_version={version}"))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return []
-        return rows.filter(F.col("_bucket").isin(touched)).select("_bucket").distinct().collect()
-
-    def _publish(self, spark: SparkSession, number: int, versions: dict[int, int]) -> None:
-        rows = [(b, v) for b, v in sorted(versions.items())] or [(-1, number)]
-        listed = spark.createDataFrame(rows, "bucket int, version int").coalesce(1)
-        listed.write.mode("overwrite").parquet(os.path.join(self.path, "manifests", f"manifest={number}"))
-
     # ------------------------------------------------------------------ common changes
     def upsert(self, changes: DataFrame, order: str) -> int:
         """Last write wins by ``order``: a load that runs again, or late, never undoes a newer one."""
@@ -131,19 +112,12 @@ class KeyedTable:
         newest, _ = self.versions(spark)
         kept = range(max(1, newest - keep + 1), newest + 1)
         used = {item for n in kept for item in self.versions(spark, n)[1].items()}
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-        def listed(pattern: str) -> list:
-            return [s.getPath() for s in files.globStatus(jvm.org.apache.hadoop.fs.Path(root, pattern)) or []]
-
-        gone = 0
-        for path in listed("data/_bucket=*/_version=*"):
-            bucket, version = (int(part.split("=")[1]) for part in (path.getParent().getName(), path.getName()))
-            if (bucket, version) not in used:
-                gone += bool(files.delete(path, True))
-        for path in listed("manifests/manifest=*"):
-            if int(path.getName().split("=")[1]) not in kept:
-                files.delete(path, True)
+        folders = self._listed(spark, "data/_bucket=*/_version=*")
+        gone = self._delete(spark, [path for path in folders if (_number(path.getParent()), _number(path)) not in used])
+        self._delete(spark, [path for path in self._listed(spark, "manifests/manifest=*") if _number(path) not in kept])
         return gone
+
+
+def _number(path) -> int:
+    """The value in the last level of a partition path."""
+    return int(path.getName().split("=")[1])

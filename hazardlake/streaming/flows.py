@@ -13,6 +13,7 @@ from hazardlake.operators import dims, imagery, sensors
 from hazardlake.operators.text_model import CentroidModel
 from hazardlake.plans import iot, satellite, social
 from hazardlake.sources import records
+from hazardlake.sources.keyed import KeyedTable
 from hazardlake.sources.sinks import bronze_rows, file_sink, json_payload
 from hazardlake.streaming.sinks import Output, fan_out
 
@@ -54,6 +55,33 @@ def area_stream(
     return sensors.area_windows(station_stream(readings, stations, window, delay), window)
 
 
+def station_stage(
+    readings: DataFrame, stations: KeyedTable, path: str, checkpoint: str, window: str = SENSOR_WINDOW, delay: str = SENSOR_DELAY
+) -> DataStreamWriter:
+    """First of two streams: closed station windows, enriched from the newest snapshot of a stored dimension.
+
+    A static side of a stream is listed once, when the stream starts. Here every micro-batch reads the snapshot that is
+    newest then, so stations may be added and moved while the stream runs; ``staged_areas`` goes on from the stage.
+    """
+    windows = sensors.station_windows(readings.withWatermark("ts", delay), window)
+
+    def build(batch: DataFrame) -> DataFrame:
+        enriched = dims.enrich_stations(batch, stations.read(batch.sparkSession))
+        return enriched.withColumn("ts", F.col("w.end") - F.expr("INTERVAL 1 MICROSECOND"))
+
+    return fan_out(windows, [Output(path, build, ())], checkpoint)
+
+
+def staged_areas(stage: DataFrame, window: str = SENSOR_WINDOW, delay: str | None = None) -> DataFrame:
+    """Closed area windows over the stage of ``station_stage``, read as a stream.
+
+    A station's window counts once, also when the first stream writes a batch again after a failure. ``delay`` is how
+    far such repeats may lie behind the newest window, by default one window.
+    """
+    once = stage.withWatermark("ts", delay or window).dropDuplicatesWithinWatermark(["station_id", "ts"])
+    return sensors.area_windows(once, window, F.col("ts"))
+
+
 def sensor_silver(enriched: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Quiet and alarming station windows into their two layouts."""
     outputs = [
