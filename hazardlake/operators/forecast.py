@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -17,11 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardlake.constants import FEATURES
+from hazardlake.operators import ranks
+from hazardlake.operators.neighbours import nearest
 
 _RANK_BITS = 31
-_BUCKET_BITS = 16
-# Rows of a class that one task of the neighbour search compares with as many others.
-NEIGHBOUR_BLOCK = 4096
 MAX_CLASSES = 1000
 
 
@@ -70,38 +67,33 @@ def _per_class(label: str, values: dict[int, float], kind: str) -> Column:
     return found
 
 
+def _class_places(df: DataFrame, label: str, key: str, rank: Column) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
+    """``_class, _rank, _key, _place`` in the order of the first three, and size and first place of each class.
+
+    One pass over three columns. Rows without a class are left out. More than MAX_CLASSES classes are an error.
+    """
+    narrow = df.select(F.col(label).alias("_class"), rank.alias("_rank"), F.col(key).alias("_key")).filter("_class IS NOT NULL")
+    placed = ranks.positions(narrow, ["_class", "_rank", "_key"], "_place")
+    rows = placed.groupBy("_class").agg(F.count(F.lit(1)).alias("n"), F.min("_place").alias("first")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    return placed, {r["_class"]: (r["n"], r["first"]) for r in rows}
+
+
 def _lowest_ranked(
-    df: DataFrame, label: str, key: str, quotas: dict[int, int], name: str, seed: int, rank: Column | None = None
+    df: DataFrame, label: str, key: str, places: tuple[DataFrame, dict[int, tuple[int, int]]], quotas: dict[int, int], name: str, rank: Column
 ) -> DataFrame:
     """Adds ``name``: whether a row is among the ``quotas[class]`` rows of lowest rank (ties by key) of its class.
 
-    The cut of each class is found on a histogram of 65,536 rank ranges and then in the one range that holds
-    it, so no class is ever sorted. One row per class is broadcast and all rows are compared in one pass.
+    The last row within the quota is looked up by its place; one row per class is broadcast (``_class_places`` has
+    checked how many) and all rows are compared with it in one pass.
     """
-    rank = hash_rank(key, seed=seed) if rank is None else rank
-    ranked = df.withColumn("_rank", rank)
-    ranges = ranked.select(
-        label, key, "_rank", F.shiftright("_rank", _RANK_BITS - _BUCKET_BITS).cast("int").alias("_range")
-    )
-    up_to_here = Window.partitionBy(label).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
-    cut = (
-        ranges.groupBy(label, "_range")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(up_to_here))
-        .withColumn("quota", _per_class(label, quotas, "bigint"))
-        .filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
-        .select(label, "_range", (F.col("quota") - F.col("upto") + F.col("n")).alias("_take"))
-    )
-    order = Window.partitionBy(label).orderBy("_rank", key)
-    edge = (
-        ranges.join(F.broadcast(cut), [label, "_range"])  # one row per class; class_counts has checked how many
-        .withColumn("_no", F.row_number().over(order))
-        .filter("_no = _take")
-        .select(F.col(label).alias("_class"), F.struct("_rank", F.col(key).alias("_key")).alias("_edge"))
-    )
-    here = F.struct("_rank", F.col(key).alias("_key"))
-    located = ranked.join(F.broadcast(edge), F.col(label) == F.col("_class"), "left")
-    return located.withColumn(name, F.coalesce(here <= F.col("_edge"), F.lit(False))).drop("_rank", "_class", "_edge")
+    placed, classes = places
+    last = [first + min(quotas.get(c, 0), n) - 1 for c, (n, first) in classes.items() if quotas.get(c, 0) > 0]
+    edge = placed.filter(F.col("_place").isin(last)).select("_class", F.struct("_rank", "_key").alias("_edge"))
+    here = F.struct(F.col("_row_rank").alias("_rank"), F.col(key).alias("_key"))
+    located = df.withColumn("_row_rank", rank).join(F.broadcast(edge), F.col(label) == F.col("_class"), "left")
+    return located.withColumn(name, F.coalesce(here <= F.col("_edge"), F.lit(False))).drop("_row_rank", "_class", "_edge")
 
 
 def stratified_split(
@@ -109,10 +101,12 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``is_train``: an exact split that keeps class shares, whatever the class sizes.
 
-    The test part has ceil(n * share) rows. Within a class the rows of lowest rank train.
+    The test part has ceil(n * share) rows. Within a class the rows of lowest rank train. Rows without a class do not.
     """
-    quotas = _training_quotas(class_counts(df, label), test_share)
-    return _lowest_ranked(df, label, key, quotas, "is_train", seed, rank)
+    rank = hash_rank(key, seed=seed) if rank is None else rank
+    places = _class_places(df, label, key, rank)
+    quotas = _training_quotas({c: n for c, (n, _) in places[1].items()}, test_share)
+    return _lowest_ranked(df, label, key, places, quotas, "is_train", rank)
 
 
 # ------------------------------------------------------------------ class balance
@@ -128,85 +122,49 @@ def _uniform(salt: int, seed: int) -> Column:
     return F.pmod(F.xxhash64("_key", "_i", F.lit(seed), F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
 
 
-def nearest(rows: DataFrame, k: int) -> DataFrame:
-    """``_class, _key, _near``: the ``k`` nearest other rows of the class (distance, key, vector), ties by key.
-
-    ``rows``: ``_class, _key, _v, _n`` (rows of the class) and ``_asks``, whether a row wants neighbours. A class is
-    dealt into blocks of about ``NEIGHBOUR_BLOCK`` rows. Each pair of blocks is one group of bounded size that
-    returns k candidates for each of its asking rows; the best of a row's candidates are exact.
-    """
-    kind = rows.schema["_key"].dataType.simpleString()
-    blocks = F.ceil(F.col("_n") / NEIGHBOUR_BLOCK).cast("int")
-    dealt = rows.withColumn("_own", F.pmod(F.xxhash64("_key"), blocks).cast("int")).withColumn(
-        "_other", F.explode(F.sequence(F.lit(0), blocks - 1))
-    )
-    both = dealt.filter("_asks").select("_class", F.col("_own").alias("_q"), F.col("_other").alias("_b"), "_asks", "_key", "_v").unionByName(
-        dealt.select("_class", F.col("_other").alias("_q"), F.col("_own").alias("_b"), F.lit(False).alias("_asks"), "_key", "_v")
-    )
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        asking, every = group[group["_asks"]], group[~group["_asks"]].sort_values("_key")
-        found = []
-        if len(asking) and len(every):
-            points = np.array(every["_v"].tolist(), dtype=float)
-            keys = every["_key"].to_numpy()
-            wanted = np.array(asking["_v"].tolist(), dtype=float)
-            for start in range(0, len(asking), 64):
-                part = slice(start, start + 64)
-                distance = ((wanted[part, None, :] - points[None, :, :]) ** 2).sum(axis=2)
-                distance[asking["_key"].to_numpy()[part, None] == keys[None, :]] = np.inf
-                for row in distance:
-                    best = np.argsort(row, kind="stable")[:k]
-                    found.append([{"d": row[i], "k": keys[i], "v": points[i].tolist()} for i in best if np.isfinite(row[i])])
-        return pd.DataFrame({"_class": asking["_class"], "_key": asking["_key"], "_near": found if found else [[]] * len(asking)})
-
-    candidates = both.groupBy("_class", "_q", "_b").applyInPandas(
-        compare, f"_class int, _key {kind}, _near array<struct<d: double, k: {kind}, v: array<double>>>"
-    )
-    return candidates.groupBy("_class", "_key").agg(
-        F.slice(F.sort_array(F.flatten(F.collect_list("_near"))), 1, k).alias("_near")
-    )
-
-
 def smote(
-    df: DataFrame, label: str, features: Sequence[str] = FEATURES, k: int = 5, seed: int = 42, key: str = "row_id"
+    df: DataFrame, label: str, features: Sequence[str] = FEATURES, k: int = 5, seed: int = 42, key: str = "row_id", pair: bool = False
 ) -> DataFrame:
     """Original rows plus synthetic ones until every class is as large as the largest.
 
     A synthetic row lies between a row of its class and one of that row's ``k`` nearest neighbours in the class.
     Every row of a class gets the same number of synthetic rows, and those of lowest rank one more, so the total is
-    exact. Neighbours come from a blocked search (``nearest``); the method is the same for classes of every size.
-    ``key`` is unique; a row without neighbours is repeated.
+    exact. Neighbours are exact (``neighbours.nearest``); the method is the same for classes of every size and any kind of
+    label. ``key`` is unique; a row without neighbours is repeated. ``pair`` keeps where a synthetic row comes from: the
+    row and its neighbour.
     """
     names = list(features)
     counts = class_counts(df, label)
     most = max(counts.values(), default=0)
     small = {c: n for c, n in counts.items() if c is not None and n < most}
-    original = df.select(label, *names, F.lit(False).alias("synthetic"))
+    none = F.lit(None).cast(df.schema[key].dataType)
+    original = df.select(label, *names, F.lit(False).alias("synthetic"), *([none.alias("near_a"), none.alias("near_b")] if pair else []))
     if not small:
         return original
     wanted = {c: divmod(most - n, n) for c, n in small.items()}
     vector = F.array(*[F.col(name).cast("double") for name in names])
-    ranked = _lowest_ranked(
-        df.filter(F.col(label).isin(list(small))), label, key, {c: rest for c, (_, rest) in wanted.items()}, "_more", seed
-    )
+    minority, rank = df.filter(F.col(label).isin(list(small))), hash_rank(key, seed=seed)
+    more = {c: rest for c, (_, rest) in wanted.items()}
+    ranked = _lowest_ranked(minority, label, key, _class_places(minority, label, key, rank), more, "_more", rank)
     rows = ranked.select(
-        F.col(label).cast("int").alias("_class"),
+        F.col(label).alias("_class"),
         F.col(key).alias("_key"),
         vector.alias("_v"),
-        _per_class(label, small, "bigint").alias("_n"),
         (_per_class(label, {c: each for c, (each, _) in wanted.items()}, "int") + F.col("_more").cast("int")).alias("_times"),
     ).withColumn("_asks", F.col("_times") > 0)
     plan = rows.filter("_asks").join(nearest(rows.drop("_times"), k), ["_class", "_key"])
     plan = plan.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     place = F.floor(_uniform(2, seed) * F.size("_near")).cast("int")
-    chosen = F.when(F.size("_near") > 0, F.get("_near", place)["v"]).otherwise(F.col("_v"))
-    synthetic = plan.select("_class", F.zip_with("_v", chosen, lambda a, b: F.struct(a.alias("a"), b.alias("b"))).alias("_ab"), _uniform(3, seed).alias("_gap"))
-    between = F.transform("_ab", lambda x: x["a"] + (x["b"] - x["a"]) * F.col("_gap"))
-    synthetic = synthetic.select("_class", between.alias("_x"))
+    chosen = F.when(F.size("_near") > 0, F.get("_near", place)).otherwise(F.struct(F.lit(0.0).alias("d"), F.col("_key").alias("k"), F.col("_v").alias("v")))
+    ends = plan.select("_class", "_key", "_v", chosen.alias("_chosen"), _uniform(3, seed).alias("_gap"))
+    between = F.zip_with("_v", F.col("_chosen.v"), lambda a, b: a + (b - a) * F.col("_gap"))
+    synthetic = ends.select("_class", between.alias("_x"), F.col("_key").alias("near_a"), F.col("_chosen.k").alias("near_b"))
     return original.unionByName(
         synthetic.select(
-            F.col("_class").alias(label), *[F.col("_x")[i].alias(name) for i, name in enumerate(names)], F.lit(True).alias("synthetic")
+            F.col("_class").alias(label),
+            *[F.col("_x")[i].alias(name) for i, name in enumerate(names)],
+            F.lit(True).alias("synthetic"),
+            *(["near_a", "near_b"] if pair else []),
         )
     )
 
@@ -248,28 +206,12 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str] = FEATU
 
 # ------------------------------------------------------------------ dates and gate
 def remap_times(df: DataFrame, time: str, start: Column) -> DataFrame:
-    """Replaces distinct times, in order, by consecutive dates from ``start``.
+    """Replaces distinct times, in order, by consecutive dates from ``start``; NULL stays.
 
-    A dense rank without a single-task sort of all times: the rank inside a minute, plus the distinct times
-    of earlier minutes of the day, plus those of earlier days (one row per calendar day).
+    The distinct times are numbered by ranges (``ranks.positions``), so nothing is sorted or numbered in one task.
     """
-    times = df.select(F.col(time).alias("_t")).filter("_t IS NOT NULL").distinct().select(
-        "_t", F.date_trunc("minute", "_t").alias("_minute"), F.to_date("_t").alias("_day")
-    )
-    before = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
-    minutes = times.groupBy("_day", "_minute").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "_in_day", F.coalesce(F.sum("n").over(before(Window.partitionBy("_day").orderBy("_minute"))), F.lit(0))
-    )
-    days = minutes.groupBy("_day").agg(F.sum("n").alias("n")).withColumn(
-        "_earlier", F.coalesce(F.sum("n").over(before(Window.orderBy("_day"))), F.lit(0))
-    )
-    place = F.row_number().over(Window.partitionBy("_minute").orderBy("_t"))
-    mapping = (
-        times.withColumn("_place", place)
-        .join(minutes.select("_minute", "_in_day"), "_minute")
-        .join(days.select("_day", "_earlier"), "_day")
-        .select("_t", F.date_add(start, (F.col("_earlier") + F.col("_in_day") + F.col("_place") - 1).cast("int")).alias("_date"))
-    )
+    times = df.select(F.col(time).alias("_t")).filter("_t IS NOT NULL").distinct()
+    mapping = ranks.positions(times, ["_t"], "_place").select("_t", F.date_add(start, F.col("_place").cast("int")).alias("_date"))
     return df.join(mapping, F.col(time) == F.col("_t"), "left").withColumn(time, F.col("_date")).drop("_t", "_date")
 
 

@@ -19,7 +19,7 @@ from hazardlake.plans import oracle as sql
 from hazardlake.plans import proxies
 from hazardlake.plans.proxies import table
 from hazardlake.schemas import METEO_HIST
-from hazardlake.session import scratch_dir
+from hazardlake.session import scratch_dir, stored
 from hazardlake.sources import records, tables
 
 START = datetime.date(2024, 6, 1)
@@ -153,9 +153,27 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def class_rebalance(spark: SparkSession, sf: str) -> DataFrame:
-    """Original and synthetic rows per class, and whether all of them lie in the range of the class's originals."""
-    rows = forecast.smote(forecast.drop_incomplete(proxies.weather_history(spark, sf)), "fire_class")
+    """Original and synthetic rows per class; whether all of these lie between the two rows of the class they name.
+
+    ``in_range``: no synthetic value lies beyond the class's own. ``on_segment``: distances to both ends add up to the
+    distance of the ends.
+    """
+    history = forecast.drop_incomplete(proxies.weather_history(spark, sf))
+    rows = stored(forecast.smote(history, "fire_class", pair=True), "balanced")
     made = F.col("synthetic")
+    vector = F.array(*[F.col(n) for n in FEATURES])
+    ends = history.select(F.col("row_id").alias("end"), F.col("fire_class").alias("end_class"), vector.alias("end_v"))
+    a, b = (ends.select(*[F.col(c).alias(f"{c}_{side}") for c in ends.columns]) for side in "ab")
+
+    def apart(x: Column, y: Column) -> Column:
+        return F.sqrt(F.aggregate(F.zip_with(x, y, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda total, d: total + d))
+
+    point = rows.filter(made).select("fire_class", "near_a", "near_b", vector.alias("v"))
+    point = point.join(a, F.col("near_a") == F.col("end_a"), "left").join(b, F.col("near_b") == F.col("end_b"), "left")
+    whole = apart(F.col("end_v_a"), F.col("end_v_b"))
+    between = F.abs(apart(F.col("v"), F.col("end_v_a")) + apart(F.col("v"), F.col("end_v_b")) - whole) <= whole * 1e-9 + 1e-9
+    own = (F.col("end_class_a") == F.col("fire_class")) & (F.col("end_class_b") == F.col("fire_class"))
+    segments = point.groupBy("fire_class").agg(F.min(F.coalesce(own & between, F.lit(False))).alias("on_segment"))
     extremes = [("ol", F.min, ~made), ("oh", F.max, ~made), ("sl", F.min, made), ("sh", F.max, made)]
     ranges = rows.groupBy("fire_class").agg(
         F.count_if(~F.col("synthetic")).alias("n_original"),
@@ -164,8 +182,8 @@ def class_rebalance(spark: SparkSession, sf: str) -> DataFrame:
         *[F.sum(F.when(~F.col("synthetic"), F.col(n))).alias(f"sum_{n}") for n in FEATURES[:2]],
     )
     inside = [(F.coalesce(F.col(f"sl_{n}") >= F.col(f"ol_{n}"), F.lit(True)) & F.coalesce(F.col(f"sh_{n}") <= F.col(f"oh_{n}"), F.lit(True))) for n in FEATURES]
-    return ranges.select(
-        "fire_class", "n_original", "n_synthetic", reduce(and_, inside).alias("in_range"),
+    return ranges.join(segments, "fire_class", "left").select(
+        "fire_class", "n_original", "n_synthetic", reduce(and_, inside).alias("in_range"), F.coalesce("on_segment", F.lit(True)).alias("on_segment"),
         *[F.round(f"sum_{n}", 6).alias(f"sum_{n}") for n in FEATURES[:2]],
     )
 
@@ -273,7 +291,7 @@ FROM orders""",
     "class_rebalance": (
         class_rebalance,
         sql.with_views(V_WEATHER, f"complete AS ({_COMPLETE})", "sizes AS (SELECT fire_class, count(*) AS n FROM complete GROUP BY fire_class)")
-        + f"""SELECT c.fire_class, count(*) AS n_original, (SELECT max(n) FROM sizes) - count(*) AS n_synthetic, true AS in_range,
+        + f"""SELECT c.fire_class, count(*) AS n_original, (SELECT max(n) FROM sizes) - count(*) AS n_synthetic, true AS in_range, true AS on_segment,
   {", ".join(f"round(sum(c.{n}), 6) AS sum_{n}" for n in FEATURES[:2])} FROM complete c GROUP BY c.fire_class""",
     ),
     "class_weights": (

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hazardlake.operators import forecast
+from hazardlake.operators import forecast, neighbours, ranks
 from hazardlake.plans import early_warning, proxies
 
 from .conftest import SF
@@ -76,13 +76,48 @@ def test_single_row_class_is_repeated(spark):
     assert len(rows) == 4 and len({(r.x, r.y) for r in rows}) == 1
 
 
-def test_blocks_give_the_same_neighbours(spark, monkeypatch):
-    df = table(spark, {0: 60, 1: 25, 2: 1})
-    whole = sorted(forecast.smote(df, "fire_class", XY).collect())
-    monkeypatch.setattr(forecast, "NEIGHBOUR_BLOCK", 4)
-    assert sorted(forecast.smote(df, "fire_class", XY).collect()) == whole
+def clustered(spark, n=500, label="a"):
+    """Points of a few tight clusters, a third of them one and the same, in two classes."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 3)) * 40
+    points = centres[rng.integers(0, 12, n)] + rng.normal(size=(n, 3))
+    points[: n // 3] = points[0]
+    rows = [(label if i % 5 else "b", i, [float(x) for x in p], i % 4 > 0) for i, p in enumerate(points)]
+    return rows, spark.createDataFrame(rows, "_class string, _key int, _v array<double>, _asks boolean")
+
+
+def test_pruned_neighbours_equal_all_pairs(spark, monkeypatch):
+    for name, value in {"BLOCK": 16, "CELL": 12, "PIVOTS": 24}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    rows, df = clustered(spark)
+    compared = spark.sparkContext.accumulator(0)
+    found = {r["_key"]: [(x["d"], x["k"]) for x in r["_near"]] for r in neighbours.nearest(df, 4, compared).collect()}
+    pairs = 0
+    for label, key, v, asks in rows:
+        others = [(sum((a - b) ** 2 for a, b in zip(v, w, strict=True)), k) for c, k, w, _ in rows if c == label and k != key]
+        pairs += len(others)
+        if asks:
+            best = sorted(others)[:4]
+            assert [k for _, k in found[key]] == [k for _, k in best] and np.allclose([d for d, _ in found[key]], [d for d, _ in best])
+    assert len(found) == sum(r[3] for r in rows) and 0 < compared.value < pairs / 5
+
+
+def test_balance_takes_text_classes_and_names_its_neighbours(spark):
+    df = table(spark, {0: 60, 1: 25, 2: 1}).withColumn("fire_class", F.concat(F.lit("c"), F.col("fire_class").cast("string")))
     balanced = forecast.balance(df, "fire_class", XY)
-    assert {r[0]: r[1] for r in balanced.groupBy("fire_class").sum("weight").collect()} == {0: 60.0, 1: 60.0, 2: 60.0}
+    assert {r[0]: r[1] for r in balanced.groupBy("fire_class").sum("weight").collect()} == {"c0": 60.0, "c1": 60.0, "c2": 60.0}
+    place = {r.row_id: np.array([r.x, r.y]) for r in df.collect()}
+    for r in forecast.smote(df, "fire_class", XY, pair=True).filter("synthetic").collect():
+        a, b, p = place[r.near_a], place[r.near_b], np.array([r.x, r.y])
+        assert abs(np.linalg.norm(p - a) + np.linalg.norm(p - b) - np.linalg.norm(a - b)) < 1e-9
+
+
+def test_positions_count_through_ranges(spark):
+    values = [(i * 7919) % 1009 for i in range(1009)]
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(6)
+    placed = ranks.positions(df, ["v"])
+    assert all(r.v == r.position for r in placed.collect()) and placed.count() == 1009
+    assert ranks.positions(df.limit(0), ["v"]).count() == 0
 
 
 def test_forest_learns_and_leaves_incomplete_rows_open(spark):

@@ -90,7 +90,7 @@ def executed(df):
 
 @pytest.mark.parametrize(
     "name, scans, aggregates_input",
-    [("bronze_partitioned", 1, 1), ("silver_iot_routed", 2, 2), ("near_station_match", 2, 3), ("area_window_counts", 2, 3)],
+    [("time_remap", 2, 2), ("stratified_split", 3, 3), ("bronze_partitioned", 1, 1), ("silver_iot_routed", 2, 2), ("near_station_match", 2, 3), ("area_window_counts", 2, 3)],
 )
 def test_inputs_are_read_once(spark, name, scans, aggregates_input):
     """One scan of the facts (and one of the dimension, which comes from the same table), few exchanges."""
