@@ -35,12 +35,22 @@ REFERENCE_WORDS, LANGUAGES = 2000, 256
 LEAST_CHARS, LEAST_COUNTED = 200, 60
 FAR_CLASSES, FAR_WORDS = 0.3, 0.7
 
+#: Buckets of word hashes, and how many of a language's fullest ones are looked into first.
+BUCKET_BITS = 16
+BUCKETS, FIRST_BUCKETS = 1 << BUCKET_BITS, 1024
+#: Bytes of whole texts whose arrays fit the cache.
+PIECE = 1 << 17
+
 IS_COMMON = textnum.byte_class([(0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)])
 NOT_BREAK = textnum.byte_class([(0x0A, 0x0A)])
 
 
+#: Cells of the byte table beyond the classes: the counted symbols, and bytes that continue a character.
+MARKED, INNER = len(CLASSES), len(CLASSES) + 1
+
+
 def _class_table() -> np.ndarray:
-    """Class of each byte; bytes that continue a character have class ``len(CLASSES)``."""
+    """Cell of each byte."""
     table = np.full(256, CLASSES.index("symbol"), np.uint8)
     table[:32] = table[127] = CLASSES.index("control")
     table[list(b" \t\n\x0b\x0c\r")] = CLASSES.index("blank")
@@ -48,16 +58,15 @@ def _class_table() -> np.ndarray:
     table[ord("0") : ord("9") + 1] = CLASSES.index("digit")
     table[ord("A") : ord("Z") + 1] = CLASSES.index("upper")
     table[ord("a") : ord("z") + 1] = CLASSES.index("lower")
-    table[0x80:0xC0] = len(CLASSES)
+    table[list(SYMBOLS)] = MARKED
+    table[0x80:0xC0] = INNER
     table[0xC0:0xE0] = CLASSES.index("two bytes")
     table[0xE0:0xF0] = CLASSES.index("three bytes")
     table[0xF0:] = CLASSES.index("four bytes")
     return table
 
 
-CLASS_OF = _class_table()
-IS_SYMBOL = np.zeros(256, bool)
-IS_SYMBOL[list(SYMBOLS)] = True
+CELL_OF = _class_table()
 
 
 def _sums(flags: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -67,29 +76,33 @@ def _sums(flags: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.diff(total[edges])
 
 
-def _byte_counts(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, cells: int) -> np.ndarray:
-    """Document x cell: how many of its bytes ``table`` maps to each cell, a step of bytes at a time."""
-    n = len(offsets) - 1
+def class_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Characters by class (document x class), and counted symbols, a step of bytes at a time."""
+    n, cells = len(offsets) - 1, INNER + 1
     found = np.zeros(n * cells, np.int64)
     for low in range(0, len(data), textnum.SLICE_BYTES):
         piece = data[low : low + textnum.SLICE_BYTES]
         first, last = np.searchsorted(offsets, [low, low + len(piece) - 1], "right") - 1
-        own = np.repeat(np.arange(first, last + 1), np.diff(np.clip(offsets[first : last + 2], low, low + len(piece))))
-        at = (own - first) * cells + table[piece]
+        lengths = np.diff(np.clip(offsets[first : last + 2], low, low + len(piece)))
+        at = np.repeat(np.arange(last + 1 - first) * cells, lengths)
+        at += CELL_OF[piece]
         found[first * cells : (last + 1) * cells] += np.bincount(at, minlength=(last + 1 - first) * cells)
-    return found.reshape(n, cells)
+    found = found.reshape(n, cells)
+    classes = found[:, : len(CLASSES)]
+    classes[:, CLASSES.index("symbol")] += found[:, MARKED]
+    return classes, found[:, MARKED]
+
+
+def _repeated(key: np.ndarray) -> np.ndarray:
+    """Places of the keys that occur more than once, in turn."""
+    order = np.sort(key)
+    twice = order[1:][order[1:] == order[:-1]]
+    return np.flatnonzero(np.isin(key, twice)) if len(twice) else np.empty(0, np.int64)
 
 
-def _seen_before(document: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each (document, key): is it equal to an earlier one, and to any other one?"""
-    order = np.lexsort((np.arange(len(key)), key, document))
-    same = np.zeros(len(key), bool)
-    same[1:] = (document[order][1:] == document[order][:-1]) & (key[order][1:] == key[order][:-1])
-    other = same.copy()
-    other[:-1] |= same[1:]
-    earlier, twice = np.empty_like(same), np.empty_like(same)
-    earlier[order], twice[order] = same, other
-    return earlier, twice
+def _own_key(document: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Keys of different documents differ."""
+    return textnum.mix(key + document.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
 def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
@@ -97,32 +110,33 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     n = len(offsets) - 1
     start, end, hashes, bounds = textnum.hashed_words(data, offsets, textnum.NOT_WHITE)
     n_words = np.diff(bounds)
-    classes = _byte_counts(data, offsets, CLASS_OF, len(CLASSES) + 1)[:, :-1]
+    classes, n_symbols = class_counts(data, offsets)
     blank = CLASSES.index("blank")
-    n_symbols = _byte_counts(data, offsets, IS_SYMBOL.astype(np.uint8), 2)[:, 1]
 
     line_start, line_end, line_hash, line_bounds = textnum.hashed_words(data, offsets, NOT_BREAK)
     worded = np.searchsorted(start, line_end) > np.searchsorted(start, line_start)
     line_doc = np.repeat(np.arange(n), np.diff(line_bounds))[worded]
-    earlier, _ = _seen_before(line_doc, line_hash[worded])
-    n_dup_lines = np.bincount(line_doc[earlier], minlength=n)
+    line_key = _own_key(line_doc, line_hash[worded])
+    shared = _repeated(line_key)
+    n_dup_lines = np.bincount(line_doc[shared], minlength=n)
+    first = shared[np.unique(line_key[shared], return_index=True)[1]]  # the first of equal lines is no repeat
+    n_dup_lines -= np.bincount(line_doc[first], minlength=n)
 
     count = np.maximum(n_words - WINDOW + 1, 0)
     window_doc = np.repeat(np.arange(n), count)
     first = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(bounds[:-1], count)
     total = np.zeros(len(first), np.uint64)
     for j in range(WINDOW):
-        total = textnum.mix(total ^ hashes[first + j])
-    _, twice = _seen_before(window_doc, total)
+        total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[first + j]
     covered = np.zeros(len(start) + 1, np.int32)
-    np.add.at(covered, first[twice], 1)
-    np.add.at(covered, first[twice] + WINDOW, -1)
+    for place in first[_repeated(_own_key(window_doc, total))][None, :] + np.arange(WINDOW)[:, None]:
+        covered[place] = 1
     return {
         "n_words": n_words,
         "word_chars": classes.sum(axis=1) - classes[:, blank],
         "n_symbols": n_symbols,
         "n_dup_lines": n_dup_lines,
-        "n_repeat_words": _sums(np.cumsum(covered[:-1]) > 0, bounds),
+        "n_repeat_words": _sums(covered[:-1], bounds),
         "classes": classes,
     }
 
@@ -137,72 +151,131 @@ class References:
     shares: list[np.ndarray]
 
 
-def _common_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    lowered = textnum.TO_LOWER[data]
-    return lowered, *textnum.hashed_words(lowered, offsets, IS_COMMON)
+def _language_rows(docs: DataFrame) -> DataFrame:
+    own = F.col("lang").isNotNull() & F.col("text").isNotNull()
+    return docs.where(own).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+
+
+def _word_pieces(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """First and past-last row, bytes, lower-cased bytes, offsets, and the common words, a cache-sized piece at a time."""
+    data, offsets = textnum.text_bytes(batch.column("text"))
+    for low, high, part, at in textnum.slices(data, offsets, PIECE):
+        lowered = textnum.TO_LOWER[part]
+        yield low, high, part, lowered, at, textnum.hashed_words(lowered, at, IS_COMMON)
 
 
 def histograms(docs: DataFrame) -> DataFrame:
     """``lang``, ``kind``, ``item``, ``n`` over all rows with a language.
 
-    Kind 0 counts characters by class number, 1 all words, 2 each word of at most ``WORD_BYTES``. Tasks count their own
-    rows first, so a hot language or word is one row a batch.
+    Kind 0 counts characters by class number, 1 all words, 2 words of at most ``WORD_BYTES`` by bucket of their hash.
+    Tasks add up their own rows first, so a hot language or word is one row a task, whatever the size of the table.
     """
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
-    )
+    width = len(CLASSES) + 1 + BUCKETS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            data, offsets = textnum.text_bytes(batch.column("text"))
             names, own = np.unique(np.array(batch.column("lang").to_pylist(), object), return_inverse=True)
-            if not len(names):
-                continue
-            for low, high, part, at in textnum.slices(data, offsets, 1 << 23):
+            for low, high, part, _, at, (start, end, hashes, bounds) in _word_pieces(batch):
+                classes, _ = class_counts(part, at)
                 lang = own[low:high]
-                classes = np.zeros((len(names), len(CLASSES)), np.int64)
-                np.add.at(classes, lang, _byte_counts(part, at, CLASS_OF, len(CLASSES) + 1)[:, :-1])
-                lowered, start, end, hashes, bounds = _common_words(part, at)
                 word_lang = np.repeat(lang, np.diff(bounds))
-                totals = np.bincount(word_lang, minlength=len(names))
-                short = np.flatnonzero(end - start <= WORD_BYTES)
-                order = short[np.lexsort((hashes[short], word_lang[short]))]
-                h, w = hashes[order], word_lang[order]
-                new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (w[1:] != w[:-1]))) if len(order) else order
-                times = np.diff(np.append(new, len(order)))
-                found = order[new]
-                spelled = textnum.span_bytes(lowered, start[found], end[found])
-                which, cell = np.nonzero(classes)
-                present = np.flatnonzero(totals)
-                langs = np.concatenate([names[which], names[present], names[word_lang[found]]])
-                kinds = np.repeat(np.array([0, 1, 2], np.int32), [len(which), len(present), len(found)])
-                items = pa.concat_arrays([pa.array([str(c) for c in cell], pa.string()), pa.array([""] * len(present), pa.string()), spelled])
-                sums = np.concatenate([classes[which, cell], totals[present], times]).astype(np.int64)
-                columns = [pa.array(langs, pa.string()), pa.array(kinds), items, pa.array(sums)]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "kind", "item", "n"])
-
-    counted = rows.mapInArrow(count, "lang string, kind int, item string, n bigint")
+                bucket = np.where(end - start <= WORD_BYTES, (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), -1)
+                for i in np.unique(lang):
+                    total = totals.setdefault(names[i], np.zeros(width, np.int64))
+                    total[: len(CLASSES)] += classes[lang == i].sum(axis=0)
+                    mine = bucket[word_lang == i]
+                    total[len(CLASSES)] += len(mine)
+                    total[len(CLASSES) + 1 :] += np.bincount(mine[mine >= 0], minlength=BUCKETS)
+            if len(totals) > LANGUAGES:  # a vector a language: keep few
+                yield from emit(totals)
+                totals = {}
+        yield from emit(totals)
+
+    def emit(totals: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for name, total in totals.items():
+            at = np.flatnonzero(total)
+            kind = np.where(at < len(CLASSES), 0, np.where(at == len(CLASSES), 1, 2)).astype(np.int32)
+            item = np.where(kind == 0, at, np.where(kind == 1, 0, at - len(CLASSES) - 1)).astype(np.int32)
+            columns = [pa.array([name] * len(at), pa.string()), pa.array(kind), pa.array(item), pa.array(total[at])]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "kind", "item", "n"])
+
+    counted = _language_rows(docs).mapInArrow(count, "lang string, kind int, item int, n bigint")
     return counted.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
 
 
-def references(docs: DataFrame) -> References:
-    """The reference histograms: at most ``LANGUAGES`` languages of ``COMMON`` words reach the driver.
+def counted_words(docs: DataFrame, langs: list[str], chosen: np.ndarray) -> DataFrame:
+    """``lang``, ``item``, ``n``: every word of ``langs`` whose bucket is ``chosen`` (language x bucket), counted over all rows."""
+    index = {name: i for i, name in enumerate(langs)}
 
-    Words of equal counts stand in code point order, languages of equal words too.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.array([index.get(name, -1) for name in batch.column("lang").to_pylist()], np.int64)
+            parts = []
+            for low, high, _, lowered, _, (start, end, hashes, bounds) in _word_pieces(batch):
+                word_lang = np.repeat(own[low:high], np.diff(bounds))
+                wanted = (word_lang >= 0) & (end - start <= WORD_BYTES)
+                wanted &= chosen[word_lang, (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+                place = np.flatnonzero(wanted)
+                key, one, times = np.unique(_own_key(word_lang[place], hashes[place]), return_index=True, return_counts=True)
+                place = place[one]
+                parts.append((key, times, word_lang[place], textnum.span_bytes(lowered, start[place], end[place])))
+            if not parts:
+                continue
+            key, times, word_lang = (np.concatenate([x[i] for x in parts]) for i in range(3))
+            _, one, group = np.unique(key, return_index=True, return_inverse=True)
+            total = np.zeros(len(one), np.int64)
+            np.add.at(total, group, times)
+            spelled = pa.concat_arrays([x[3] for x in parts]).take(pa.array(one))
+            columns = [pa.array(langs, pa.string()).take(pa.array(word_lang[one])), spelled, pa.array(total)]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "item", "n"])
+
+    rows = _language_rows(docs).where(F.col("lang").isin(langs))
+    return rows.mapInArrow(count, "lang string, item string, n bigint").groupBy("lang", "item").agg(F.sum("n").alias("n"))
+
+
+def common_words(docs: DataFrame, counted: DataFrame, langs: list[str]) -> dict[str, list[tuple[str, int]]]:
+    """The ``COMMON`` most frequent words of each language with their counts; equal counts in code point order.
+
+    A bucket's count bounds the count of any word in it. Words of the fullest buckets are counted themselves, and the
+    result stands for a language once its last word occurs more often than the fullest bucket left out has words; else
+    more of its buckets are taken.
     """
+    found: dict[str, list[tuple[str, int]]] = {}
+    taken = FIRST_BUCKETS
+    while open_langs := [name for name in langs if name not in found]:
+        fullest = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "item"))
+        rows = counted.where("kind = 2").where(F.col("lang").isin(open_langs)).withColumn("at", fullest).where(F.col("at") <= taken + 1)
+        chosen = np.zeros((len(open_langs), BUCKETS), bool)
+        left_out = dict.fromkeys(open_langs, 0)
+        for r in rows.collect():
+            if r["at"] <= taken:
+                chosen[open_langs.index(r["lang"]), r["item"]] = True
+            else:
+                left_out[r["lang"]] = r["n"]
+        best = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "item"))
+        words: dict[str, list[tuple[str, int]]] = {name: [] for name in open_langs}
+        for r in counted_words(docs, open_langs, chosen).withColumn("at", best).where(F.col("at") <= COMMON).collect():
+            words[r["lang"]].append((r["item"], r["n"]))
+        for name, own in words.items():
+            if left_out[name] == 0 or (len(own) == COMMON and min(n for _, n in own) > left_out[name]):
+                found[name] = own
+        taken *= 8
+    return found
+
+
+def references(docs: DataFrame) -> References:
+    """The reference histograms: at most ``LANGUAGES`` languages of ``COMMON`` words, most words first, ties by name."""
     counted = common.stored(histograms(docs), "histograms")
     totals = counted.where("kind = 1").where(F.col("n") >= REFERENCE_WORDS).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     index = {r["lang"]: i for i, r in enumerate(totals)}
     classes = np.zeros((len(index), len(CLASSES)))
     if not index:
         return References(classes, np.empty(0, np.uint64), [], [])
-    own = counted.where(F.col("lang").isin(list(index)))
-    for r in own.where("kind = 0").collect():
-        classes[index[r["lang"]], int(r["item"])] = r["n"]
-    best = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "item"))
-    words: list[list[tuple[str, int]]] = [[] for _ in index]
-    for r in own.where("kind = 2").withColumn("at", best).where(F.col("at") <= COMMON).collect():
-        words[index[r["lang"]]].append((r["item"], r["n"]))
+    for r in counted.where("kind = 0").where(F.col("lang").isin(list(index))).collect():
+        classes[index[r["lang"]], r["item"]] = r["n"]
+    by_name = common_words(docs, counted, list(index))
+    words = [by_name[r["lang"]] for r in totals]
     spelled = sorted({w for found in words for w, _ in found})
     data, offsets = textnum.text_bytes(pa.array(spelled, pa.string()))
     hashes = textnum.Prefix(data).spans(offsets[:-1], offsets[1:])
@@ -270,9 +343,9 @@ def judge(docs: DataFrame, found: References | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = textnum.text_bytes(batch.column("text"))
-            for low, high, part, at in textnum.slices(data, offsets):
+            for low, high, part, at in textnum.slices(data, offsets, PIECE):
                 base = base_counts(part, at)
-                _, _, _, hashes, bounds = _common_words(part, at)
+                _, _, hashes, bounds = textnum.hashed_words(textnum.TO_LOWER[part], at, IS_COMMON)
                 step = max(1, _CELLS // max(1, len(found.hashes)))
                 verdicts = []
                 for first in range(0, high - low, step):

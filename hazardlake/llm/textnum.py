@@ -120,6 +120,9 @@ def hashed_words(
     The bytes are read ``step`` at a time, and a word that goes on behind a step is put together from its pieces, so
     beside the words themselves only a step's arrays are held, however long a text or a word is.
     """
+    if len(data) <= step:
+        start, end, bounds = words(data, offsets, is_word)
+        return start, end, Prefix(data).spans(start, end), bounds
     starts, ends, raws = [], [], []
     cuts = np.unique(offsets)
     for low in range(0, len(data), step):

@@ -145,6 +145,22 @@ def test_references_count_all_rows_and_break_ties(spark):
     assert set(refs.hashes[refs.columns[0]]) == set(textnum.Prefix(data).spans(offsets[:-1], offsets[1:]))
 
 
+def test_common_words_are_exact_when_buckets_are_shared(spark, monkeypatch):
+    """With 16 buckets and 2 taken first, the bound fails until all are taken."""
+    monkeypatch.setattr(quality_rules, "BUCKET_BITS", 4)
+    monkeypatch.setattr(quality_rules, "BUCKETS", 16)
+    monkeypatch.setattr(quality_rules, "FIRST_BUCKETS", 2)
+    rows = [(i, text, lang) for i, (text, lang) in enumerate(corpus())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    counted = quality_rules.histograms(docs).cache()
+    found = quality_rules.common_words(docs, counted, ["aa", "bb"])
+    for lang in ("aa", "bb"):
+        times = Counter(w for _, text, own in rows if own == lang and text for w in COUNTED.findall(text.translate(fixtures.LOWER)))
+        assert sorted(found[lang], key=lambda x: (-x[1], x[0])) == sorted(
+            ((w, n) for w, n in times.items() if len(w.encode()) <= 32), key=lambda x: (-x[1], x[0])
+        )[:100]
+
+
 @pytest.mark.parametrize("step", [1, 2, 7, 64, 1 << 20])
 def test_words_do_not_depend_on_the_step(step):
     texts = ["", "a", "aa bb  cc", " lead", "trail ", None, "x" * 200, "é" * 30 + " ö", "ab", "cd", "the same the same"]
