@@ -61,19 +61,6 @@ def sorted_rows(parts: np.ndarray) -> np.ndarray:
     return np.lexsort(parts.T[::-1]) if parts.shape[1] else np.arange(len(parts))
 
 
-def _packed(parts: np.ndarray) -> pa.Array:
-    """Rows as binary keys whose byte order is the rows' lexicographic order."""
-    wide = np.ascontiguousarray((parts + (1 << 31)).astype(">u4"))
-    width = 4 * parts.shape[1]
-    offsets = np.arange(len(parts) + 1, dtype=np.int32) * width
-    return pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(wide.tobytes())])
-
-
-def _unpacked(column: pa.Array, m: int) -> np.ndarray:
-    keys = b"".join(column.to_pylist())
-    return np.frombuffer(keys, ">u4").reshape(len(column), m).astype(np.int64) - (1 << 31)
-
-
 def distinct_parts(rows: DataFrame, d: int, parts: int = PARTS) -> DataFrame:
     """``pos``, ``part`` (binary), ``n``: every distinct part with its number of rows, sorted within its partition."""
     bounds = part_bounds(d, parts)
@@ -88,7 +75,8 @@ def distinct_parts(rows: DataFrame, d: int, parts: int = PARTS) -> DataFrame:
                 part = part[sorted_rows(part)]
                 first = np.flatnonzero(np.append(True, (part[1:] != part[:-1]).any(axis=1)))
                 times = np.diff(np.append(first, len(part)))
-                columns = [pa.array(np.full(len(first), pos, np.int32)), _packed(part[first]), pa.array(times)]
+                packed = vectors.packed(part[first].ravel(), np.full(len(first), high - low))
+                columns = [pa.array(np.full(len(first), pos, np.int32)), packed, pa.array(times)]
                 yield pa.RecordBatch.from_arrays(columns, names=["pos", "part", "n"])
 
     found = rows.select("x").mapInArrow(count, "pos int, part binary, n bigint")
@@ -102,7 +90,7 @@ def first_entries(rows: DataFrame, d: int, parts: int = PARTS, entries: int = EN
     ids = [r["vec_id"] for r in rows.select("vec_id").distinct().orderBy(order).limit(entries).collect()]
     own = F.col("vec_id").isin([i for i in ids if i is not None]) | (F.col("vec_id").isNull() & F.lit(None in ids))
     smallest = rows.where(own).groupBy("vec_id").agg(F.min("x").alias("x")).orderBy(order)
-    found = np.array([r["x"] for r in smallest.collect()], np.int64).reshape(-1, d)
+    found = vectors.matrix(pa.array([bytes(r["x"]) for r in smallest.collect()], pa.binary()), d)
     return [found[:, low:high].copy() for low, high in part_bounds(d, parts)]
 
 
@@ -117,7 +105,7 @@ def refine(counted: DataFrame, books: list[np.ndarray]) -> list[np.ndarray]:
             times = batch.column("n").to_numpy()
             for p in np.unique(pos):
                 own = np.flatnonzero(pos == p)
-                part = _unpacked(batch.column("part").take(pa.array(own)), books[p].shape[1])
+                part = vectors.matrix(batch.column("part").take(pa.array(own)), books[p].shape[1])
                 nearest, _ = walk(part, books[p])
                 weight = times[own]
                 np.add.at(sums[p], nearest, np.column_stack([part * weight[:, None], weight]))
