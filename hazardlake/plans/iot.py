@@ -29,6 +29,18 @@ def event_stage(readings: DataFrame, stations: DataFrame, window: str) -> DataFr
     return sensors.area_events(area_stage(station_stage(readings, stations, window), window))
 
 
+def payload_pages(scored: DataFrame, enriched: DataFrame) -> DataFrame:
+    """``key, value``: every event as JSON, a row for each page of its stations.
+
+    A value holds the event's fields, ``page`` (from 0), ``pages`` and ``stations``; an area of any size is spread over
+    pages, and a consumer has the whole event with every page.
+    """
+    events = sensors.area_events(scored, keep=("microarea_id", "w"))
+    sent = [name for name in events.columns if name not in ("microarea_id", "w")]
+    pages = sensors.event_station_pages(events.withColumn("event", F.struct(*sent)), enriched, carry=("event",))
+    return json_payload(pages.select("event.*", "page", "pages", "stations"), "event_id")
+
+
 # ------------------------------------------------------------------ registered queries
 def _windows(spark: SparkSession, sf: str) -> DataFrame:
     return sensors.station_windows(proxies.sensor_readings(spark, sf), IOT_WINDOW)

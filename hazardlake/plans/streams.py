@@ -234,6 +234,41 @@ def stream_station_moves(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(os.path.join(out, "areas"))
 
 
+def stream_alert_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads with their stations, published by the chained stream and read back as a consumer would."""
+    out = scratch_dir(spark, "payloads")
+    known = proxies.stations(spark, sf)
+    stations = KeyedTable(os.path.join(out, "stations"), known.schema, ["station_id"], buckets=STATE_PARTITIONS)
+    stations.load(known)
+    stage, sent = os.path.join(out, "stage"), os.path.join(out, "sent")
+
+    def staged(readings: DataFrame) -> DataStreamWriter:
+        return flows.station_stage(readings, stations, stage, os.path.join(out, "state-1"), IOT_WINDOW)
+
+    _drained(spark, _readings(spark, sf), out, staged, station_id="closing")
+    rows = spark.readStream.schema(spark.read.parquet(stage).schema).parquet(stage)
+
+    def published(stage_rows: DataFrame) -> DataStreamWriter:
+        return flows.alert_payloads(flows.staged_areas(stage_rows, IOT_WINDOW), stage, sent, os.path.join(out, "state-2"))
+
+    _drained(spark, rows, os.path.join(out, "areas"), published, station_id="closing")
+    event = "page int, pages int, event_type string, stations array<struct<station_id string>>"
+    value = spark.read.parquet(sent).select(F.col("key").alias("event_id"), "value", F.from_json("value", event).alias("e"))
+    notified = "$.system_response.sent_notifications_to[1]"
+    return value.select(
+        "event_id",
+        "e.page",
+        "e.pages",
+        F.size("e.stations").alias("page_stations"),
+        F.array_join("e.stations.station_id", ",").alias("station_ids"),
+        "e.event_type",
+        F.get_json_object("value", "$.aggregated_detection.severity_score").cast("double").alias("severity_score"),
+        F.get_json_object("value", f"{notified}.agency").alias("second_agency"),
+        F.get_json_object("value", f"{notified}.notification_timestamp").alias("notified_at"),
+        F.get_json_object("value", "$.environmental_context.terrain_info.aspect").alias("aspect"),
+    )
+
+
 _MOVES = f"""halves AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS t FROM events),
 seen AS (SELECT max(epoch_us(ts)) - 5000000 AS mark FROM events, halves WHERE epoch_us(ts) < t),
 placed AS (
@@ -248,6 +283,7 @@ QUERIES = {
         + f"""SELECT microarea_id, {sql.ms("w_start")} AS window_start_ms, count(*) AS total_stations, count(*) FILTER (WHERE is_anomaly) AS anomalous_stations,
   {sql.ms("max(latest_event_ts)")} AS latest_event_timestamp FROM placed GROUP BY microarea_id, w_start""",
     ),
+    "stream_alert_payloads": (stream_alert_payloads, iot.QUERIES["gold_iot_event"][1]),
     "stream_area_windows": (
         stream_area_windows,
         sql.with_views(*sql.IOT_TO_AREAS)

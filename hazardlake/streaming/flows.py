@@ -14,7 +14,7 @@ from hazardlake.operators.text_model import CentroidModel
 from hazardlake.plans import iot, satellite, social
 from hazardlake.sources import records
 from hazardlake.sources.keyed import KeyedTable
-from hazardlake.sources.sinks import bronze_rows, file_sink, json_payload
+from hazardlake.sources.sinks import bronze_rows, file_sink
 from hazardlake.streaming.sinks import Output, fan_out
 
 SENSOR_DELAY = "5 seconds"
@@ -35,11 +35,6 @@ def quarantine(parsed: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
     return file_sink(records.quarantined(parsed), path, checkpoint, [])
 
 
-def payloads(rows: DataFrame, key: str, path: str, checkpoint: str) -> DataStreamWriter:
-    """``key, value`` JSON payloads of finished rows; ``kafka_sink`` takes the same rows to a topic."""
-    return file_sink(json_payload(rows, key), path, checkpoint, [])
-
-
 # ------------------------------------------------------------------ sensors
 def station_stream(
     readings: DataFrame, stations: DataFrame, window: str = SENSOR_WINDOW, delay: str = SENSOR_DELAY
@@ -82,6 +77,22 @@ def staged_areas(stage: DataFrame, window: str = SENSOR_WINDOW, delay: str | Non
     return sensors.area_windows(once, window, F.col("ts"))
 
 
+def alert_payloads(areas: DataFrame, stage: str, path: str, checkpoint: str) -> DataStreamWriter:
+    """Second of two streams: every closed area window as JSON payloads that hold its stations, page by page.
+
+    ``areas`` come from ``staged_areas`` over ``stage``. An area window closes after all its stations' windows were
+    stored, so each micro-batch finds them there; only the files of its own times are read. ``kafka_sink`` takes the
+    same ``key, value`` rows to a topic.
+    """
+
+    def build(batch: DataFrame) -> DataFrame:
+        first, last = batch.agg(F.min("w.start"), F.max("w.end")).first()
+        stations = batch.sparkSession.read.parquet(stage).filter((F.col("ts") >= F.lit(first)) & (F.col("ts") < F.lit(last)))
+        return iot.payload_pages(sensors.scored_areas(batch), stations)
+
+    return fan_out(areas, [Output(path, build, ())], checkpoint)
+
+
 def sensor_silver(enriched: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Quiet and alarming station windows into their two layouts."""
     outputs = [
@@ -92,7 +103,7 @@ def sensor_silver(enriched: DataFrame, path: str, checkpoint: str) -> DataStream
 
 
 def sensor_events(areas: DataFrame) -> DataFrame:
-    """Scored area windows as events, e.g. for ``payloads``."""
+    """Scored area windows as events."""
     return sensors.area_events(sensors.scored_areas(areas))
 
 
