@@ -18,7 +18,7 @@ from hazardlake.sources.keyed import KeyedTable
 KEEP = {"social": 20, "iot": 10, "satellite": 10}
 
 
-def _streams(spark: SparkSession, sf: str) -> DataFrame:
+def streams(spark: SparkSession, sf: str) -> DataFrame:
     """Records of the three sources in one shape."""
     iot_rows = proxies.sensor_readings(spark, sf).select(
         F.lit("iot").alias("stream"), F.col("reading_id").cast("string").alias("record_id"), "ts"
@@ -32,7 +32,7 @@ def _streams(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recent_per_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.recent_per_stream(_streams(spark, sf), KEEP).select(
+    return serving.recent_per_stream(streams(spark, sf), KEEP).select(
         "stream", "record_id", millis(F.col("ts")).alias("ts_ms"), "recency"
     )
 
@@ -69,7 +69,7 @@ def category_counts_delta(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_status(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.source_status(_streams(spark, sf)).select("stream", "n_records", millis(F.col("last_ts")).alias("last_ms"))
+    return serving.source_status(streams(spark, sf)).select("stream", "n_records", millis(F.col("last_ts")).alias("last_ms"))
 
 
 _METRICS = [f"anomalous_{name}" for name in [*BANDS, *INDICES]] + [f"scene_{name}" for name in BANDS]

@@ -9,9 +9,11 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from hazardlake.constants import MEASUREMENTS
 from hazardlake.functions.timefmt import millis
+from hazardlake.operators import serving as serving_operators
 from hazardlake.plans import early_warning, iot, proxies, satellite, serving, social
 from hazardlake.plans import oracle as sql
 from hazardlake.plans.proxies import IOT_WINDOW, table
@@ -269,6 +271,51 @@ def stream_alert_payloads(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _in_batches(spark: SparkSession, rows: DataFrame, folder: str, batches: int = 3) -> DataFrame:
+    """A stream that gives ``rows`` in several micro-batches, dealt by hash and so out of the order of their times."""
+    parts = rows.withColumn("_part", F.pmod(F.xxhash64(rows.columns[0], rows.columns[1]), F.lit(batches)))
+    for part in range(batches):
+        parts.filter(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def stream_recent(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest records of every source, kept by a stream whose records come out of order."""
+    out = scratch_dir(spark, "recent")
+    records = serving.streams(spark, sf)
+    kept = KeyedTable(os.path.join(out, "kept"), records.schema, ["stream"], buckets=4)
+    with _state_partitions(spark):
+        rows = _in_batches(spark, records, os.path.join(out, "records"))
+        run_available(flows.newest_records(rows, kept, serving.KEEP, os.path.join(out, "state")))
+    ranked = serving_operators.recent_per_stream(kept.read(spark), serving.KEEP)
+    return ranked.select("stream", "record_id", millis(F.col("ts")).alias("ts_ms"), "recency")
+
+
+def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest reading of every station, kept by a stream whose readings come out of order."""
+    out = scratch_dir(spark, "latest")
+    readings = proxies.sensor_readings(spark, sf).select(
+        "station_id", F.col("reading_id").alias("record_id"), "ts", "temperature_c", "humidity_percent"
+    )
+    kept = KeyedTable(os.path.join(out, "kept"), readings.schema, ["station_id"], buckets=STATE_PARTITIONS)
+    with _state_partitions(spark):
+        rows = _in_batches(spark, readings, os.path.join(out, "readings"))
+        run_available(flows.latest_records(rows, kept, "station_id", os.path.join(out, "state")))
+    return kept.read(spark).select("station_id", "record_id", millis(F.col("ts")).alias("ts_ms"), "temperature_c", "humidity_percent")
+
+
+def stream_revised_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages per window, area and category as the last revision of a running count leaves them."""
+    out = scratch_dir(spark, "counts")
+    messages = proxies.messages(spark, sf)
+    schema = StructType.fromDDL("window_start timestamp, microarea_id string, category string, n_messages bigint, change bigint")
+    kept = KeyedTable(os.path.join(out, "kept"), schema, schema.names[:3], buckets=STATE_PARTITIONS)
+    with _state_partitions(spark):
+        rows = _in_batches(spark, messages, os.path.join(out, "messages"))
+        run_available(flows.revised_counts(rows, kept, os.path.join(out, "state"), "5 minutes", "100 days"))
+    return kept.read(spark).select(millis(F.col("window_start")).alias("window_start_ms"), "microarea_id", "category", "n_messages")
+
+
 _MOVES = f"""halves AS (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 AS t FROM events),
 seen AS (SELECT max(epoch_us(ts)) - 5000000 AS mark FROM events, halves WHERE epoch_us(ts) < t),
 placed AS (
@@ -276,6 +323,12 @@ placed AS (
   FROM station_windows w CROSS JOIN seen LEFT JOIN v_station s ON w.station_id = s.station_id
 )"""
 
+_COUNTED = (
+    sql.with_views(serving.V_MESSAGE)
+    + f"""SELECT {sql.ms("time_bucket(INTERVAL 5 MINUTE, ts)")} AS window_start_ms, microarea_id, category, count(*) AS n_messages
+FROM v_message GROUP BY ALL"""
+)
+
 QUERIES = {
     "stream_station_moves": (
         stream_station_moves,
@@ -283,6 +336,9 @@ QUERIES = {
         + f"""SELECT microarea_id, {sql.ms("w_start")} AS window_start_ms, count(*) AS total_stations, count(*) FILTER (WHERE is_anomaly) AS anomalous_stations,
   {sql.ms("max(latest_event_ts)")} AS latest_event_timestamp FROM placed GROUP BY microarea_id, w_start""",
     ),
+    "stream_recent": (stream_recent, serving.QUERIES["recent_per_stream"][1]),
+    "stream_latest": (stream_latest, serving.QUERIES["latest_per_key"][1]),
+    "stream_revised_counts": (stream_revised_counts, _COUNTED),
     "stream_alert_payloads": (stream_alert_payloads, iot.QUERIES["gold_iot_event"][1]),
     "stream_area_windows": (
         stream_area_windows,
@@ -303,12 +359,7 @@ FROM enriched""",
         f" estimated_ignition_time, fire_spread_rate, fire_direction, fire_speed_mph FROM ({iot.QUERIES['gold_iot_flat'][1]})",
     ),
     "stream_gold_sat": (stream_gold_sat, satellite.QUERIES["gold_sat_from_messages"][1]),
-    "stream_message_counts": (
-        stream_message_counts,
-        sql.with_views(serving.V_MESSAGE)
-        + f"""SELECT {sql.ms("time_bucket(INTERVAL 5 MINUTE, ts)")} AS window_start_ms, microarea_id, category, count(*) AS n_messages
-FROM v_message GROUP BY ALL""",
-    ),
+    "stream_message_counts": (stream_message_counts, _COUNTED),
     "stream_gold_social": (stream_gold_social, social.QUERIES["gold_social_classified"][1]),
     "stream_quarantine": (
         stream_quarantine,

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from hazardlake.functions.timefmt import parse_iso
-from hazardlake.operators import dims, imagery, sensors
+from hazardlake.operators import dims, imagery, sensors, serving
 from hazardlake.operators.text_model import CentroidModel
 from hazardlake.plans import iot, satellite, social
 from hazardlake.sources import records
-from hazardlake.sources.keyed import KeyedTable
+from hazardlake.sources.keyed import WRITTEN, KeyedTable
 from hazardlake.sources.sinks import bronze_rows, file_sink
-from hazardlake.streaming.sinks import Output, fan_out
+from hazardlake.streaming.sinks import Output, fan_out, merge_into
 
 SENSOR_DELAY = "5 seconds"
 SENSOR_WINDOW = "1 minute"
@@ -189,3 +190,63 @@ def message_counts(classified: DataFrame, window: str = MESSAGE_WINDOW, delay: s
     return unique.groupBy(F.window("ts", window).alias("w"), "microarea_id", "category").agg(
         F.count(F.lit(1)).alias("n_messages")
     )
+
+
+# ------------------------------------------------------------------ displays
+def newest_records(records: DataFrame, kept: KeyedTable, keep: Mapping[str, int], checkpoint: str) -> DataStreamWriter:
+    """The newest ``keep[stream]`` records of every stream, merged into a stored table with each micro-batch.
+
+    ``kept`` has the columns ``stream``, ``record_id``, ``ts`` and others, by ``stream``. It never holds more than the
+    limits; a record that arrives twice counts once.
+    """
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        both = old.unionByName(new).dropDuplicates(["stream", "record_id"])
+        return serving.recent_per_stream(both, keep).drop("recency")
+
+    def change(batch: DataFrame, number: int) -> None:
+        kept.change(serving.recent_per_stream(batch, keep).withColumn(WRITTEN, F.lit(number)), merge)
+
+    return merge_into(records, change, checkpoint)
+
+
+def latest_records(records: DataFrame, kept: KeyedTable, key: str, checkpoint: str) -> DataStreamWriter:
+    """The newest record of every key, by event time and then ``record_id``, kept in a stored table.
+
+    Records may arrive in any order and more than once. ``record_id`` must be the first column of ``kept`` after its key.
+    """
+
+    def change(batch: DataFrame, _: int) -> None:
+        kept.upsert(serving.latest_per_key(batch, key).withColumn("_order", F.unix_micros("ts")), "_order")
+
+    return merge_into(records, change, checkpoint)
+
+
+def revised_counts(classified: DataFrame, kept: KeyedTable, checkpoint: str, window: str = MESSAGE_WINDOW, delay: str = MESSAGE_DELAY) -> DataStreamWriter:
+    """Messages per window, area and category, revised as they arrive (update mode) and kept in a stored table.
+
+    ``n_messages`` is the count so far and ``change`` what the last revision added; a revision written twice changes
+    nothing. Ids must be unique, or the rows come through ``dropDuplicatesWithinWatermark`` in a stream of their own.
+    """
+    counts = classified.withWatermark("ts", delay).groupBy(F.window("ts", window).alias("w"), "microarea_id", "category").agg(
+        F.count(F.lit(1)).alias("n_messages")
+    )
+    rows = counts.select(F.col("w.start").alias("window_start"), "microarea_id", "category", "n_messages")
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        key = ["window_start", "microarea_id", "category"]
+        row = F.struct(WRITTEN, "n_messages", "change")
+        before, after = old.groupBy(*key).agg(F.max(row).alias("a")), new.groupBy(*key).agg(F.max(row).alias("b"))
+        both = before.join(after, key, "full")
+        stale = F.col("b").isNull() | (F.col(f"a.{WRITTEN}") >= F.col(f"b.{WRITTEN}"))
+        revised = F.struct(
+            F.col(f"b.{WRITTEN}").alias(WRITTEN),
+            F.col("b.n_messages").alias("n_messages"),
+            (F.col("b.n_messages") - F.coalesce("a.n_messages", F.lit(0))).alias("change"),
+        )
+        return both.select(*key, F.when(stale, F.col("a")).otherwise(revised).alias("r")).select(*key, "r.*")
+
+    def change(batch: DataFrame, number: int) -> None:
+        kept.change(batch.withColumns({"change": F.lit(None).cast("bigint"), WRITTEN: F.lit(number)}), merge)
+
+    return merge_into(rows, change, checkpoint, "update")

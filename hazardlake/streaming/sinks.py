@@ -75,6 +75,22 @@ def compact(spark: SparkSession, path: str, into: str, partitions: Sequence[str]
     compact_layer(spark.read.parquet(path).drop(*BATCH_PARTITIONS), into, list(partitions))
 
 
+def merge_into(df: DataFrame, change: Callable[[DataFrame, int], object], checkpoint: str, mode: str = "append") -> DataStreamWriter:
+    """Apply ``change(rows, batch number)`` to a stored table for every micro-batch, e.g. ``KeyedTable.upsert``.
+
+    A batch may run again after a failure, so the change must give the same table when it is applied twice.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.persist()  # a change reads it twice: for the buckets it touches and for the rows
+        try:
+            change(batch, number)
+        finally:
+            batch.unpersist()
+
+    return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
+
+
 def run_available(writer: DataStreamWriter) -> None:
     """Process what is there now and stop."""
     query = writer.trigger(availableNow=True).start()
