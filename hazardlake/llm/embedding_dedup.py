@@ -27,6 +27,7 @@ BLOCK = 2048
 #: Standard deviations of the confidence bound; 6 leave a pair out with a chance of about 1e-9.
 DEVIATIONS = 6.0
 ROWS_AT_ONCE, PAIRS_AT_ONCE = 256, 1 << 15
+SALTS = 64
 
 
 def rotation(d: int) -> np.ndarray:
@@ -152,11 +153,14 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, deviations: f
     counts = met.groupBy("node").agg(F.sum("n_links").alias("met"))
     joined = common.components(met.where("node <> top").select(F.col("node").alias("a"), F.col("top").alias("b")))
     smallest = joined.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("least"))
+    # A component may hold a third of all classes, so its rows meet its one row in several places.
+    spread = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = joined.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    joined = joined.join(spread, ["component", "salt"]).select("node", "least")
     named = (
         classes.select("label", "h1", "h2", "node", "rep", "n_rows")
         .join(counts, "node", "left")
         .join(joined, "node", "left")
-        .join(smallest, "component", "left")
         .select(
             "label", "h1", "h2",
             (F.coalesce("met", F.lit(0)) + F.col("n_rows") - 1).alias("n_links"),
