@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import os
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -22,6 +23,8 @@ from hazardlake.sources import records
 from hazardlake.sources.keyed import KeyedTable
 from hazardlake.sources.sinks import file_sink
 from hazardlake.streaming import flows
+from hazardlake.streaming.compaction import compact_closed
+from hazardlake.streaming.progress import ProgressLog
 from hazardlake.streaming.sinks import BATCH_PARTITIONS, run_and_drain, run_available
 
 
@@ -91,9 +94,13 @@ def stream_silver_iot(spark: SparkSession, sf: str) -> DataFrame:
         return flows.sensor_silver(stations, os.path.join(out, "data"), os.path.join(out, "state"))
 
     _drained(spark, _readings(spark, sf), out, start, station_id="closing")
+    return _silver_rows(spark, os.path.join(out, "data"))
+
+
+def _silver_rows(spark: SparkSession, data: str) -> DataFrame:
     keep = ["station_id", "microarea_id", "response_timestamp", "latest_event_timestamp"]
-    normal = spark.read.parquet(os.path.join(out, "data", "normal")).select(F.lit("normal").alias("route"), *keep)
-    alarms = spark.read.parquet(os.path.join(out, "data", "anomalies")).select(
+    normal = spark.read.parquet(os.path.join(data, "normal")).select(F.lit("normal").alias("route"), *keep)
+    alarms = spark.read.parquet(os.path.join(data, "anomalies")).select(
         F.lit("anomalies").alias("route"), *keep, *MEASUREMENTS
     )
     return normal.unionByName(alarms, allowMissingColumns=True)
@@ -167,7 +174,7 @@ def stream_late_records(spark: SparkSession, sf: str) -> DataFrame:
     """Station windows of a stream that got a third of its readings after the watermark had passed them all.
 
     The first run reads the other readings and a far one; what a second run from the same checkpoint adds is late, and
-    the windows stay as they were.
+    the windows stay as they were. ``n_dropped`` is the number of late windows the stream reported.
     """
     out = scratch_dir(spark, "late")
     readings = proxies.sensor_readings(spark, sf)
@@ -186,8 +193,45 @@ def stream_late_records(spark: SparkSession, sf: str) -> DataFrame:
     with _state_partitions(spark):
         run_and_drain(start, far, folder)
         readings.filter(late).write.mode("append").parquet(folder)
-        run_available(start())
-    return spark.read.parquet(os.path.join(out, "data"))
+        with ProgressLog(spark, os.path.join(out, "progress")) as log:
+            log.wait_for(run_available(start()))
+    dropped = log.table().agg(F.coalesce(F.sum("n_dropped"), F.lit(0)).alias("n_dropped"))
+    return spark.read.parquet(os.path.join(out, "data")).withColumn("n_dropped", dropped.scalar())
+
+
+def stream_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver rows of a stream that goes on after its closed dates have been packed in place, twice.
+
+    The readings come in four parts by time, two a run, so windows of one date are written by several batches.
+    """
+    out = scratch_dir(spark, "compacted")
+    readings, stations = proxies.sensor_readings(spark, sf), proxies.stations(spark, sf)
+    folder, data, state = (os.path.join(out, name) for name in ("readings", "data", "state"))
+    at = F.unix_micros("ts")
+    least, most = readings.agg(F.min(at), F.max(at)).first()
+    if least is None:
+        return stream_silver_iot(spark, sf)
+    bounds = [least + (most + 1 - least) * i // 4 for i in range(5)]
+
+    def start() -> DataStreamWriter:
+        rows = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        return flows.sensor_silver(flows.station_stream(rows, stations, IOT_WINDOW), data, state)
+
+    def pack(passed: int) -> None:
+        tomorrow = datetime.datetime.fromtimestamp(passed / 1e6, datetime.timezone.utc) + datetime.timedelta(days=1)
+        for name in ("normal", "anomalies"):
+            compact_closed(spark, os.path.join(data, name), state, tomorrow.date())
+
+    with _state_partitions(spark):
+        for i in range(4):
+            readings.filter((at >= bounds[i]) & (at < bounds[i + 1])).coalesce(1).write.mode("append").parquet(folder)
+            if i % 2:
+                run_available(start())
+                pack(bounds[i + 1])
+        far = readings.limit(1).withColumns({"ts": F.lit(CLOSING_TIME).cast("timestamp"), "station_id": F.lit("closing")})
+        run_and_drain(start, far, folder)
+    pack(most + 86_400_000_000)
+    return _silver_rows(spark, data)
 
 
 #: Where the stations of ``stream_station_moves`` go, and which of them.
@@ -329,7 +373,15 @@ _COUNTED = (
 FROM v_message GROUP BY ALL"""
 )
 
+_SILVER = (
+    sql.with_views(*sql.IOT_TO_ENRICHED)
+    + f"""SELECT CASE WHEN is_anomaly THEN 'anomalies' ELSE 'normal' END AS route, station_id, microarea_id,
+  {sql.ms("w_end")} AS response_timestamp, {sql.ms("latest_event_ts")} AS latest_event_timestamp, {", ".join(MEASUREMENTS)}
+FROM enriched"""
+)
+
 QUERIES = {
+    "stream_compacted": (stream_compacted, _SILVER),
     "stream_station_moves": (
         stream_station_moves,
         sql.with_views(sql.V_SENSOR, sql.V_STATION, sql.STATION_WINDOWS, _MOVES)
@@ -346,13 +398,7 @@ QUERIES = {
         + f"SELECT microarea_id, {sql.ms('w_start')} AS window_start_ms, total_stations, anomalous_stations,"
         f" {sql.ms('latest_event_ts')} AS latest_event_timestamp FROM area_windows",
     ),
-    "stream_silver_iot": (
-        stream_silver_iot,
-        sql.with_views(*sql.IOT_TO_ENRICHED)
-        + f"""SELECT CASE WHEN is_anomaly THEN 'anomalies' ELSE 'normal' END AS route, station_id, microarea_id,
-  {sql.ms("w_end")} AS response_timestamp, {sql.ms("latest_event_ts")} AS latest_event_timestamp, {", ".join(MEASUREMENTS)}
-FROM enriched""",
-    ),
+    "stream_silver_iot": (stream_silver_iot, _SILVER),
     "stream_gold_iot": (
         stream_gold_iot,
         f"SELECT event_id, region_id, response_timestamp, event_type, severity_score, alert_level, air_quality_index,"
@@ -367,7 +413,11 @@ FROM enriched""",
     ),
     "stream_late_records": (
         stream_late_records,
-        sql.with_views(*[part.replace("FROM events", "FROM events WHERE event_id % 3 <> 0") if i == 0 else part for i, part in enumerate(sql.IOT_TO_ENRICHED)])
-        + f"SELECT station_id, {sql.ms('w_start')} AS window_start_ms, n_readings, is_anomaly FROM enriched",
+        sql.with_views(
+            sql.V_SENSOR.replace("v_sensor AS", "all_sensor AS"),
+            *[part.replace("FROM events", "FROM events WHERE event_id % 3 <> 0") if i == 0 else part for i, part in enumerate(sql.IOT_TO_ENRICHED)],
+        )
+        + f"SELECT station_id, {sql.ms('w_start')} AS window_start_ms, n_readings, is_anomaly, (SELECT count(DISTINCT"
+        " (station_id, time_bucket(INTERVAL 6 HOUR, ts))) FROM all_sensor WHERE reading_id % 3 = 0) AS n_dropped FROM enriched",
     ),
 }

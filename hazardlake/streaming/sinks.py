@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from hazardlake.sources.sinks import DATE_PARTITIONS, compact_layer
 
@@ -34,7 +34,7 @@ def fan_out(df: DataFrame, outputs: Sequence[Output], checkpoint: str, mode: str
     The stream's id (kept in its checkpoint) and the batch number are the last partition levels, and only those
     partitions are overwritten: a batch that is run again after a failure replaces its own files, and a stream
     with another checkpoint, whose batches are numbered from 0 again, never touches older rows. The rebalance
-    hint leaves a batch few files per partition; ``compact`` rewrites a table for reading.
+    hint leaves a batch few files per partition; ``compaction.compact_closed`` packs closed dates in place.
     """
     known: list[str] = []
 
@@ -68,10 +68,7 @@ def fan_out(df: DataFrame, outputs: Sequence[Output], checkpoint: str, mode: str
 
 
 def compact(spark: SparkSession, path: str, into: str, partitions: Sequence[str] = tuple(DATE_PARTITIONS)) -> None:
-    """Rewrite a table of many batches into a new folder with few large files per partition.
-
-    Run it on a schedule over closed partitions, or on the whole table while its stream rests.
-    """
+    """Rewrite a whole table of many batches into a new folder, while its stream rests, with few large files per partition."""
     compact_layer(spark.read.parquet(path).drop(*BATCH_PARTITIONS), into, list(partitions))
 
 
@@ -91,10 +88,11 @@ def merge_into(df: DataFrame, change: Callable[[DataFrame, int], object], checkp
     return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
 
 
-def run_available(writer: DataStreamWriter) -> None:
+def run_available(writer: DataStreamWriter) -> StreamingQuery:
     """Process what is there now and stop."""
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    return query
 
 
 def run_and_drain(start: Callable[[], DataStreamWriter], closing: DataFrame, folder: str) -> None:
@@ -110,6 +108,6 @@ def run_and_drain(start: Callable[[], DataStreamWriter], closing: DataFrame, fol
     run_available(start())
 
 
-def run_continuously(writer: DataStreamWriter, every: str):
+def run_continuously(writer: DataStreamWriter, every: str) -> StreamingQuery:
     """Keep running with a micro-batch (and checkpoint) every ``every``, e.g. ``30 seconds``."""
     return writer.trigger(processingTime=every).start()
