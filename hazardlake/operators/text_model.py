@@ -157,9 +157,9 @@ class CentroidModel:
 
 
 def _check_labels(labels: Sequence) -> None:
-    """A model has a column per label; more than MAX_LABELS are refused, never cut."""
+    """This model has a column per label; above MAX_LABELS it is ``label_blocks.fit``'s work. Labels are never cut."""
     if len(labels) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} distinct labels: not a label column")
+        raise ValueError(f"more than {MAX_LABELS} distinct labels: fit the model with label_blocks.fit")
 
 
 def training_labels(training: DataFrame, label: str) -> list[str]:
@@ -218,36 +218,3 @@ def vector_centroids(vectors: DataFrame, label: str = "label", vector: str = "em
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "mean"))), lambda e: e["mean"]).alias("v"))
         .select(label, F.transform("v", lambda x: ratio(x, norm)).alias("centroid"))
     )
-
-
-def vector_classify(vectors: DataFrame, centroids: DataFrame, key: str, label: str = "label", vector: str = "embedding") -> DataFrame:
-    """``key, category, score`` by cosine to each centroid, ties to the lowest label.
-
-    The centroids enter as one subquery value (labels x dimensions numbers), so vectors are scored in
-    place, without a join or an exchange.
-    """
-    model = centroids.agg(
-        F.when(
-            F.count(F.lit(1)) <= MAX_LABELS, F.sort_array(F.collect_list(F.struct(F.col(label).alias("label"), "centroid")))
-        ).otherwise(F.raise_error(F.lit("too many labels for a centroid model")))
-    ).alias("m")
-    x = F.transform(vector, lambda v: v.cast("double"))
-    scored = vectors.select(key, x.alias("x"), model.scalar().alias("model")).select(
-        key,
-        F.sqrt(F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v * v)).alias("norm"),
-        F.transform(
-            "model",
-            lambda m: F.struct(
-                F.aggregate(
-                    F.zip_with("x", m["centroid"], lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v
-                ).alias("dot"),
-                m["label"].alias("label"),
-            ),
-        ).alias("dots"),
-    )
-    ranked = F.sort_array(
-        F.transform("dots", lambda d: F.struct((-snap(ratio(d["dot"], F.col("norm")))).alias("minus"), d["label"].alias("label")))
-    )
-    return scored.withColumn("best", ranked[0]).select(
-        key, F.col("best.label").alias("category"), (F.lit(0.0) - F.col("best.minus")).alias("score")
-    )

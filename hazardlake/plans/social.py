@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hazardlake.constants import ALL_CATEGORIES, SIGNAL_CATEGORIES, VOCABULARY_SIZE
 from hazardlake.functions.text import PUNCTUATION_PATTERN, STOP_WORDS, TOKEN_PATTERN, clean
 from hazardlake.functions.timefmt import date_parts, iso_millis
-from hazardlake.operators import text_model
+from hazardlake.operators import label_blocks, text_model
 from hazardlake.operators.text_model import CentroidModel
 from hazardlake.plans import oracle as sql
 from hazardlake.plans import proxies
@@ -123,8 +123,14 @@ def centroid_rank(spark: SparkSession, sf: str) -> DataFrame:
 
 def embedding_centroid(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings")
-    centroids = text_model.vector_centroids(vectors)
-    return text_model.vector_classify(vectors, centroids, "vec_id")
+    blocks = label_blocks.vector_blocks(text_model.vector_centroids(vectors))
+    return label_blocks.vector_classify(vectors, blocks, "vec_id")
+
+
+def centroid_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents and passages by the nearest source and language, a model of several label blocks."""
+    documents = spread_table(spark, sf, "documents").select("doc_id", "text", F.concat("source", F.lit(":"), "lang").alias("label"))
+    return label_blocks.fit(documents, "doc_id").classify(_items(spark, sf), "item")
 
 
 def social_signal_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -247,6 +253,14 @@ QUERIES = {
         + ", ".join(f"max(score) FILTER (WHERE rn = {i}) AS score_{i}" for i in range(1, 5))
         + " FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, label) AS rn FROM scores) GROUP BY item",
     ),
+    "centroid_blocks": (
+        centroid_blocks,
+        sql.with_views(*_CLASSIFIER, _ITEMS, _vectors_sql("item_vectors", "items", "item"), _SCORES).replace(
+            "SELECT lang AS label, term, sum(weight)", "SELECT source || ':' || lang AS label, term, sum(weight)"
+        ).replace("SELECT DISTINCT lang AS label FROM documents", "SELECT DISTINCT source || ':' || lang AS label FROM documents")
+        + "SELECT item, label AS category, score FROM (SELECT *, row_number() OVER (PARTITION BY item"
+        " ORDER BY score DESC, label) AS rn FROM scores) WHERE rn = 1",
+    ),
     "embedding_centroid": (
         embedding_centroid,
         """WITH parts AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS d, unnest(embedding)::DOUBLE AS x FROM embeddings),

