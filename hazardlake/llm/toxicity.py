@@ -13,13 +13,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardlake.llm import common, textnum
 
 #: Most labelled rows of each class that a fit may use; the documents of that many rows fit in one task.
 MAX_TOXIC, MAX_CLEAN = 2500, 3500
+#: Bytes of text the fit takes at most, whole texts, shortest first.
+MAX_BYTES = 128 << 20
 LENGTH, STRIDE = 32, 16
 HIDDEN, EMBED, ATTEND = 8, 8, 8
 CHAR_BINS = 1 << 13
@@ -274,12 +276,10 @@ def _threshold(best: np.ndarray, label: np.ndarray) -> float:
     return float(max((best[order[at]] + following) / 2, least))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, folds: int = 5, held: int = 0) -> Network | None:
-    """Train on at most ``max_toxic`` and ``max_clean`` labelled documents outside the held-out fold.
-
-    The rows are those with the smallest hashes of their ids, so a rerun takes the same ones. Rows without id or
-    label are left out; an id with several labels counts as toxic if one says so.
-    """
+def fit_sample(
+    docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: int, folds: int, held: int, max_bytes: int
+) -> DataFrame:
+    """``doc_id, text, toxic``: the rows of ``fit``, in one partition."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold != held))
@@ -292,6 +292,30 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
     picked = [known.where(F.col("toxic") == y).orderBy(*order).limit(n) for y, n in ((1, max_toxic), (0, max_clean))]
     sample = picked[0].union(picked[1])
     rows = common.text_rows(docs).join(F.broadcast(sample), "doc_id").select("doc_id", F.lower("text").alias("text"), "toxic")
+    shortest = F.min(F.struct(F.octet_length("text").cast("bigint").alias("n"), "text"))
+    single = rows.groupBy("doc_id", "toxic").agg(shortest.alias("r")).select("doc_id", "r.n", "r.text", "toxic")
+    # The sample is a bounded number of rows; the running sum bounds the bytes that one Python worker gets of it.
+    so_far = F.sum("n").over(Window.orderBy("n", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    return single.withColumn("_so_far", so_far).where(F.col("_so_far") <= max_bytes).select("doc_id", "text", "toxic").coalesce(1)
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    max_toxic: int = MAX_TOXIC,
+    max_clean: int = MAX_CLEAN,
+    folds: int = 5,
+    held: int = 0,
+    max_bytes: int = MAX_BYTES,
+) -> Network | None:
+    """Train on at most ``max_toxic`` and ``max_clean`` labelled documents outside the held-out fold, ``max_bytes`` of text together.
+
+    The rows are those with the smallest hashes of their ids, so a rerun takes the same ones. Of an id with several rows
+    the shortest text is taken (ties: the smallest). Should whole texts exceed ``max_bytes``, the longest are left out of
+    the fit. Rows without id or label are left out; an id with several labels counts as toxic if one says so. Other
+    columns are not read. Returns None (every text scores 0) when no labelled row is left or all have the same label.
+    """
+    sample = fit_sample(docs, labels, max_toxic, max_clean, folds, held, max_bytes)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = sorted((tuple(r.values()) for batch in batches for r in batch.to_pylist()), key=lambda r: r[:2])
@@ -300,8 +324,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
             whole = pickle.dumps((net.known, net.p, net.shift))
             yield pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], names=["net"])
 
-    # One task holds the sample, whose size is bounded above; the driver gets the fitted numbers only.
-    fitted = rows.repartition(1).mapInArrow(learn, "net binary").first()
+    # One task holds the sample, bounded in rows and bytes; the driver gets the fitted numbers only.
+    fitted = sample.mapInArrow(learn, "net binary").first()
     if fitted is None:
         return None
     known, parameters, shift = pickle.loads(fitted["net"])

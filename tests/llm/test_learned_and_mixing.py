@@ -78,6 +78,22 @@ def test_toxicity_held_out(spark, labelled):
     assert got[1] >= 0.5 and got[2] == got[3] == got[4] == 0.0
 
 
+def test_toxicity_sample_is_bounded(spark):
+    """One row an id, whole texts, the longest left out beyond the bound."""
+    def sample(rows, max_bytes):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+        plan = toxicity.fit_sample(docs, labels, 100, 100, 5, 0, max_bytes)
+        return {r.doc_id: r.text for r in plan.collect()}, plan.rdd.getNumPartitions()
+
+    rows = [(i, f"word{i} " * (i + 1)) for i in range(40)]
+    whole, parts = sample(rows + [(7, "a"), (7, "a")] * 50 + [(9, None)], 1 << 20)
+    assert parts == 1 and whole[7] == "a" and whole[9] == "" and all(whole[i] == rows[i][1] for i in whole if i not in (7, 9))
+    few, _ = sample(rows, sum(len(t) for t in whole.values()) // 2)
+    assert set(few) < set(whole) and max(few) < min(set(whole) - set(few)) and all(few[i] == rows[i][1] for i in few)
+    assert sample(rows[:0], 1 << 20)[0] == {}
+
+
 def test_toxicity_awkward(spark):
     assert [r.score for r in toxicity.score(fx.awkward(spark), None).collect()] == [0.0] * 8
     nothing = spark.createDataFrame([], "doc_id bigint, toxic int")
