@@ -196,15 +196,19 @@ def scenes_from_arrays(images: DataFrame, keys: list[str], pixels: str = "pixels
     )
 
 
+def classified_messages(images: DataFrame, pixels: str = "pixels") -> DataFrame:
+    """Classified pixel rows of messages; ``message_no`` keeps repeated deliveries of an image apart."""
+    numbered = images.withColumn("message_no", F.monotonically_increasing_id())
+    return classify_pixels(explode_pixels(numbered, pixels))
+
+
 def scenes_from_messages(images: DataFrame, keys: list[str], pixels: str = "pixels") -> DataFrame:
     """Base metrics per message from unclassified pixel arrays, exploded into generated code.
 
     A message's pixels stay in one task, so partial aggregation leaves one row per message for the
-    exchange. ``message_no`` keeps repeated deliveries of an image apart.
+    exchange.
     """
-    numbered = images.withColumn("message_no", F.monotonically_increasing_id())
-    rows = classify_pixels(explode_pixels(numbered, pixels))
-    return scenes_from_rows(rows, [*keys, "message_no"]).drop("message_no")
+    return scenes_from_rows(classified_messages(images, pixels), [*keys, "message_no"]).drop("message_no")
 
 
 # ------------------------------------------------------------------ assessment

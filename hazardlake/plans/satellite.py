@@ -44,6 +44,12 @@ def message_scene_stage(images: DataFrame, severity_floor: float | None = None)
     return imagery.assess_scenes(imagery.scenes_from_messages(images, IMAGE_KEYS), severity_floor)
 
 
+def classified_scene_stage(rows: DataFrame, severity_floor: float | None = None) -> DataFrame:
+    """The same from rows of ``imagery.classified_messages``, where another layer needs them too."""
+    scenes = imagery.scenes_from_rows(rows, [*IMAGE_KEYS, "message_no"]).drop("message_no")
+    return imagery.assess_scenes(scenes, severity_floor)
+
+
 def gold_stage(assessed: DataFrame, microareas: DataFrame) -> DataFrame:
     """The area rectangle joins the few assessed images, not the pixels."""
     return imagery.flat_scenes(dims.enrich_microareas(_plain(assessed), microareas))

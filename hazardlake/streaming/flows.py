@@ -119,20 +119,22 @@ def sensor_gold(areas: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
 
 # ------------------------------------------------------------------ images
 def image_layers(images: DataFrame, microareas: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Pixels to silver and assessed images to gold. No state: an image is one message."""
+    """Pixels to silver and assessed images to gold. No state: an image is one message.
 
-    def silver(batch: DataFrame) -> DataFrame:
-        pixels = imagery.classify_pixels(imagery.explode_pixels(batch))
-        return imagery.silver_pixels(dims.enrich_microareas(pixels, microareas))
+    Pixels are classified once in a micro-batch; both layers are cut from the kept rows.
+    """
 
-    def gold(batch: DataFrame) -> DataFrame:
-        return satellite.gold_stage(satellite.message_scene_stage(batch), microareas)
+    def silver(rows: DataFrame) -> DataFrame:
+        return imagery.silver_pixels(dims.enrich_microareas(rows, microareas))
+
+    def gold(rows: DataFrame) -> DataFrame:
+        return satellite.gold_stage(satellite.classified_scene_stage(rows), microareas)
 
     outputs = [
         Output(os.path.join(path, "silver"), silver),
         Output(os.path.join(path, "gold"), gold, stamp="response_timestamp"),
     ]
-    return fan_out(images, outputs, checkpoint)
+    return fan_out(images, outputs, checkpoint, prepare=imagery.classified_messages)
 
 
 def assessed_images(images: DataFrame, microareas: DataFrame) -> DataFrame:

@@ -28,8 +28,14 @@ class Output:
 BATCH_PARTITIONS = ["query_id", "batch_id"]
 
 
-def fan_out(df: DataFrame, outputs: Sequence[Output], checkpoint: str, mode: str = "append") -> DataStreamWriter:
-    """Write every output of each micro-batch.
+def fan_out(
+    df: DataFrame,
+    outputs: Sequence[Output],
+    checkpoint: str,
+    mode: str = "append",
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataStreamWriter:
+    """Write every output of each micro-batch, after the ``prepare`` step that the outputs share, if any.
 
     The stream's id (kept in its checkpoint) and the batch number are the last partition levels, and only those
     partitions are overwritten: a batch that is run again after a failure replaces its own files, and a stream
@@ -45,6 +51,7 @@ def fan_out(df: DataFrame, outputs: Sequence[Output], checkpoint: str, mode: str
         return known[0]
 
     def write(batch: DataFrame, number: int) -> None:
+        batch = prepare(batch) if prepare else batch
         if len(outputs) > 1:
             batch.persist()
         try:
