@@ -29,11 +29,15 @@ PENALTY = 2.0
 IS_WORD = textnum.byte_class([(0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
 
 
-def trigram_bins(data: np.ndarray) -> np.ndarray:
-    """The bin of the three bytes from each position on; the text is followed by blanks."""
+def trigram_bins(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The bin of the three bytes from each position on; every text is followed by blanks, not by its neighbour."""
     wide = np.full(len(data) + 2, 0x20, np.uint32)
     wide[: len(data)] = data
-    three = wide[:-2] | wide[1:-1] << np.uint32(8) | wide[2:] << np.uint32(16)
+    second, third = wide[1:-1].copy(), wide[2:].copy()
+    last = offsets[1:][np.diff(offsets) > 0] - 1
+    second[last] = third[last] = 0x20
+    third[last[last > 0] - 1] = 0x20
+    three = wide[:-2] | second << np.uint32(8) | third << np.uint32(16)
     return (three * np.uint32(0x9E3779B1)) >> np.uint32(32 - 15)
 
 
@@ -68,7 +72,7 @@ def learn(docs: DataFrame) -> Languages | None:
                 np.add.at(inside, first, 1)
                 np.add.at(inside, past, -1)
                 inside = np.cumsum(inside[:-1]) > 0
-                bins = trigram_bins(part)
+                bins = trigram_bins(part, at)
                 for name in set(langs[low:high]):
                     own = np.repeat(langs[low:high] == name, np.diff(at)) & inside
                     totals.setdefault(name, np.zeros(BINS, np.int64))
@@ -117,7 +121,7 @@ def infer(data: np.ndarray, offsets: np.ndarray, known: Languages) -> np.ndarray
     held = np.flatnonzero(np.diff(bounds) > 0)
     if len(held) == 0:
         return shares
-    bins = trigram_bins(data)
+    bins = trigram_bins(data, offsets)
     log_word = np.empty((count, len(first)))
     for i in range(count):
         sums = np.zeros(len(data) + 1)
@@ -147,7 +151,8 @@ def identify(docs: DataFrame, known: Languages | None) -> DataFrame:
 
     ``languages`` lists the chosen set with proportions. Null, empty and letterless texts, and all texts when nothing
     was learned, are ``und`` with score 0. Rows are judged one by one over their whole texts; repeated rows need no
-    rule and columns other than ``doc_id`` and ``text`` are ignored. Ties go to the first name in order.
+    rule and columns other than ``doc_id`` and ``text`` are ignored. Ties go to the first name in order. An empty table
+    gives no row.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", F.lower(text).alias("_lower"), text.rlike(r"\p{L}").alias("_letters"))

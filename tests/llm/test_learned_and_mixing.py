@@ -1,6 +1,7 @@
 """Toxicity, language identification, mixing and the pipeline."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -120,6 +121,54 @@ def test_language_mixture(spark):
     assert all(len(got[i].languages) == 1 for i, _, _ in fresh) and got[501].score == 0.0
 
 
+def plain_mixture(text, known):
+    """Chosen languages and proportions of one text, word by word."""
+    data = text.lower().encode()
+    logs = []
+    for found in re.finditer(rb"[A-Za-z\x80-\xff]+", data):
+        log = np.zeros(len(known.names))
+        for at in range(max(0, found.start() - 1), found.end()):
+            three = int.from_bytes((data[at : at + 3] + b"  ")[:3], "little")
+            log += known.log_share[:, (three * 0x9E3779B1 & 0xFFFFFFFF) >> 17]
+        logs.append(log - log.max())
+    likely = np.exp(np.array(logs)) + language_id.NOISE
+
+    def fitted(allowed):
+        share = np.array([1 / len(allowed) if i in allowed else 0.0 for i in range(len(known.names))])
+        for _ in range(language_id.STEPS):
+            share = (likely * share / (likely @ share)[:, None]).mean(axis=0)
+        return share, np.log(likely @ share).sum()
+
+    allowed = list(range(len(known.names)))
+    share, fit = fitted(allowed)
+    while len(allowed) > 1:
+        fewer = [i for i in allowed if i != min(allowed, key=lambda i: share[i])]
+        share2, fit2 = fitted(fewer)
+        if fit - fit2 >= language_id.PENALTY * np.log(len(logs) + 1) / 2:
+            break
+        allowed, share, fit = fewer, share2, fit2
+    return {known.names[i]: share[i] for i in allowed}
+
+
+def test_language_equals_plain_mixture_in_any_layout(spark):
+    rng = random.Random(6)
+    vocab = [["ako", "mawa", "tinga", "olo"], ["streng", "kraft", "sprit", "blod"], ["éta", "ùne", "çal", "où"]]
+    text = lambda i, n: " ".join(rng.choice(vocab[i]) + rng.choice(["", "s", "en"]) for _ in range(n))
+    rows = [(i, text(i % 3, 20), "xyz"[i % 3]) for i in range(90)]
+    known = language_id.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    texts = [" ".join(text(i, rng.randint(0, 8)) for i in range(3)).strip() or "ol" for _ in range(60)]
+    texts += ["a", "és", "ol", "s\n", "é"] + [text(0, 40) + " " + text(2, 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    layouts = [language_id.identify(docs.repartition(n), known).collect() for n in (1, 13)]
+    for layout in layouts:
+        for row in layout:
+            expected = plain_mixture(texts[row.doc_id], known)
+            got = {x.lang: x.share for x in row.languages}
+            assert set(got) == set(expected) and all(abs(got[k] - expected[k]) < 1e-3 for k in got)
+            assert row.lang_pred in got and got[row.lang_pred] == max(got.values())
+    assert max(len(r.languages) for r in layouts[0]) > 1
+
+
 def test_language_awkward(spark):
     assert {r.lang_pred for r in language_id.identify(fx.awkward(spark), None).collect()} == {"und"}
     assert language_id.learn(fx.empty(spark)) is None and language_id.identify(fx.empty(spark), None).count() == 0
