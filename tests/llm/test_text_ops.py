@@ -87,6 +87,23 @@ def test_fingerprints(spark, buckets):
         assert list(rows[i].next_sketch) == plain_sketch(following, fingerprints.K)
 
 
+def test_fingerprint_query(spark, tmp_path):
+    fx.documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    plain = sorted((r.doc_id, r.text or "") for r in fx.documents(spark).collect())
+    rows = {r.doc_id: r for r in fingerprints.op10_document_fingerprints(spark, str(tmp_path)).collect()}
+    digits = lambda sketch: "".join(f"{x % (1 << 64):016X}" for x in sketch)
+    assert len(rows) == len(plain)
+    for (i, text), (_, following) in zip(plain, plain[1:] + plain[:1]):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        own, changed, after = (plain_sketch(x, fingerprints.K) for x in (text, edited, following))
+        got = rows[i]
+        assert (got.n_chars, got.edited_sha256) == (len(text), sha(edited))
+        assert (got.fingerprint, got.edited_fingerprint) == (digits(own), digits(changed))
+        assert got.near_edited == plain_likeness(own, changed, fingerprints.K)
+        assert got.near_next == plain_likeness(own, after, fingerprints.K)
+
+
 def test_sketch_estimates(spark):
     rng = random.Random(1)
     a = " ".join(fx.word(rng) + str(i) for i in range(3000))
