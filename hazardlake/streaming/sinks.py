@@ -28,6 +28,15 @@ class Output:
 BATCH_PARTITIONS = ["query_id", "batch_id"]
 
 
+def keep(batch: DataFrame) -> DataFrame:
+    """Persist a micro-batch that is read more than once; the caller unpersists what this returns.
+
+    A batch that ends in a sort-merge join carries an order by columns of the join's sides that are no columns of its
+    own, and Spark cannot plan over a cached relation of such an order. A coalesce that keeps every partition has none.
+    """
+    return batch.coalesce(max(batch.rdd.getNumPartitions(), 1)).persist()
+
+
 def fan_out(
     df: DataFrame,
     outputs: Sequence[Output],
@@ -53,7 +62,7 @@ def fan_out(
     def write(batch: DataFrame, number: int) -> None:
         batch = prepare(batch) if prepare else batch
         if len(outputs) > 1:
-            batch.persist()
+            batch = keep(batch)
         try:
             for output in outputs:
                 rows = output.build(batch).withColumns({"query_id": F.lit(query_id(batch)), "batch_id": F.lit(number)})
@@ -86,7 +95,7 @@ def merge_into(df: DataFrame, change: Callable[[DataFrame, int], object], checkp
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.persist()  # a change reads it twice: for the buckets it touches and for the rows
+        batch = keep(batch)  # a change reads it twice: for the buckets it touches and for the rows
         try:
             change(batch, number)
         finally:

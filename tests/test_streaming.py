@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardlake.operators import text_model as tm
-from hazardlake.plans import iot
+from hazardlake.plans import iot, streams
 from hazardlake.sources import records
 from hazardlake.streaming import flows
 from hazardlake.streaming.sinks import compact, run_available
@@ -184,3 +184,29 @@ def test_quarantine_error_rows_and_arrival_time(spark, tmp_path):
     good = records.social_messages(records.social_records(spark.read.text(str(folder)))).collect()
     assert len(good) + len(bad) == 5 and all(r.ts is not None for r in good)
     assert {r.unique_msg_id: r.message for r in good} == {"1": "fine", "2": None, "4": "no time"}
+
+
+def test_two_layers_of_a_stream_with_a_large_dimension(spark, tmp_path):
+    """A batch of a sort-merge join is ordered by a column it does not have; cached as it is, it cannot be planned over."""
+    id_ = F.col("id")
+    events = spark.range(40).select(
+        id_.alias("event_id"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=id_.cast("int"))).alias("ts"),
+        (id_ % 5).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        (id_ * 10.0).alias("value"),
+        F.format_string('{"k": %d}', id_).alias("props"),
+    )
+    sf = tmp_path / "sf"
+    sf.mkdir()
+    pd = events.toPandas()
+    pd.to_parquet(sf / "events.parquet", coerce_timestamps="us")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        rows = streams.stream_silver_iot(spark, str(sf)).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert len(rows) == iot._enriched(spark, str(sf)).count()
+    assert {r.microarea_id for r in rows} == {"UNKNOWN", "A1-M2", "A1-M3", "A1-M4", "A1-M5"}
