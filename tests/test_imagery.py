@@ -115,3 +115,13 @@ def test_stress_and_weather_levels(one):
     stress = spectral.environmental_stress(F.lit("stressed"), F.lit("dry"))
     row = one({"a": 21.0, "b": 31.0}, s=stress, w=spectral.fire_weather_level(F.col("a"), F.col("b")))
     assert row == ("critical", "extreme")
+
+
+def test_exploded_arrays_are_computed_once(spark):
+    """A plain explode of a computed array gets a filter below it that computes the array again."""
+    images = spark.range(3).select("id", F.expr("transform(sequence(0, 3), i -> named_struct('b2', i + id))").alias("pixels"))
+    empty = spark.sql("SELECT 7L AS id, CAST(array() AS array<struct<b2: bigint>>) AS pixels UNION ALL SELECT 8L, NULL UNION ALL SELECT 9L, array(NULL)")
+    rows = imagery.explode_pixels(images)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("transform(") == 1
+    assert rows.count() == 12
+    assert [tuple(r) for r in imagery.explode_pixels(empty).collect()] == [(9, None)]

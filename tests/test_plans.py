@@ -101,3 +101,12 @@ def test_inputs_are_read_once(spark, name, scans, aggregates_input):
 
 def test_every_query_has_sql():
     assert [name for name, (_, text) in REGISTRY.items() if text is None] == []
+
+
+def test_one_file_is_spread_over_the_cores(spark, tmp_path):
+    """A table of one row group was one task; small tables stay small, and no row is lost."""
+    spark.range(20_000).withColumn("text", F.lit("ab cd")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spread = proxies.spread_table(spark, str(tmp_path), "documents")
+    assert spread.rdd.getNumPartitions() >= 24 and spread.distinct().count() == 20_000
+    spark.range(600).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    assert proxies.spread_table(spark, str(tmp_path), "orders").rdd.getNumPartitions() == 1
