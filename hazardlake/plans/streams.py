@@ -62,6 +62,11 @@ def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return use_utc(spark).readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
+def _spread_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The same for heavy per-row work: every micro-batch is dealt out as ``proxies.spread_table`` does it."""
+    return _stream(spark, sf, name).repartition(proxies.spread_tasks(spark, sf, name))
+
+
 def _readings(spark: SparkSession, sf: str) -> DataFrame:
     return _stream(spark, sf, "events").select(*proxies.reading_columns())
 
@@ -124,7 +129,7 @@ def stream_gold_iot(spark: SparkSession, sf: str) -> DataFrame:
 def stream_gold_sat(spark: SparkSession, sf: str) -> DataFrame:
     """Silver pixels and gold images written by one stateless stream; returns the gold rows."""
     out = scratch_dir(spark, "images")
-    images = proxies.image_columns(_stream(spark, sf, "orders"))
+    images = proxies.image_columns(_spread_stream(spark, sf, "orders"))
     with _state_partitions(spark):
         run_available(flows.image_layers(images, proxies.microareas(spark), os.path.join(out, "data"), os.path.join(out, "state")))
     gold = spark.read.parquet(os.path.join(out, "data", "gold")).drop(*BATCH_PARTITIONS, "response_timestamp")
@@ -149,7 +154,7 @@ def stream_gold_social(spark: SparkSession, sf: str) -> DataFrame:
     """The message flow as two streams over a stored stage: messages are stored classified, then filtered into gold."""
     out = scratch_dir(spark, "social")
     model = social.category_model(spark, sf)
-    messages = proxies.message_columns(_stream(spark, sf, "conversations")).drop("category")
+    messages = proxies.message_columns(_spread_stream(spark, sf, "conversations")).drop("category")
     with _state_partitions(spark):
         run_available(flows.classified_messages(messages, model, os.path.join(out, "stage"), os.path.join(out, "state-1")))
         stage = spark.read.parquet(os.path.join(out, "stage", "classified")).schema
