@@ -16,7 +16,7 @@ from hazardlake.plans import oracle as sql
 from hazardlake.plans import proxies
 from hazardlake.plans.proxies import spread_table, table
 from hazardlake.plans.serving import V_MESSAGE
-from hazardlake.session import scratch_dir
+from hazardlake.session import scratch_dir, stored
 from hazardlake.sources.sinks import KEEP_NULLS
 
 LANGUAGES = ["de", "en", "es", "fr"]
@@ -102,7 +102,8 @@ def vocabulary_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
     documents = spread_table(spark, sf, "documents").select("doc_id", "text")
-    counts = text_model.term_counts(documents, ["doc_id"], text_model.vocabulary(documents))
+    vocab = stored(text_model.vocabulary(documents), "vocabulary")  # a broadcast of it waits for no pass over the texts
+    counts = text_model.term_counts(documents, ["doc_id"], vocab)
     return text_model.tfidf_vectors(counts, ["doc_id"]).withColumn("weight", F.round("weight", 8))
 
 
