@@ -186,7 +186,8 @@ def test_quarantine_error_rows_and_arrival_time(spark, tmp_path):
     assert {r.unique_msg_id: r.message for r in good} == {"1": "fine", "2": None, "4": "no time"}
 
 
-def test_two_layers_of_a_stream_with_a_large_dimension(spark, tmp_path):
+@pytest.mark.parametrize("query", [streams.stream_silver_iot, streams.stream_compacted])
+def test_two_layers_of_a_stream_with_a_large_dimension(spark, tmp_path, query):
     """A batch of a sort-merge join is ordered by a column it does not have; cached as it is, it cannot be planned over."""
     id_ = F.col("id")
     events = spark.range(40).select(
@@ -205,7 +206,7 @@ def test_two_layers_of_a_stream_with_a_large_dimension(spark, tmp_path):
     before = spark.conf.get(name)
     spark.conf.set(name, "-1")
     try:
-        rows = streams.stream_silver_iot(spark, str(sf)).collect()
+        rows = query(spark, str(sf)).collect()
     finally:
         spark.conf.set(name, before)
     assert len(rows) == iot._enriched(spark, str(sf)).count()
