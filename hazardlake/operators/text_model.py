@@ -1,7 +1,8 @@
 """TF-IDF centroid classifier as grouped aggregates and equi-joins on terms.
 
 The only broadcast side is the fitted model, at most ``max_features`` rows by construction. Texts are
-tokenised in the scan's tasks, reduced to known terms there, and only (id, term, count) rows travel.
+tokenised in the scan's tasks and reduced to known terms there. Only (id, term, count) rows travel, and none at all where the
+texts come partitioned by their id: every aggregate and window over them takes that partitioning.
 """
 
 from __future__ import annotations
@@ -50,20 +51,17 @@ def vocabulary(
     """``term, corpus_count, doc_count, idf`` of the most frequent terms of the raw (uncleaned) texts.
 
     One pass and one exchange of map-side combined counts: sorting each text's terms puts repeats side by
-    side, so the first of each run counts the document. The cut is a top-k, ties by term.
+    side, so the first of each run counts the document. The look at the term before is taken after the explode,
+    inside generated code. The cut is a top-k, ties by term.
     """
     n_docs = texts.agg(F.count(F.lit(1)).alias("n"))
     sorted_terms = terms(texts.select(text), F.col(text), stop_words).select(F.sort_array("terms").alias("s"))
-    marked = F.zip_with(
-        F.col("s"),
-        F.concat(F.array(F.lit(None).cast("string")), F.col("s")),
-        lambda term, before: F.struct(term.alias("term"), (~term.eqNullSafe(before)).alias("first")),
-    )
+    first = ~F.col("term").eqNullSafe(F.get("s", F.col("i") - 1))
     counts = (
-        sorted_terms.select(F.explode_outer(marked).alias("t"))
-        .filter("t.term IS NOT NULL")
-        .groupBy(F.col("t.term").alias("term"))
-        .agg(F.count(F.lit(1)).alias("corpus_count"), F.count_if("t.first").alias("doc_count"))
+        sorted_terms.select("s", F.posexplode_outer("s").alias("i", "term"))
+        .filter("term IS NOT NULL")
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("corpus_count"), F.count_if(first).alias("doc_count"))
         .orderBy(F.col("corpus_count").desc(), "term")
         .limit(max_features)
     )

@@ -14,7 +14,7 @@ from hazardlake.operators import label_blocks, text_model
 from hazardlake.operators.text_model import CentroidModel
 from hazardlake.plans import oracle as sql
 from hazardlake.plans import proxies
-from hazardlake.plans.proxies import spread_table, table
+from hazardlake.plans.proxies import spread_table, spread_texts, table
 from hazardlake.plans.serving import V_MESSAGE
 from hazardlake.session import scratch_dir, stored
 from hazardlake.sources.sinks import KEEP_NULLS
@@ -69,15 +69,19 @@ def _model(spark: SparkSession, documents: DataFrame, labels: list[str]) -> Cent
     return text_model.fit_centroids(documents, "doc_id", labels=labels, vocab=vocab).save(path)
 
 
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    return spread_texts(spark, sf, table(spark, sf, "documents"), "documents", "doc_id")
+
+
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread_table(spark, sf, "documents").select("doc_id", "text", F.col("lang").alias("label"))
+    return _texts(spark, sf).select("doc_id", "text", F.col("lang").alias("label"))
 
 
 def _items(spark: SparkSession, sf: str) -> DataFrame:
     """All documents and benchmark passages."""
-    documents = spread_table(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item"), "text")
+    documents = table(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item"), "text")
     passages = table(spark, sf, "benchmark").select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("item"), "text")
-    return documents.unionByName(passages)
+    return spread_texts(spark, sf, documents.unionByName(passages), "documents", "item")
 
 
 def text_clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,13 +99,13 @@ def ngram_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vocabulary_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return text_model.vocabulary(spread_table(spark, sf, "documents").select("doc_id", "text")).withColumn(
+    return text_model.vocabulary(_texts(spark, sf).select("doc_id", "text")).withColumn(
         "idf", F.round("idf", 8)
     )
 
 
 def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
-    documents = spread_table(spark, sf, "documents").select("doc_id", "text")
+    documents = _texts(spark, sf).select("doc_id", "text")
     vocab = stored(text_model.vocabulary(documents), "vocabulary")  # a broadcast of it waits for no pass over the texts
     counts = text_model.term_counts(documents, ["doc_id"], vocab)
     return text_model.tfidf_vectors(counts, ["doc_id"]).withColumn("weight", F.round("weight", 8))
@@ -130,7 +134,7 @@ def embedding_centroid(spark: SparkSession, sf: str) -> DataFrame:
 
 def centroid_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """All documents and passages by the nearest source and language, a model of several label blocks."""
-    documents = spread_table(spark, sf, "documents").select("doc_id", "text", F.concat("source", F.lit(":"), "lang").alias("label"))
+    documents = _texts(spark, sf).select("doc_id", "text", F.concat("source", F.lit(":"), "lang").alias("label"))
     return label_blocks.fit(documents, "doc_id").classify(_items(spark, sf), "item")
 
 
@@ -156,7 +160,7 @@ def social_error_rows(spark: SparkSession, sf: str) -> DataFrame:
 def category_model(spark: SparkSession, sf: str) -> CentroidModel:
     """The classifier of message categories, trained on documents."""
     label = F.element_at(F.create_map(*[F.lit(x) for pair in LANGUAGE_CATEGORY.items() for x in pair]), F.col("lang"))
-    documents = spread_table(spark, sf, "documents").select("doc_id", "text", label.alias("label"))
+    documents = _texts(spark, sf).select("doc_id", "text", label.alias("label"))
     return _model(spark, documents, list(LANGUAGE_CATEGORY.values()))
 
 

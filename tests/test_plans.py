@@ -110,3 +110,36 @@ def test_one_file_is_spread_over_the_cores(spark, tmp_path):
     assert spread.rdd.getNumPartitions() >= 24 and spread.distinct().count() == 20_000
     spark.range(600).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
     assert proxies.spread_table(spark, str(tmp_path), "orders").rdd.getNumPartitions() == 1
+
+
+def _texts(spark, folder, rows=24):
+    """A folder of tables of short texts, with an id that comes twice and a text that is null."""
+    id_ = F.col("id")
+    text = F.when(id_ != 5, F.concat_ws(" ", F.lit("fire smoke"), F.concat(F.lit("w"), (id_ % 7).cast("string")), F.lit("fire")))
+    lang = F.element_at(F.array(*[F.lit(x) for x in social.LANGUAGES]), (id_ % 4 + 1).cast("int"))
+    rows = spark.range(rows).coalesce(1)
+    key = F.greatest(id_, F.lit(1))
+    rows.select(key.alias("doc_id"), text.alias("text"), lang.alias("lang"), F.lit("web").alias("source")).write.parquet(f"{folder}/documents.parquet")
+    rows.select(id_.alias("item_id"), text.alias("text")).write.parquet(f"{folder}/benchmark.parquet")
+    rows.select((id_ % 5).alias("conv_id"), id_.alias("turn"), text.alias("text")).write.parquet(f"{folder}/conversations.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("query, key", [(social.centroid_rank, "item"), (social.tfidf_weights, "doc_id")])
+def test_terms_are_counted_where_their_text_is(spark, tmp_path, query, key):
+    """Texts travel once, by their key; no exchange deals out a row per term of a text."""
+    spark.conf.set("spark.hazardlake.spreadTasks", "3")
+    try:
+        plan = executed(query(spark, _texts(spark, tmp_path)))
+    finally:
+        spark.conf.unset("spark.hazardlake.spreadTasks")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "RoundRobin" in line]
+    assert len(exchanges) == 1 and f"hashpartitioning({key}#" in exchanges[0], exchanges
+
+
+def test_large_text_tables_have_more_tasks(spark, tmp_path):
+    """A task counts the terms of its texts in memory, so the texts of a task are bounded."""
+    spark.range(600_000).withColumn("text", F.lit("ab")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    documents = proxies.table(spark, str(tmp_path), "documents")
+    spread = proxies.spread_texts(spark, str(tmp_path), documents, "documents", "id")
+    assert spread.rdd.getNumPartitions() == 60 and spread.distinct().count() == 600_000

@@ -96,6 +96,18 @@ def test_vocabulary_sees_raw_text_but_scoring_sees_clean_text(training):
     assert {"fire safe", "safe info"} <= found and "firesafeinfonow" not in found
 
 
+def test_vocabulary_counts_terms_and_texts_in_one_generated_stage(spark, training):
+    found = tm.vocabulary(spark.createDataFrame([*TRAIN, (6, "promo", None), (6, "promo", "")], training.schema))
+    texts = [text for _, _, text in TRAIN] + ["", ""]
+    corpus, docs = Counter(), Counter()
+    for text in texts:
+        corpus.update(py_terms(text))
+        docs.update(set(py_terms(text)))
+    assert {r.term: (r.corpus_count, r.doc_count) for r in found.collect()} == {t: (n, docs[t]) for t, n in corpus.items()}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan and plan.count("zip_with(") == 1, plan  # the bigrams; repeats are found after the explode
+
+
 def test_candidate_labels_limit_the_answer(model, messages):
     assert {r.category for r in model.classify(messages, "msg", labels=["promo"]).collect()} == {"promo"}
 
