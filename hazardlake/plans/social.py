@@ -167,7 +167,8 @@ def category_model(spark: SparkSession, sf: str) -> CentroidModel:
 def gold_social_classified(spark: SparkSession, sf: str) -> DataFrame:
     """The whole flow: train, classify every message, keep signals, gold layout."""
     model = category_model(spark, sf)
-    good, _ = split_errors(proxies.messages(spark, sf).drop("category"))
+    sent = spread_texts(spark, sf, proxies.messages(spark, sf).drop("category"), "conversations", "unique_msg_id")
+    good, _ = split_errors(sent)
     return gold_social_columns(signals_only(classify_stage(good, model)), F.col("ts"))
 
 

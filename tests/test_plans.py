@@ -143,3 +143,19 @@ def test_large_text_tables_have_more_tasks(spark, tmp_path):
     documents = proxies.table(spark, str(tmp_path), "documents")
     spread = proxies.spread_texts(spark, str(tmp_path), documents, "documents", "id")
     assert spread.rdd.getNumPartitions() == 60 and spread.distinct().count() == 600_000
+
+
+def test_messages_are_classified_where_they_are(spark, tmp_path):
+    """Messages of one file go to all cores by their id, for their scores and for the join back."""
+    spark.conf.set("spark.hazardlake.spreadTasks", "3")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        rows = social.gold_social_classified(spark, _texts(spark, tmp_path))
+        plan = executed(rows)
+    finally:
+        spark.conf.set(name, before)
+        spark.conf.unset("spark.hazardlake.spreadTasks")
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\d+)\)", plan) == [("unique_msg_id", "3")] * 2, plan
+    assert {r.message for r in rows.collect()} <= {f"fire smoke w{i} fire" for i in range(7)}
