@@ -18,7 +18,7 @@ from hazardlake.operators import serving as serving_operators
 from hazardlake.plans import early_warning, iot, proxies, satellite, serving, social
 from hazardlake.plans import oracle as sql
 from hazardlake.plans.proxies import IOT_WINDOW, table
-from hazardlake.session import scratch_dir, use_utc
+from hazardlake.session import is_folder, scratch_dir, use_utc
 from hazardlake.sources import records
 from hazardlake.sources.keyed import KeyedTable
 from hazardlake.sources.sinks import file_sink
@@ -57,9 +57,15 @@ def _drained(spark: SparkSession, rows: DataFrame, out: str, start: Callable[[Da
 
 
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table as a file stream."""
-    schema = table(spark, sf, name).schema
-    return use_utc(spark).readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    """A table as a file stream: the files of its folder, or the one file it is.
+
+    A stream lists the files of a folder, so a table of one file is picked by its name from the folder of the tables.
+    """
+    path = os.path.join(sf, f"{name}.parquet")
+    reader = use_utc(spark).readStream.schema(table(spark, sf, name).schema)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
 def _spread_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:

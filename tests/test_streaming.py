@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardlake.operators import text_model as tm
-from hazardlake.plans import iot, streams
+from hazardlake.plans import iot, social, streams
 from hazardlake.sources import records
 from hazardlake.streaming import flows
 from hazardlake.streaming.sinks import compact, run_available
@@ -211,3 +211,19 @@ def test_two_layers_of_a_stream_with_a_large_dimension(spark, tmp_path, query):
         spark.conf.set(name, before)
     assert len(rows) == iot._enriched(spark, str(sf)).count()
     assert {r.microarea_id for r in rows} == {"UNKNOWN", "A1-M2", "A1-M3", "A1-M4", "A1-M5"}
+
+
+def test_a_table_that_is_a_folder_is_streamed_whole(spark, tmp_path):
+    """A stream over the folder of the tables does not list the files of a table that is a folder itself."""
+    id_ = F.col("id")
+    text = F.concat_ws(" ", F.lit("fire smoke"), F.concat(F.lit("w"), (id_ % 7).cast("string")))
+    lang = F.element_at(F.array(*[F.lit(x) for x in social.LANGUAGES]), (id_ % 4 + 1).cast("int"))
+    rows = spark.range(28).repartition(3)
+    rows.select(id_.alias("doc_id"), text.alias("text"), lang.alias("lang"), F.lit("web").alias("source")).write.parquet(str(tmp_path / "documents.parquet"))
+    turns = rows.select((id_ % 5).alias("conv_id"), id_.alias("turn"), text.alias("text"))
+    turns.write.parquet(str(tmp_path / "conversations.parquet"))
+    assert len(list((tmp_path / "conversations.parquet").glob("*.parquet"))) == 3
+    sf = str(tmp_path)
+    streamed, batch = streams.stream_gold_social(spark, sf), social.gold_social_classified(spark, sf)
+    assert sorted(streamed.select(*batch.columns).collect()) == sorted(batch.collect()) and not batch.isEmpty()
+    assert streams.stream_message_counts(spark, sf).agg(F.sum("n_messages")).first()[0] == 28
