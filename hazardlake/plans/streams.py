@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import os
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,16 +35,24 @@ CLOSING_TIME = "2200-01-01 00:00:00"
 
 
 @contextmanager
-def _state_partitions(spark: SparkSession) -> Iterator[None]:
-    name = "spark.sql.shuffle.partitions"
+def _setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
     before = spark.conf.get(name)
-    spark.conf.set(name, str(STATE_PARTITIONS))
+    spark.conf.set(name, str(value))
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def _state_partitions(spark: SparkSession) -> AbstractContextManager[None]:
+    return _setting(spark, "spark.sql.shuffle.partitions", STATE_PARTITIONS)
+
+
+def _compiled(spark: SparkSession) -> AbstractContextManager[None]:
+    """HotSpot interprets methods of more than 8,000 bytes; Spark then takes code that is split into smaller ones."""
+    return _setting(spark, "spark.sql.codegen.hugeMethodLimit", 8000)
+
+
 def _drained(spark: SparkSession, rows: DataFrame, out: str, start: Callable[[DataFrame], DataStreamWriter], **closing: str) -> None:
     """Run a stream over ``rows`` to its end and close its windows with one row of ``closing`` values."""
     folder = os.path.join(out, "closing")
@@ -136,7 +144,7 @@ def stream_gold_sat(spark: SparkSession, sf: str) -> DataFrame:
     """Silver pixels and gold images written by one stateless stream; returns the gold rows."""
     out = scratch_dir(spark, "images")
     images = proxies.image_columns(_spread_stream(spark, sf, "orders"))
-    with _state_partitions(spark):
+    with _state_partitions(spark), _compiled(spark):
         run_available(flows.image_layers(images, proxies.microareas(spark), os.path.join(out, "data"), os.path.join(out, "state")))
     gold = spark.read.parquet(os.path.join(out, "data", "gold")).drop(*BATCH_PARTITIONS, "response_timestamp")
     return satellite.rounded_box(gold)

@@ -9,19 +9,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from hazardlake.functions.timefmt import parse_iso
+from hazardlake.functions.timefmt import date_parts, parse_iso
 from hazardlake.operators import dims, imagery, sensors, serving
 from hazardlake.operators.text_model import CentroidModel
 from hazardlake.plans import iot, satellite, social
 from hazardlake.sources import records
 from hazardlake.sources.keyed import WRITTEN, KeyedTable
-from hazardlake.sources.sinks import bronze_rows, file_sink
+from hazardlake.sources.sinks import DATE_PARTITIONS, bronze_rows, file_sink
 from hazardlake.streaming.sinks import Output, fan_out, merge_into
 
 SENSOR_DELAY = "5 seconds"
 SENSOR_WINDOW = "1 minute"
 MESSAGE_DELAY = "2 seconds"
 MESSAGE_WINDOW = "5 seconds"
+#: Partitions that dates of images are dealt out to: with few, each has many dates, and each part it is split into has them all.
+IMAGE_PIECES = 200
 
 
 # ------------------------------------------------------------------ bronze
@@ -121,20 +123,25 @@ def sensor_gold(areas: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
 def image_layers(images: DataFrame, microareas: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Pixels to silver and assessed images to gold. No state: an image is one message.
 
-    Pixels are classified once in a micro-batch; both layers are cut from the kept rows.
+    Images travel, not their pixels: for silver they are dealt out by date before their arrays are exploded, so a task
+    writes few dates and a date is few files, however many dates and tasks a batch has. A date of more images than a
+    task should have is split by size. Each layer makes its pixels where it needs them; neither is kept.
     """
 
-    def silver(rows: DataFrame) -> DataFrame:
-        return imagery.silver_pixels(dims.enrich_microareas(rows, microareas))
+    def silver(batch: DataFrame) -> DataFrame:
+        enriched = dims.enrich_microareas(batch, microareas)
+        dates = {f"_{name}": part for name, part in zip(DATE_PARTITIONS, date_parts(parse_iso(F.col("timestamp"))))}
+        dealt = enriched.withColumns(dates).hint("rebalance", IMAGE_PIECES, *dates).sortWithinPartitions(*dates)
+        return imagery.silver_pixels(imagery.classified_messages(dealt.drop(*dates)))
 
-    def gold(rows: DataFrame) -> DataFrame:
-        return satellite.gold_stage(satellite.classified_scene_stage(rows), microareas)
+    def gold(batch: DataFrame) -> DataFrame:
+        return satellite.gold_stage(satellite.classified_scene_stage(imagery.classified_messages(batch)), microareas)
 
     outputs = [
-        Output(os.path.join(path, "silver"), silver),
-        Output(os.path.join(path, "gold"), gold, stamp="response_timestamp"),
+        Output(os.path.join(path, "silver"), silver, dealt=True),
+        Output(os.path.join(path, "gold"), gold, stamp="response_timestamp", pieces=IMAGE_PIECES),
     ]
-    return fan_out(images, outputs, checkpoint, prepare=imagery.classified_messages)
+    return fan_out(images, outputs, checkpoint, kept=False)
 
 
 def assessed_images(images: DataFrame, microareas: DataFrame) -> DataFrame:

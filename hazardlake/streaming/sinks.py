@@ -22,6 +22,8 @@ class Output:
     build: Callable[[DataFrame], DataFrame]
     partitions: Sequence[str] = field(default_factory=lambda: tuple(DATE_PARTITIONS))
     stamp: str | None = None  # column to receive the wall clock of the write
+    pieces: int | None = None  # partitions the rows are dealt out to by ``partitions``; None: as the session shuffles
+    dealt: bool = False  # ``build`` has dealt the rows out already
 
 
 #: Partition levels that keep the files of one micro-batch apart.
@@ -42,9 +44,12 @@ def fan_out(
     outputs: Sequence[Output],
     checkpoint: str,
     mode: str = "append",
-    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    kept: bool = True,
 ) -> DataStreamWriter:
-    """Write every output of each micro-batch, after the ``prepare`` step that the outputs share, if any.
+    """Write every output of each micro-batch.
+
+    A batch of several outputs is persisted, unless ``kept`` is false: for batches that are large in a cache and cheap to
+    make again from where the stream's own exchange left them.
 
     The stream's id (kept in its checkpoint) and the batch number are the last partition levels, and only those
     partitions are overwritten: a batch that is run again after a failure replaces its own files, and a stream
@@ -60,8 +65,8 @@ def fan_out(
         return known[0]
 
     def write(batch: DataFrame, number: int) -> None:
-        batch = prepare(batch) if prepare else batch
-        if len(outputs) > 1:
+        held = kept and len(outputs) > 1
+        if held:
             batch = keep(batch)
         try:
             for output in outputs:
@@ -69,15 +74,11 @@ def fan_out(
                 if output.stamp:
                     rows = rows.withColumn(output.stamp, F.current_timestamp())
                 keys = [*output.partitions, *BATCH_PARTITIONS]
-                (
-                    rows.hint("rebalance", *keys)
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy(*keys)
-                    .parquet(output.path)
-                )
+                if not output.dealt:
+                    rows = rows.hint("rebalance", *([output.pieces] if output.pieces else []), *keys)
+                rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(output.path)
         finally:
-            if len(outputs) > 1:
+            if held:
                 batch.unpersist()
 
     return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)

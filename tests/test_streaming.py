@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardlake.operators import text_model as tm
-from hazardlake.plans import iot, social, streams
+from hazardlake.plans import iot, proxies, social, streams
 from hazardlake.sources import records
 from hazardlake.streaming import flows
 from hazardlake.streaming.sinks import compact, run_available
@@ -227,3 +227,24 @@ def test_a_table_that_is_a_folder_is_streamed_whole(spark, tmp_path):
     streamed, batch = streams.stream_gold_social(spark, sf), social.gold_social_classified(spark, sf)
     assert sorted(streamed.select(*batch.columns).collect()) == sorted(batch.collect()) and not batch.isEmpty()
     assert streams.stream_message_counts(spark, sf).agg(F.sum("n_messages")).first()[0] == 28
+
+
+def test_images_of_many_dates_are_few_files(spark, tmp_path):
+    """Pixels that are dealt out by date to few partitions and split by size give a file per date and part."""
+    id_ = F.col("id")
+    orders = spark.range(800).select((id_ % 40 * 1440 + id_ / 40).cast("bigint").alias("o_orderkey"), (id_ % 90).alias("o_custkey"))
+    orders.repartition(16).write.parquet(str(tmp_path / "orders"))
+    rows = spark.readStream.schema(orders.schema).parquet(str(tmp_path / "orders")).repartition(16)
+    images, areas, out = proxies.image_columns(rows), proxies.microareas(spark), tmp_path / "out"
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "32k")
+    try:
+        run_available(flows.image_layers(images, areas, str(out), str(tmp_path / "state")))
+    finally:
+        spark.conf.set(name, before)
+    for layer, rows in (("silver", 20_000), ("gold", 800)):
+        stored = spark.read.parquet(str(out / layer))
+        assert stored.count() == rows and stored.select("year", "month", "day").distinct().count() == 40
+        files = len(list((out / layer).rglob("*.parquet")))
+        assert files <= 80, (layer, files)  # 40 dates
