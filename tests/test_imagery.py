@@ -125,3 +125,22 @@ def test_exploded_arrays_are_computed_once(spark):
     assert rows._jdf.queryExecution().optimizedPlan().toString().count("transform(") == 1
     assert rows.count() == 12
     assert [tuple(r) for r in imagery.explode_pixels(empty).collect()] == [(9, None)]
+
+
+def test_array_metrics_are_one_fold_above_the_spread(spark):
+    """A filter by the size of a computed array goes down to the scan, and takes the array along."""
+    plan = satellite.gold_sat_from_arrays(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1, plan
+    above, below = plan.split("Repartition", 1)[0], plan.rsplit("Repartition", 1)[1].split("Relation")[0]
+    assert "transform(" in above and "b8a" not in below, plan
+
+
+def test_array_and_row_forms_agree_on_missing_bands(spark):
+    rows = [
+        (38.0, -122.0, {**FIRE, "b8a": None, "b11": None}), (38.2, -122.1, {**GREEN, "b2": None}), (38.1, None, FIRE),
+        (38.3, -122.3, dict.fromkeys(FIRE)), (38.4, -122.2, GREEN),
+    ]
+    images = image(spark, *rows).union(image(spark, *rows[1:2])).union(image(spark)).union(image(spark, rows[3]))
+    arrays = satellite.array_scene_stage(images).collect()
+    assert sorted(map(str, arrays)) == sorted(map(str, satellite.message_scene_stage(images).collect()))
+    assert sorted(r.total_pixels for r in arrays) == [1, 1, 5]
